@@ -61,17 +61,19 @@ def _literal_map(pairs: dict[str, str]) -> Column:
 def to_ascii(c: Column) -> Column:
     """Compatibility-decompose and drop whatever is not ASCII (accents go, ``œ`` goes)."""
     single, images, several = _ascii_tables()
-    expandable = "[" + "".join(f"\\x{{{ord(char):X}}}" for char in several) + "]"
-    # Characters with a longer image are rare: only texts that hold one pay for the walk.
+    expandable = F.lit("".join(several))
+    # Characters with a longer image are rare: only texts that hold one pay for the walk. They are
+    # looked for with ``translate``, whose table is hashed; a regex class would be tried one by one.
+    holds_one = F.translate(c, "".join(several), "") != c
     table = _literal_map(several)
     expanded = F.array_join(
         F.transform(
             F.split(c, ""),
-            lambda char: F.when(char.rlike(expandable), F.try_element_at(table, char)).otherwise(char),
+            lambda char: F.when(expandable.contains(char), F.try_element_at(table, char)).otherwise(char),
         ),
         "",
     )
-    widened = F.when(c.rlike(expandable), expanded).otherwise(c)
+    widened = F.when(holds_one, expanded).otherwise(c)
     return F.regexp_replace(F.translate(widened, single, images), r"[^\x00-\x7F]", "")
 
 
