@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from workloads.registry import ORACLES, QUERIES
-from workloads import lookup, sales, scalars, spatial  # noqa: F401
+from workloads import facts, lookup, sales, scalars, spatial  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]
