@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citygrain.functions import indicators as ind
@@ -119,8 +119,13 @@ def build_summary(
     environment: DataFrame,
     key: str = "arrondissement",
 ) -> DataFrame:
-    """One row per district with every fact, every indicator and the year of each fact."""
-    joined = join_facts(districts, sales_yearly, income, rents_yearly, social_yearly, environment, key)
+    """One row per district with every fact, every indicator and the year of each fact.
+
+    The yearly facts and the joined rows are read several times below; they hold one row per
+    district and year, so they are kept.
+    """
+    sales_yearly, rents_yearly, social_yearly = sales_yearly.persist(), rents_yearly.persist(), social_yearly.persist()
+    joined = join_facts(districts, sales_yearly, income, rents_yearly, social_yearly, environment, key).persist()
     return add_indicators(fill_gaps(joined)).withColumns(
         {
             "sales_year": context.latest_year(sales_yearly),
@@ -131,15 +136,16 @@ def build_summary(
 
 
 def city_summary(
-    summary: DataFrame, key: str = "arrondissement", selected_year: Column | None = None
+    summary: DataFrame, key: str = "arrondissement", selected_year: str | None = None
 ) -> DataFrame:
-    """One row for the whole city: medians and sums over the districts."""
+    """One row for the whole city: medians and sums over the districts, and the year they share."""
+    year = [] if selected_year is None else [selected_year]
     others = [F.count_distinct(key).alias("arrondissement_count")]
+    others += [F.max(name).alias(name) for name in year]
     others += [F.sum(name).cast("bigint").alias(name) for name in CITY_SUMS]
     medians = {name: finite(F.col(name)) for name in CITY_MEDIANS}
     # One row per district: the frame is small by nature, so a single aggregate does.
     row = summary.agg(*others, *[F.percentile(value, F.lit(0.5)).alias(name) for name, value in medians.items()])
-    year = [] if selected_year is None else [selected_year.alias("selected_sales_year")]
     return row.select(
         "arrondissement_count",
         *year,
