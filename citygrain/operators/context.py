@@ -45,7 +45,7 @@ def income_metrics(df: DataFrame, district: str = "arrondissement", hot_rows: in
     rows = df.where(F.col(district).isNotNull())
     others = [F.count("iris_code").alias("iris_count")]
     others += [F.avg(finite(F.col(name))).alias(name) for name in INCOME_MEANS]
-    medians = {name: finite(F.col(name)) for name in INCOME_MEDIANS}
+    medians = {name: F.col(name) for name in INCOME_MEDIANS}
     result = with_medians(rows, [district], medians, others, hot_rows)
     return result.select(
         district, "iris_count", *[round_even(F.col(name), 2).alias(name) for name in (*INCOME_MEDIANS, *INCOME_MEANS)]

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citygrain.functions.numbers import finite
 from citygrain.session import cut_lineage
 
 #: A group above this many rows does not go through one task.
@@ -45,7 +46,7 @@ def with_medians(
 ) -> DataFrame:
     """``groupBy(keys)`` with exact medians plus any aggregates that combine map-side.
 
-    ``medians`` maps an output name to a numeric column; NULLs are skipped. Runs one small count
+    ``medians`` maps an output name to a numeric column; NULL and NaN are skipped. Runs one small count
     job to find the hot groups.
     """
     keys = list(keys)
@@ -68,7 +69,7 @@ def with_medians(
 
 
 def _grouped(df: DataFrame, keys: list[str], medians: dict[str, Column], others: Sequence[Column]) -> DataFrame:
-    measures = [F.percentile(c.cast("double"), F.lit(0.5)).alias(name) for name, c in medians.items()]
+    measures = [F.percentile(finite(c), F.lit(0.5)).alias(name) for name, c in medians.items()]
     return df.groupBy(*keys).agg(*others, *measures)
 
 
@@ -110,7 +111,7 @@ def order_statistics(
         F.explode(
             F.array(
                 *[
-                    F.struct(F.lit(name).alias("_measure"), c.cast("double").alias("_v"))
+                    F.struct(F.lit(name).alias("_measure"), finite(c).alias("_v"))
                     for name, c in measures.items()
                 ]
             )

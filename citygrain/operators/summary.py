@@ -33,7 +33,7 @@ def fill_median(
     """Replace NULL by the exact median of the column, or by its default if the column is empty."""
     columns = list(columns)
     default = default or {}
-    row = with_medians(df, [], {name: finite(F.col(name)) for name in columns}, hot_rows=hot_rows).first()
+    row = with_medians(df, [], {name: F.col(name) for name in columns}, hot_rows=hot_rows).first()
     fallback = {name: row[name] if row and row[name] is not None else default.get(name) for name in columns}
     return df.withColumns(
         {name: F.coalesce(finite(F.col(name)), F.lit(fallback[name]).cast("double")) for name in columns}

@@ -82,9 +82,9 @@ def read_sales(spark: SparkSession, glob: str) -> DataFrame:
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(glob)
     by_year: dict[int, list[str]] = {}
     for row in listed.select("path").collect():
-        # A landed table is a folder of part files: its own name counts, not the parts'.
-        named = [YEAR_PATTERN.search(part) for part in reversed(row["path"].split("/")[-2:])]
-        found = next((match for match in named if match), None)
+        *_, folder, name = row["path"].split("/")
+        # A landed table is a folder of part files whose names mean nothing: the folder's counts.
+        found = YEAR_PATTERN.search(folder if folder.endswith(".csv") else name)
         if found:
             by_year.setdefault(int(found.group(1)), []).append(row["path"])
     if not by_year:
