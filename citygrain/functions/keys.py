@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from citygrain.functions.numbers import zfill
+from citygrain.functions.numbers import bound, zfill
 from citygrain.functions.text import extract_digits
 
 # Postal codes that do not follow the "last two digits" rule.
@@ -32,13 +32,15 @@ def joined(*parts: Column, sep: str = "|") -> Column:
 
 
 def postal_to_district(c: Column) -> Column:
-    digits = extract_digits(c)
-    last_two = F.right(digits, F.lit(2)).try_cast("int")
-    regular = digits.startswith(DEPARTMENT) & (F.length(digits) >= 5) & last_two.between(*DISTRICTS)
-    result = F.when(regular, last_two)
-    for code, district in SPECIAL_POSTAL_CODES.items():
-        result = F.when(digits == code, F.lit(district)).otherwise(result)
-    return result
+    def of_digits(digits: Column) -> Column:
+        last_two = F.right(digits, F.lit(2)).try_cast("int")
+        regular = digits.startswith(DEPARTMENT) & (F.length(digits) >= 5) & last_two.between(*DISTRICTS)
+        result = F.when(regular, last_two)
+        for code, district in SPECIAL_POSTAL_CODES.items():
+            result = F.when(digits == code, F.lit(district)).otherwise(result)
+        return result
+
+    return bound(extract_digits(c), of_digits)
 
 
 def district_postal(district: Column) -> Column:

@@ -9,6 +9,15 @@ from pyspark.sql import functions as F
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once.
+
+    A filter is pushed below the projection that made its column, and the column's expression is
+    then repeated for every mention. A lambda variable cannot be taken apart that way.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def round_even(c: Column, digits: int) -> Column:
     """Round to ``digits`` decimals the way array libraries do: scale, round half to even, unscale."""
     scale = float(10**digits)
@@ -20,12 +29,12 @@ def to_number(c: Column) -> Column:
 
     A bare cast would also take ``12d`` or a hexadecimal float.
     """
-    return F.when(c.rlike(NUMBER_PATTERN), F.trim(c).try_cast("double"))
+    return bound(c, lambda text: F.when(text.rlike(NUMBER_PATTERN), F.trim(text).try_cast("double")))
 
 
 def french_to_double(c: Column) -> Column:
     """``1 234,50`` to 1234.5: blanks and non-breaking blanks go, the comma is the decimal sign."""
-    return to_number(F.regexp_replace(F.translate(c, "\u00a0 ", ""), ",", "."))
+    return to_number(F.translate(c, ",\u00a0 ", "."))
 
 
 def finite(c: Column) -> Column:

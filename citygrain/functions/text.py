@@ -8,6 +8,8 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from citygrain.functions.numbers import bound
+
 # Abbreviated street designations and house-number suffixes.
 STREET_ALIASES = {
     "ALL": "ALLEE",
@@ -99,11 +101,14 @@ def extract_digits(c: Column) -> Column:
 
 def normalize_house_number(c: Column) -> Column:
     """Digits without leading zeros, but a number of zeros only stays as it is."""
-    digits = extract_digits(c)
-    stripped = F.ltrim(digits, F.lit("0"))
-    return F.when(stripped == "", digits).otherwise(stripped)
+
+    def without_zeros(digits: Column) -> Column:
+        stripped = F.ltrim(digits, F.lit("0"))
+        return F.when(stripped == "", digits).otherwise(stripped)
+
+    return bound(extract_digits(c), without_zeros)
 
 
 def normalize_suffix(c: Column) -> Column:
-    suffix = normalize_text(c)
-    return F.coalesce(F.try_element_at(_literal_map(SUFFIX_ALIASES), suffix), suffix)
+    aliases = _literal_map(SUFFIX_ALIASES)
+    return bound(normalize_text(c), lambda suffix: F.coalesce(F.try_element_at(aliases, suffix), suffix))

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from citygrain.functions import keys as k
 from citygrain.functions.numbers import finite, french_to_double, round_even, to_number, zfill
-from citygrain.operators.medians import HOT_GROUP_ROWS, with_medians
-from citygrain.operators.sales import distinct_per_group
+from citygrain.operators.medians import HOT_GROUP_ROWS, distinct_per_group, with_medians
 
 # What a district without any noise layer is given.
 NEUTRAL_ENVIRONMENT = {
@@ -46,7 +45,7 @@ def income_metrics(df: DataFrame, district: str = "arrondissement", hot_rows: in
     others = [F.count("iris_code").alias("iris_count")]
     others += [F.avg(finite(F.col(name))).alias(name) for name in INCOME_MEANS]
     medians = {name: F.col(name) for name in INCOME_MEDIANS}
-    result = with_medians(rows, [district], medians, others, hot_rows)
+    result = with_medians(rows, [district], medians, others, hot_rows=hot_rows)
     return result.select(
         district, "iris_count", *[round_even(F.col(name), 2).alias(name) for name in (*INCOME_MEDIANS, *INCOME_MEANS)]
     )

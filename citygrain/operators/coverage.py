@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +30,19 @@ COUNTS = (
 RATES = ("adresses_ban", "ban_plus", "geocoded", "quartier", "iris", "street", "building")
 
 
+def _whole(columns: list[str]) -> Column:
+    return reduce(and_, [F.col(name).isNotNull() for name in columns])
+
+
 def _counted(df: DataFrame, name: str) -> DataFrame:
-    return df.agg(F.lit(name).alias("field"), F.count(F.lit(1)).alias("n"))
+    """Number of rows without a NULL, as (field, n)."""
+    return df.agg(F.lit(name).alias("field"), F.count_if(_whole(df.columns)).alias("n"))
+
+
+def _counted_ids(grain: DataFrame, column: str, name: str) -> DataFrame:
+    """Number of ids with at least one row without a NULL, as (field, n)."""
+    ids = grain.groupBy(column).agg(F.bool_or(_whole(grain.columns)).alias("any"))
+    return ids.agg(F.lit(name).alias("field"), F.count_if("any").alias("n"))
 
 
 def coverage(geocoded: DataFrame) -> DataFrame:
@@ -54,18 +68,16 @@ def coverage(geocoded: DataFrame) -> DataFrame:
     fields = rows.columns
     long = rows.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("n")) for f in fields])).alias("f")).select("f.*")
 
-    def distinct(columns: tuple[str, ...], present: tuple[str, ...]) -> DataFrame:
-        return geocoded.select(*columns).dropna(subset=list(present)).dropDuplicates()
-
     # One grouping by grain gives the rows of the grain; its distinct ids give the second count.
-    streets = distinct(STREET_KEYS, STREET_KEYS)
-    buildings = distinct(BUILDING_KEYS, BUILDING_KEYS)
+    # A row with a NULL key is left uncounted, not filtered: see ``with_medians``.
+    streets = geocoded.select(*STREET_KEYS).dropDuplicates()
+    buildings = geocoded.select(*BUILDING_KEYS).dropDuplicates()
     parts = [
-        _counted(distinct(("transaction_id",), ("transaction_id",)), "input_transactions"),
+        _counted(geocoded.select("transaction_id").dropDuplicates(), "input_transactions"),
         _counted(streets, "street_year_rows"),
-        _counted(streets.select("street_key").dropDuplicates(), "street_count"),
+        _counted_ids(streets, "street_key", "street_count"),
         _counted(buildings, "building_year_rows"),
-        _counted(buildings.select("building_id").dropDuplicates(), "building_count"),
+        _counted_ids(buildings, "building_id", "building_count"),
     ]
     for part in parts:
         long = long.unionByName(part)

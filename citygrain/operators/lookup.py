@@ -67,7 +67,7 @@ def dedupe_reference(
         ["lookup_key"],
         {"long": F.col(longitude), "lat": F.col(latitude)},
         [best],
-        hot_rows,
+        hot_rows=hot_rows,
     )
     return grouped.select("lookup_key", F.col("_id").alias("cle_interop"), "long", "lat")
 

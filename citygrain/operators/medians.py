@@ -1,16 +1,20 @@
-"""Exact medians per group, also for a group that holds a large part of all rows.
-
-The built-in ``percentile`` keeps every distinct value of a group in the memory of one task.
-That is the best plan for groups of ordinary size. Groups above ``HOT_GROUP_ROWS`` rows are found
-first by a plain count (combined map-side), and their medians come from an exact distributed
-search instead: each pass counts values in equal-width bins between the smallest and the largest
-remaining value, keeps the one bin that holds the wanted rank, and repeats inside it until one
-value is left. A pass shuffles bin counts only, never the values.
+"""Exact medians and distinct counts per group, also for a group that holds a large part of all rows.
+
+Both need the values of a group side by side. A group of ordinary size is brought to one task,
+once, and worked out there with the built-in aggregates. Groups above ``HOT_GROUP_ROWS`` rows are
+looked for first by a plain count (combined map-side, over a sample) and take another way:
+
+* distinct counts group by (keys, value) first, which spreads a dominant group over all tasks;
+* medians come from an exact distributed search. Each pass counts values in equal-width bins
+  between the smallest and the largest remaining value, keeps the one bin that holds the wanted
+  rank, and repeats inside it until one value is left. A pass shuffles bin counts, never values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,7 +23,9 @@ from citygrain.functions.numbers import finite
 from citygrain.session import cut_lineage
 
 #: A group above this many rows does not go through one task.
-HOT_GROUP_ROWS = 1_000_000
+HOT_GROUP_ROWS = 200_000
+#: Rows of the sample that a group of that size has.
+SAMPLE_HITS = 10_000
 #: Bins per pass and group.
 BINS = 1024
 #: Hot keys are joined by broadcast up to this count; each stands for HOT_GROUP_ROWS rows or more.
@@ -34,7 +40,16 @@ def _same(keys: Sequence[str], left: str, right: str) -> Column:
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
+    """Keys of the groups above ``hot_rows`` rows.
+
+    With a large limit a sample tells them: a group of that size has SAMPLE_HITS rows in it, so
+    half as many is a safe sign, and the count shuffles a small part of the keys only. Which way a
+    group goes never changes its result, only where the work is done.
+    """
+    rate = min(1.0, SAMPLE_HITS / hot_rows)
+    seen = df if rate == 1.0 else df.sample(rate, seed=17)
+    limit = hot_rows if rate == 1.0 else SAMPLE_HITS / 2
+    return seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
 
 
 def with_medians(
@@ -42,39 +57,80 @@ def with_medians(
     keys: Sequence[str],
     medians: dict[str, Column],
     others: Sequence[Column] = (),
+    distinct: dict[str, Column] | None = None,
     hot_rows: int = HOT_GROUP_ROWS,
+    null_keys: bool = True,
 ) -> DataFrame:
-    """``groupBy(keys)`` with exact medians plus any aggregates that combine map-side.
+    """``groupBy(keys)`` with exact medians, distinct counts, and aggregates that combine map-side.
 
-    ``medians`` maps an output name to a numeric column; NULL and NaN are skipped. Runs one small count
-    job to find the hot groups.
+    ``medians`` and ``distinct`` map output names to columns; NULL and NaN are skipped. Runs one
+    small count job to find the hot groups. With ``null_keys=False`` groups with a NULL key are
+    left out; that is tested on the groups, as a filter on the rows would be pushed below the
+    projections that make the keys and repeat their expressions.
     """
-    keys = list(keys)
+    keys, distinct = list(keys), distinct or {}
     hot = hot_groups(df, keys, hot_rows).persist()
     n_hot = hot.count()
+    whole = reduce(and_, [F.col(f"`{key}`").isNotNull() for key in keys], F.lit(True))
     if n_hot == 0:
         hot.unpersist()
-        return _grouped(df, keys, medians, others)
-
-    hot_keys = hot.select(*keys) if keys else None
-    if hot_keys is None:
-        return _hot(df, keys, medians, others, n_hot)
-    small = F.broadcast(hot_keys) if n_hot <= BROADCAST_KEYS else hot_keys
-    condition = _same(keys, "r", "h")
-    cold_rows = df.alias("r").join(small.alias("h"), condition, "left_anti")
-    hot_rows_df = df.alias("r").join(small.alias("h"), condition, "left_semi")
-    return _grouped(cold_rows, keys, medians, others).unionByName(
-        _hot(hot_rows_df, keys, medians, others, n_hot)
+        result = _cold(df, keys, medians, others, distinct, whole)
+    elif not keys:
+        return _hot(df, keys, medians, others, distinct, n_hot)
+    else:
+        hot_keys = hot.select(*keys)
+        wanted = hot_keys if null_keys else hot_keys.where(whole)
+
+        def small(df: DataFrame) -> DataFrame:
+            return F.broadcast(df) if n_hot <= BROADCAST_KEYS else df
+
+        condition = _same(keys, "r", "h")
+        rest = df.alias("r").join(small(hot_keys).alias("h"), condition, "left_anti")
+        large = df.alias("r").join(small(wanted).alias("h"), condition, "left_semi")
+        result = _cold(rest, keys, medians, others, distinct, whole).unionByName(
+            _hot(large, keys, medians, others, distinct, n_hot).withColumn("_whole", F.lit(True))
+        )
+    return (result if null_keys else result.where("_whole")).drop("_whole")
+
+
+def _cold(
+    df: DataFrame,
+    keys: list[str],
+    medians: dict[str, Column],
+    others: Sequence[Column],
+    distinct: dict[str, Column],
+    whole: Column,
+) -> DataFrame:
+    """Rows travel to their group once; the aggregation buffers, which are larger, never do."""
+    if keys:
+        df = df.repartition(*keys)
+    return df.groupBy(*keys).agg(
+        *others,
+        F.coalesce(F.bool_and(whole), F.lit(True)).alias("_whole"),
+        # At most HOT_GROUP_ROWS values, checked by the caller.
+        *[F.size(F.collect_set(c)).cast("bigint").alias(name) for name, c in distinct.items()],
+        *[F.percentile(finite(c), F.lit(0.5)).alias(name) for name, c in medians.items()],
     )
 
 
-def _grouped(df: DataFrame, keys: list[str], medians: dict[str, Column], others: Sequence[Column]) -> DataFrame:
-    measures = [F.percentile(finite(c), F.lit(0.5)).alias(name) for name, c in medians.items()]
-    return df.groupBy(*keys).agg(*others, *measures)
+def distinct_per_group(df: DataFrame, keys: Sequence[str], c: Column, name: str) -> DataFrame:
+    """Exact distinct count of the non-NULL values, in two steps that spread a dominant group."""
+    return (
+        df.select(*keys, c.alias("_id"))
+        .where(F.col("_id").isNotNull())
+        .dropDuplicates()
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias(name))
+    )
 
 
 def _hot(
-    df: DataFrame, keys: list[str], medians: dict[str, Column], others: Sequence[Column], n_hot: int
+    df: DataFrame,
+    keys: list[str],
+    medians: dict[str, Column],
+    others: Sequence[Column],
+    distinct: dict[str, Column],
+    n_hot: int,
 ) -> DataFrame:
     found = order_statistics(
         df, keys, medians, lambda n: (F.floor((n - 1) / 2), F.floor(n / 2)), n_hot
@@ -82,15 +138,19 @@ def _hot(
     wide = found.groupBy(*keys).agg(
         *[F.avg(F.when(F.col("_measure") == name, F.col("value"))).alias(name) for name in medians],
     )
-    if not others:
-        return wide
-    plain = df.groupBy(*keys).agg(*others)
-    names = [name for name in plain.columns if name not in keys]
-    joined = plain.alias("p").join(wide.alias("m"), _same(keys, "p", "m"), "left")
-    return joined.select(
-        *[F.col(f"p.`{key}`") for key in keys],
-        *[F.col(f"p.`{name}`") for name in names],
-        *[F.col(f"m.`{name}`") for name in medians],
+    result = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *others)
+    plain = [name for name in result.columns if name not in (*keys, "_rows")]
+    sides = [wide, *[distinct_per_group(df, keys, c, name) for name, c in distinct.items()]]
+    for side in sides:
+        names = [name for name in side.columns if name not in keys]
+        result = result.alias("a").join(side.alias("b"), _same(keys, "a", "b"), "left").select(
+            "a.*", *[F.col(f"b.`{name}`") for name in names]
+        )
+    return result.select(
+        *keys,
+        *plain,
+        *[F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name) for name in distinct],
+        *medians,
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citygrain.functions import keys as k
-from citygrain.functions.numbers import french_to_double, price_per_m2, round_even
+from citygrain.functions.numbers import bound, french_to_double, price_per_m2, round_even
 from citygrain.functions.text import normalize_house_number, normalize_street, normalize_suffix
 from citygrain.operators.medians import HOT_GROUP_ROWS, with_medians
 from citygrain.roles import SALES, Roles
@@ -55,14 +55,24 @@ class QualityRules:
 
 def clean_sales(df: DataFrame, rules: QualityRules = QualityRules(), roles: Roles = SALES, nature: str = "Nature mutation") -> DataFrame:
     """Keep usable sales and add the price per square metre. A NULL in any test drops the row."""
-    price = price_per_m2(F.col(f"`{roles.value}`"), F.col(f"`{roles.surface}`"))
+    values = F.struct(
+        F.col(roles.district).alias("district"), F.col(roles.value).alias("value"), F.col(roles.surface).alias("surface")
+    )
+
+    def usable(sale: Column) -> Column:
+        return (
+            sale["district"].between(*rules.districts)
+            & (sale["surface"] > rules.min_surface)
+            & (sale["value"] > rules.min_value)
+            & bound(price_per_m2(sale["value"], sale["surface"]), lambda price: price.between(*rules.price_range))
+        )
+
+    # The tests on raw texts come first and reach the scan; parsed values are then bound once.
     return (
         df.where(F.col(f"`{nature}`") == rules.nature)
-        .where(F.col(roles.district).between(*rules.districts))
         .where(F.col(f"`{roles.kind}`").isin(*rules.kinds))
-        .where((F.col(roles.surface) > rules.min_surface) & (F.col(roles.value) > rules.min_value))
-        .withColumn(roles.price, price)
-        .where(F.col(roles.price).between(*rules.price_range))
+        .where(bound(values, usable))
+        .withColumn(roles.price, price_per_m2(F.col(roles.value), F.col(roles.surface)))
     )
 
 
@@ -121,36 +131,6 @@ def sales_from_raw(raw: DataFrame, rules: QualityRules = QualityRules()) -> Data
     return add_sale_keys(clean_sales(type_sales(raw), rules))
 
 
-def distinct_per_group(df: DataFrame, keys: Sequence[str], c: Column, name: str) -> DataFrame:
-    """Exact distinct count of the non-NULL values, hot groups included.
-
-    Two aggregations: the first one shuffles on (keys, value), so a dominant group is spread.
-    """
-    return (
-        df.select(*keys, c.alias("_id"))
-        .where(F.col("_id").isNotNull())
-        .dropDuplicates()
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(name))
-    )
-
-
-def distinct_sales(df: DataFrame, keys: Sequence[str], sale: Column, located: Column | None) -> DataFrame:
-    """``transactions`` and, given a flag, ``geocoded_transactions``: both from one pass per sale."""
-    if located is None:
-        return distinct_per_group(df, keys, sale, "transactions")
-    per_sale = (
-        df.select(*keys, sale.alias("_id"), located.alias("_located"))
-        .where(F.col("_id").isNotNull())
-        .groupBy(*keys, "_id")
-        .agg(F.max("_located").alias("_located"))
-    )
-    return per_sale.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("transactions"),
-        F.count_if(F.col("_located")).alias("geocoded_transactions"),
-    )
-
-
 def share_pct(flag: Column) -> Column:
     """Percentage of rows with the flag set; NULL counts as not set."""
     return F.avg(F.when(flag, 1.0).otherwise(0.0)) * 100.0
@@ -162,16 +142,10 @@ def sales_metrics(
     roles: Roles = SALES,
     extra_medians: dict[str, Column] | None = None,
     extra_distinct: dict[str, Column] | None = None,
-    located: Column | None = None,
     hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
-    """The sales aggregate for any list of keys; a row with a NULL key belongs to no group.
-
-    Distinct counts run beside the medians instead of inside one aggregate: mixed in one
-    ``agg`` Spark would carry the percentile buffers through the grouping by id.
-    """
+    """The sales aggregate for any list of keys; a row with a NULL key belongs to no group."""
     keys = list(keys)
-    rows = df.dropna(subset=keys)
     kind = F.col(f"`{roles.kind}`")
     medians = {
         "median_price_m2": F.col(roles.price),
@@ -184,18 +158,14 @@ def sales_metrics(
         share_pct(kind == roles.apartment).alias("apartment_share_pct"),
         share_pct(kind == roles.house).alias("house_share_pct"),
     ]
-    result = with_medians(rows, keys, medians, shares, hot_rows)
-    per_sale = distinct_sales(rows, keys, F.col(roles.id), located)
-    result = result.join(per_sale, keys, "left")
-    for name, c in (extra_distinct or {}).items():
-        result = result.join(distinct_per_group(rows, keys, c, name), keys, "left")
-    counts = ["transactions", *(["geocoded_transactions"] if located is not None else []), *(extra_distinct or {})]
+    distinct = {"transactions": F.col(roles.id), **(extra_distinct or {})}
+    result = with_medians(df, keys, medians, shares, distinct, hot_rows, null_keys=False)
     return result.select(
         *keys,
-        *[F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name) for name in counts],
+        *distinct,
         *[round_even(F.col(name), 2).alias(name) for name in METRICS if name.startswith("median_")],
         *[round_even(F.col(name), 1).alias(name) for name in METRICS if name.endswith("_share_pct")],
-        *[F.col(name) for name in extra_medians or {}],
+        *(extra_medians or {}),
     )
 
 
@@ -211,6 +181,10 @@ def sales_by_iris(df: DataFrame, roles: Roles = SALES, **options) -> DataFrame:
     return sales_metrics(df, IRIS_KEYS, roles, **options)
 
 
+def _located(roles: Roles) -> Column:
+    return F.when(F.col(roles.longitude).isNotNull(), F.col(roles.id))
+
+
 def _position(roles: Roles) -> dict[str, Column]:
     return {"longitude": F.col(roles.longitude), "latitude": F.col(roles.latitude)}
 
@@ -221,8 +195,7 @@ def sales_by_street(df: DataFrame, roles: Roles = SALES, **options) -> DataFrame
         STREET_KEYS,
         roles,
         extra_medians=_position(roles),
-        extra_distinct={"buildings": F.col("building_id")},
-        located=F.col(roles.longitude).isNotNull(),
+        extra_distinct={"buildings": F.col("building_id"), "geocoded_transactions": _located(roles)},
         **options,
     )
     return result.select(
@@ -236,8 +209,7 @@ def sales_by_building(df: DataFrame, roles: Roles = SALES, **options) -> DataFra
         BUILDING_KEYS,
         roles,
         extra_medians=_position(roles),
-        extra_distinct={"parcel_count": F.col("parcel_id")},
-        located=F.col(roles.longitude).isNotNull(),
+        extra_distinct={"geocoded_transactions": _located(roles), "parcel_count": F.col("parcel_id")},
         **options,
     )
     return result.select(

@@ -15,7 +15,7 @@ from citygrain.session import shared_folder
 from citygrain.sources.store import Store, publish_all
 from citygrain.streaming import events as ev
 from workloads import facts
-from workloads.registry import register, table
+from workloads.registry import register, spread_table, table
 from workloads.sales import SALES_SQL, grain_sql, sale_rows
 from workloads.spatial import lines, nation_zones
 
@@ -24,7 +24,7 @@ c = F.col
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as raw text lines of a sales file."""
-    lines_ = table(spark, sf_dir, "lineitem")
+    lines_ = spread_table(spark, sf_dir, "lineitem")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation, part, number = c("s_nationkey"), c("l_partkey"), c("l_linenumber")
     price = F.format_string("%.2f", c("l_extendedprice") * 10)

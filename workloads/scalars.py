@@ -10,7 +10,7 @@ from citygrain.functions import keys as k
 from citygrain.functions import numbers as n
 from citygrain.functions import records as r
 from citygrain.functions import text as t
-from workloads.registry import register, round_sql, table
+from workloads.registry import register, round_sql, spread_table, table
 
 c = F.col
 
@@ -102,7 +102,7 @@ def postal_districts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("SELECT doc_id, regexp_replace(coalesce(text, ''), '[^0-9]', '', 'g') AS digits FROM documents")
 def document_digits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", t.extract_digits(c("text")).alias("digits"))
+    return spread_table(spark, sf_dir, "documents").select("doc_id", t.extract_digits(c("text")).alias("digits"))
 
 
 NORMAL_SQL = """trim(regexp_replace(
@@ -111,7 +111,7 @@ NORMAL_SQL = """trim(regexp_replace(
 
 @register(f"SELECT doc_id, lang, {NORMAL_SQL} AS normalized FROM documents")
 def normalized_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread_table(spark, sf_dir, "documents").select(
         "doc_id", "lang", t.normalize_text(c("text")).alias("normalized")
     )
 
@@ -126,7 +126,7 @@ ALIAS_SQL = "MAP {" + ", ".join(f"'{short}': '{long}'" for short, long in t.STRE
     FROM s"""
 )
 def normalized_streets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", t.normalize_street(c("text")).alias("street"))
+    return spread_table(spark, sf_dir, "documents").select("doc_id", t.normalize_street(c("text")).alias("street"))
 
 
 HOUSE_SQL = """
