@@ -69,15 +69,15 @@ def with_medians(
     projections that make the keys and repeat their expressions.
     """
     keys, distinct = list(keys), distinct or {}
-    hot = hot_groups(df, keys, hot_rows).persist()
-    n_hot = hot.count()
+    hot = hot_groups(df, keys, hot_rows)
     whole = reduce(and_, [F.col(f"`{key}`").isNotNull() for key in keys], F.lit(True))
-    if n_hot == 0:
-        hot.unpersist()
+    if hot.isEmpty():
         result = _cold(df, keys, medians, others, distinct, whole)
     elif not keys:
-        return _hot(df, keys, medians, others, distinct, n_hot)
+        return _hot(df, keys, medians, others, distinct, 1)
     else:
+        hot = hot.persist()
+        n_hot = hot.count()
         hot_keys = hot.select(*keys)
         wanted = hot_keys if null_keys else hot_keys.where(whole)
 

@@ -176,6 +176,15 @@ def _crossings(near: Column, p: Column, q: Column) -> Column:
     return F.filter(F.flatten(F.transform(near, of_edge)), lambda t: (t > 0.0) & (t < 1.0))
 
 
+def _straddles(box: Column, p: Column, q: Column) -> Column:
+    """The corners of the box are not all on one side of the line through p and q."""
+    dx, dy = q["x"] - p["x"], q["y"] - p["y"]
+    sides = [
+        dx * (box[y] - p["y"]) - dy * (box[x] - p["x"]) for x in ("minx", "maxx") for y in ("miny", "maxy")
+    ]
+    return (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+
+
 def _near_edges(zone_edges: Column, p: Column, q: Column) -> Column:
     """Edges whose box meets the segment's box."""
     return F.filter(
@@ -281,6 +290,7 @@ def clip_lines(
             (c("_cx") == cell(F.greatest("_sbox.minx", "_box.minx"), size))
             & (c("_cy") == cell(F.greatest("_sbox.miny", "_box.miny"), size))
         )
+        .where(_straddles(c("_box"), c("_s.p"), c("_s.q")))
         .select(line_id, "_part", "_seg", "_s", "_order")
     )
     p, q = c("_s.p"), c("_s.q")

@@ -244,10 +244,10 @@ def districts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def summary(spark: SparkSession, sf_dir: str, sales: DataFrame | None = None) -> DataFrame:
     return ops.build_summary(
         districts(spark, sf_dir),
-        sales_ops.sales_by_district(sale_rows(spark, sf_dir)),
+        sales_ops.sales_by_district(sale_rows(spark, sf_dir)) if sales is None else sales,
         context.income_metrics(income_rows(spark, sf_dir)),
         context.rent_metrics(rent_rows(spark, sf_dir)),
         context.social_metrics(social_rows(spark, sf_dir)),

@@ -27,6 +27,11 @@ def sales_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_ops.sales_by_district(sale_rows(spark, sf_dir)).persist()
 
 
+def summary_and_sales(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    sales = sales_yearly(spark, sf_dir)
+    return facts.summary(spark, sf_dir, sales), sales
+
+
 def overview_sql(year: int) -> str:
     return f"""{SUMMARY_SQL},
     merged AS (SELECT s.* EXCLUDE ({METRICS}, months_income_for_1sqm), {', '.join(f'y.{m}' for m in sales_ops.METRICS)},
@@ -39,12 +44,12 @@ def overview_sql(year: int) -> str:
 
 @register(f"WITH {overview_sql(YEAR)} SELECT * FROM overview")
 def overview_of_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.overview(facts.summary(spark, sf_dir), sales_yearly(spark, sf_dir), YEAR)
+    return ops.overview(*summary_and_sales(spark, sf_dir), YEAR)
 
 
 @register(f"WITH {overview_sql(YEAR)} SELECT {CITY_COLUMNS_SQL}, max(selected_sales_year) AS selected_sales_year FROM overview")
 def overview_city_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.overview_city(facts.summary(spark, sf_dir), sales_yearly(spark, sf_dir), YEAR)
+    return ops.overview_city(*summary_and_sales(spark, sf_dir), YEAR)
 
 
 def series_sql(series: str, source: str, metrics: tuple[str, ...], district: int) -> str:
@@ -89,7 +94,7 @@ def delta_sql(source: str, key: str, left: str, right: str, metrics: tuple[str,
 
 @register(f"WITH {overview_sql(YEAR)} {delta_sql('overview', 'arrondissement', '3', '9', COMPARED_DISTRICT_METRICS)}")
 def districts_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.compare_districts(facts.summary(spark, sf_dir), sales_yearly(spark, sf_dir), 3, 9, YEAR)
+    return ops.compare_districts(*summary_and_sales(spark, sf_dir), 3, 9, YEAR)
 
 
 def quartier_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,7 +142,7 @@ DISTRICT_FEATURES_SQL = """features AS (SELECT n_nationkey AS feature_index, n_n
 )
 def district_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.map_districts(
-        district_features(spark, sf_dir), facts.summary(spark, sf_dir), sales_yearly(spark, sf_dir), "noise_score", YEAR
+        district_features(spark, sf_dir), *summary_and_sales(spark, sf_dir), "noise_score", YEAR
     )
 
 
