@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citygrain.functions.numbers import finite
-from citygrain.session import cut_lineage
+from citygrain.session import cut_lineage, staged
 
 #: A group above this many rows does not go through one task.
 HOT_GROUP_ROWS = 200_000
@@ -166,17 +166,14 @@ def order_statistics(
     ``ranks(n)`` maps the column holding the number of non-NULL values to zero-based rank columns.
     """
     keys = list(keys)
-    long = df.select(
-        *keys,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("_measure"), finite(c).alias("_v"))
-                    for name, c in measures.items()
-                ]
-            )
-        ).alias("_m"),
-    ).select(*keys, "_m._measure", "_m._v").where(F.col("_v").isNotNull())
+    # Every pass reads the values again: they are written once, without the columns nobody needs.
+    columns = {f"_v{i}": finite(c).alias(f"_v{i}") for i, c in enumerate(measures.values())}
+    values = staged(df.select(*keys, *columns.values()), "ranked-values")
+    pairs = [
+        F.struct(F.lit(name).alias("_measure"), F.col(column).alias("_v")) for name, column in zip(measures, columns)
+    ]
+    long = values.select(*keys, F.explode(F.array(*pairs)).alias("_m")).select(*keys, "_m._measure", "_m._v")
+    long = long.where(F.col("_v").isNotNull())
 
     target = [*keys, "_measure", "_which"]
     totals = long.groupBy(*keys, "_measure").agg(

@@ -28,18 +28,24 @@ def with_edges(zones: DataFrame, rings: str = "rings") -> DataFrame:
     return zones.withColumn("_box", geo.bounds(F.col(rings))).withColumn("_edges", geo.edges(F.col(rings)))
 
 
-def grid_size(zones: DataFrame, cells_per_side: int = CELLS_PER_SIDE) -> float:
-    """Power-of-two cell size that fits the layer; one small aggregate over the boxes."""
+def layer_grid(
+    zones: DataFrame, cells_per_side: int = CELLS_PER_SIDE
+) -> tuple[float, tuple[float, float, float, float] | None]:
+    """Power-of-two cell size that fits the layer, and the layer's box; one small aggregate."""
     box = F.col("_box")
-    width = F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"])
     row = zones.agg(
-        F.avg(width).alias("side"),
-        F.greatest(
-            F.max(box["maxx"]) - F.min(box["minx"]), F.max(box["maxy"]) - F.min(box["miny"])
-        ).alias("extent"),
+        F.min(box["minx"]),
+        F.min(box["miny"]),
+        F.max(box["maxx"]),
+        F.max(box["maxy"]),
+        F.avg(F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"])),
     ).first()
-    wanted = max((row["side"] or 0.0) / cells_per_side, (row["extent"] or 0.0) / MAX_CELLS_PER_SIDE)
-    return 2.0 ** math.floor(math.log2(wanted)) if wanted > 0 else 1.0
+    *extent, side = row
+    if side is None:
+        return 1.0, None
+    longest = max(extent[2] - extent[0], extent[3] - extent[1])
+    wanted = max(side / cells_per_side, longest / MAX_CELLS_PER_SIDE)
+    return (2.0 ** math.floor(math.log2(wanted)) if wanted > 0 else 1.0), tuple(extent)
 
 
 def cell(value: Column, size: float) -> Column:
@@ -110,7 +116,7 @@ def spatial_join(
     points are not shuffled where the zone index is small enough to broadcast.
     """
     layer = with_edges(zones.where(F.size(rings) > 0), rings)
-    size = cell_size or grid_size(layer)
+    size = cell_size or layer_grid(layer)[0]
     props = F.struct(*[F.col(name).alias(out) for name, out in properties.items()])
     index = (
         zone_cells(layer.select(F.col(order).alias("_order"), "_box", "_edges", props.alias("_props")), size)
@@ -253,7 +259,8 @@ def clip_lines(
     c = F.col
     layer = with_edges(zones.where(F.size(rings) > 0), rings)
     # A segment is listed under every cell of its box, so cells are as large as zones here.
-    size = cell_size or grid_size(layer, 1)
+    grid, extent = layer_grid(layer, 1)
+    size, extent = cell_size or grid, extent or (0.0, 0.0, 0.0, 0.0)
     index = _cells_of_box(layer.select(F.col(order).alias("_order"), "_box"), c("_box"), size)
     shapes = layer.select(F.col(order).alias("_order"), "_edges", *zone_columns)
 
@@ -269,15 +276,17 @@ def clip_lines(
         lines.select(line_id, F.posexplode(parts).alias("_part", "_points"))
         .select(line_id, "_part", F.posexplode(pairs(c("_points"))).alias("_seg", "_s"))
         .where((c("_s.p.x") != c("_s.q.x")) | (c("_s.p.y") != c("_s.q.y")))
+        # Only the part of the box that the layer reaches is listed by cell.
         .withColumn(
             "_sbox",
             F.struct(
-                F.least("_s.p.x", "_s.q.x").alias("minx"),
-                F.least("_s.p.y", "_s.q.y").alias("miny"),
-                F.greatest("_s.p.x", "_s.q.x").alias("maxx"),
-                F.greatest("_s.p.y", "_s.q.y").alias("maxy"),
+                F.greatest(F.least("_s.p.x", "_s.q.x"), F.lit(extent[0])).alias("minx"),
+                F.greatest(F.least("_s.p.y", "_s.q.y"), F.lit(extent[1])).alias("miny"),
+                F.least(F.greatest("_s.p.x", "_s.q.x"), F.lit(extent[2])).alias("maxx"),
+                F.least(F.greatest("_s.p.y", "_s.q.y"), F.lit(extent[3])).alias("maxy"),
             ),
         )
+        .where("_sbox.minx <= _sbox.maxx and _sbox.miny <= _sbox.maxy")
         # The cutting is work for the processor: segments of one long line are spread over tasks.
         .repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), line_id, "_part", "_seg")
     )

@@ -107,9 +107,8 @@ def start_stream(
     def publish(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
-        metrics = stream_metrics(spark, folder)
         if not accepted_events(spark, folder).isEmpty():
-            store.write(STREAM_TABLE, metrics)
+            store.write(STREAM_TABLE, stream_metrics(spark, folder))
 
     writer = events.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
