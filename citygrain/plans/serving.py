@@ -55,7 +55,8 @@ def overview(summary: DataFrame, sales: DataFrame, year: int | None = None) -> D
     rows = rows.withColumn(
         "months_income_for_1sqm", ind.months_income(F.col("median_price_m2"), F.col("median_income_eur"))
     )
-    return with_rank(rows, "median_price_m2").withColumn("selected_sales_year", F.lit(selected))
+    ranked = with_rank(rows, "median_price_m2").withColumn("selected_sales_year", F.lit(selected))
+    return ranked.orderBy(DISTRICT)
 
 
 def overview_city(summary: DataFrame, sales: DataFrame, year: int | None = None) -> DataFrame:
@@ -82,7 +83,7 @@ def timeline(
         metrics = [name for name in df.columns if name not in (DISTRICT, "year")]
         rows = df.where(F.col(DISTRICT) == district)
         parts.append(_long(rows, [F.lit(series).alias("series"), F.col("year").cast("int").alias("year")], metrics))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).orderBy("series", "year", "metric")
 
 
 def _deltas(rows: DataFrame, key: str, left, right, metrics: tuple[str, ...]) -> DataFrame:

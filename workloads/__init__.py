@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from workloads.registry import ORACLES, QUERIES
-from workloads import facts, lookup, pipeline, sales, scalars, serving, spatial  # noqa: F401
+from workloads import facts, files, lookup, pipeline, sales, scalars, serving, spatial  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]
