@@ -7,6 +7,9 @@ side is unique on its key, so the row count of the sales never changes.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,12 +17,14 @@ from citygrain.functions import keys as k
 from citygrain.functions.numbers import to_number
 from citygrain.functions.text import normalize_house_number, normalize_street, normalize_suffix
 from citygrain.operators.medians import HOT_GROUP_ROWS, with_medians
+from citygrain.session import broadcast_limit, estimated_bytes
 
 # Link kinds by preference, and the rank and address count of anything else.
 LINK_PRIORITY = {"GEO": 0, "BAN": 1}
 OTHER_PRIORITY = 9
 UNKNOWN_ADDRESS_COUNT = 999_999
 
+GEOCODE_COLUMNS = ("matched_cle_interop", "longitude", "latitude", "geocode_source")
 ADDRESS_SOURCE = "adresses-ban"
 PARCEL_SOURCE = "ban-plus"
 
@@ -142,12 +147,36 @@ def geocode(
     without_suffix: DataFrame,
     by_id: DataFrame,
     links: DataFrame | None = None,
+    by_keys: bool | None = None,
 ) -> DataFrame:
     """Exact address, then the address without suffix, then the parcel's address.
 
     The three references come from :func:`dedupe_reference`, ``links`` from :func:`best_link`.
     A later tier only fills rows that still lack a longitude; it replaces their id even by NULL.
+
+    References that Spark can broadcast are joined to the sales directly, without a shuffle.
+    Larger ones (``by_keys``) meet the distinct keys of the sales first, so that the sales
+    themselves are shuffled once and not for every tier.
     """
+    sides = (with_suffix, without_suffix, by_id, links)
+    if by_keys is None:
+        limit = broadcast_limit(sales.sparkSession)
+        by_keys = any(estimated_bytes(side) > limit for side in sides if side is not None)
+    if not by_keys:
+        return _cascade(sales, *sides)
+    keys = ["address_key", "address_key_no_suffix", "parcel_id"]
+    resolved = _cascade(sales.select(*keys).dropDuplicates(), *sides)
+    same = reduce(and_, [F.col(f"s.{key}").eqNullSafe(F.col(f"r.{key}")) for key in keys])
+    return sales.alias("s").join(resolved.alias("r"), same, "left").select("s.*", *[f"r.{name}" for name in GEOCODE_COLUMNS])
+
+
+def _cascade(
+    sales: DataFrame,
+    with_suffix: DataFrame,
+    without_suffix: DataFrame,
+    by_id: DataFrame,
+    links: DataFrame | None,
+) -> DataFrame:
     c = F.col
     rows = sales.join(_lookup(with_suffix, "address_key", "_a"), "address_key", "left").join(
         _lookup(without_suffix, "address_key_no_suffix", "_b"), "address_key_no_suffix", "left"
@@ -181,7 +210,7 @@ def geocode(
                 ),
             }
         )
-    return rows.select(*sales.columns, "matched_cle_interop", "longitude", "latitude", "geocode_source")
+    return rows.select(*[F.col(f"`{name}`") for name in sales.columns], *GEOCODE_COLUMNS)
 
 
 def add_micro_keys(df: DataFrame) -> DataFrame:

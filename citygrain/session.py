@@ -66,6 +66,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of a frame's size, before anything is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """Size up to which Spark broadcasts a join side by itself, in bytes."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def spread(df: DataFrame, at_least: int = 1024 * 1024) -> DataFrame:
     """Spread a file table that is too small to be read by every core at once.
 
@@ -74,7 +84,7 @@ def spread(df: DataFrame, at_least: int = 1024 * 1024) -> DataFrame:
     core, are left as they are.
     """
     spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = estimated_bytes(df)
     cores = spark.sparkContext.defaultParallelism
     split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     return df.repartition(cores) if at_least <= size < cores * split else df

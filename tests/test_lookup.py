@@ -47,7 +47,7 @@ SALES = "id int, address_key string, address_key_no_suffix string, parcel_id str
 LOOKUP = "lookup_key string, cle_interop string, long double, lat double"
 
 
-def cascade(spark, with_links=True):
+def cascade(spark, with_links=True, by_keys=None):
     sales = spark.createDataFrame(
         [
             (1, "k1", "n1", "p1"),  # exact address
@@ -64,13 +64,14 @@ def cascade(spark, with_links=True):
     loose = spark.createDataFrame([("n1", "B", 3.0, 4.0)], LOOKUP)
     by_id = spark.createDataFrame([("C", "C", 5.0, 6.0)], LOOKUP)
     links = spark.createDataFrame([("p1", "C", "GEO"), ("p2", "D", "GEO")], "idu string, id_adr string, type_lien string")
-    found = ops.geocode(sales, exact, loose, by_id, links if with_links else None)
+    found = ops.geocode(sales, exact, loose, by_id, links if with_links else None, by_keys)
     names = ("id", "matched_cle_interop", "longitude", "latitude", "geocode_source")
     return sorted(values(found, *names))
 
 
-def test_geocode_cascade(spark):
-    assert cascade(spark) == [
+@pytest.mark.parametrize("by_keys", [None, True, False])
+def test_geocode_cascade(spark, by_keys):
+    assert cascade(spark, by_keys=by_keys) == [
         (1, "A", 1.0, 2.0, "adresses-ban"),
         (2, "B", 3.0, 4.0, "adresses-ban"),
         (3, "C", 5.0, 6.0, "ban-plus"),

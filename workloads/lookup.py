@@ -150,8 +150,7 @@ FROM third
 """
 
 
-@register(GEOCODE_SQL)
-def geocode_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+def geocoded(spark: SparkSession, sf_dir: str, by_keys: bool | None) -> DataFrame:
     reference = addresses(spark, sf_dir)
     return ops.geocode(
         sales_to_place(spark, sf_dir),
@@ -159,9 +158,21 @@ def geocode_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
         ops.dedupe_reference(reference, "address_key_no_suffix"),
         ops.dedupe_reference(reference, "cle_interop"),
         ops.best_link(links(spark, sf_dir)),
+        by_keys,
     )
 
 
+@register(GEOCODE_SQL)
+def geocode_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geocoded(spark, sf_dir, None)
+
+
+@register(GEOCODE_SQL)
+def geocode_cascade_by_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way taken for references too large to broadcast."""
+    return geocoded(spark, sf_dir, True)
+
+
 @register(
     """SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS idu FROM orders
     WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 1)"""
