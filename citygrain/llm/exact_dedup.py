@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citygrain.llm.columns import plain_names
 from citygrain.llm.words import lowered, text_bytes
 from citygrain.session import staged
 
@@ -180,7 +181,6 @@ def exact_groups(docs: DataFrame, polynomial: Polynomial = Polynomial()) -> Data
     Groups are those of equal fingerprints; the comparison of chunks splits what doesn't belong
     together, round by round, until nothing differs.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = staged(
         with_fingerprints(texts, polynomial)
@@ -220,7 +220,6 @@ def exact_groups(docs: DataFrame, polynomial: Polynomial = Polynomial()) -> Data
             ),
             "regrouped",
         )
-    return spark.createDataFrame([], "doc_id long")
 
 
 def _sized(frame: DataFrame) -> DataFrame:
@@ -264,6 +263,7 @@ def mark_exact_duplicates(docs: DataFrame, polynomial: Polynomial = Polynomial()
 
 def drop_exact_duplicates(docs: DataFrame, polynomial: Polynomial = Polynomial()) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    docs, restored = plain_names(docs, ("doc_id", "text"))
     groups = exact_groups(docs, polynomial)
     gone = groups.where(~(F.col("doc_id").eqNullSafe(F.col("_keep")) & (F.col("_sha256") == F.col("_keep_sha"))))
     repeated = groups.where((F.col("_rows") > 1) & F.col("doc_id").eqNullSafe(F.col("_keep")) & (F.col("_sha256") == F.col("_keep_sha")))
@@ -274,6 +274,6 @@ def drop_exact_duplicates(docs: DataFrame, polynomial: Polynomial = Polynomial()
         return marked.join(other, [marked[name].eqNullSafe(F.col(f"_{name}_other")) for name in ROW], how)
 
     if repeated.isEmpty():
-        return meets(gone, "left_anti").select(*docs.columns)
+        return restored(meets(gone, "left_anti"))
     once = meets(repeated, "left_semi").dropDuplicates(ROW)
-    return meets(gone.select(*ROW).union(repeated.select(*ROW)), "left_anti").union(once).select(*docs.columns)
+    return restored(meets(gone.select(*ROW).union(repeated.select(*ROW)), "left_anti").union(once))

@@ -20,14 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citygrain.llm.columns import text_volume
 from citygrain.llm.words import MinHash, lowered, shingle_hashes, slices, text_bytes, word_hashes
-from citygrain.session import estimated_bytes
 
 PERMUTATIONS = 128
 BANDS = 32
 
 #: Bytes of input files that go to one range of ids.
 RANGE_BYTES = 16 * 1024 * 1024
+#: Split points that the driver holds at most; beyond them ranges grow, which are sorted and read as streams.
+MOST_RANGES = 100_000
 
 
 def sketches(column: pa.Array, hasher: MinHash) -> np.ndarray:
@@ -101,7 +103,7 @@ def verified_links(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
 def _ranges(docs: DataFrame) -> tuple[list[int], list[int | None]]:
     """Split points of the ids, one per RANGE_BYTES of input, and the first id of each range."""
-    count = max(docs.sparkSession.sparkContext.defaultParallelism, estimated_bytes(docs) // RANGE_BYTES)
+    count = max(docs.sparkSession.sparkContext.defaultParallelism, min(MOST_RANGES, text_volume(docs) // RANGE_BYTES))
     ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("id"))
     points = sorted({int(p) for p in ids.approxQuantile("id", [i / count for i in range(1, count)], 0.2 / count)}) if count > 1 else []
     numbered = ids.mapInArrow(

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from citygrain.llm.columns import plain_names
 from citygrain.llm.components import components
 from citygrain.llm.words import MinHash, lowered, shingle_hashes, slices, text_bytes, word_hashes
 from citygrain.session import staged
@@ -255,10 +256,11 @@ def _with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id, n_links and node.
+    """One row per row of ``docs``: doc_id, class_id, n_links, node and component.
 
     n_links is the number of other rows with a Jaccard similarity of at least ``threshold``; a class
-    joins everything that such links connect. Rows with the same node have the same shingle set.
+    joins everything that such links connect. Rows with the same node have the same shingle set; the
+    component tells classes apart also where all ids are null.
     """
     depth = matched_depth(threshold=threshold)
     signed = staged(signed_nodes(docs, depth), "signatures")
@@ -309,10 +311,10 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFram
     facts = (
         named.join(least, "component")
         .join(counts, "node", "left")
-        .select("node", "class_id", (F.col("_rows") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"))
+        .select("node", "component", "class_id", (F.col("_rows") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"))
     )
     facts = staged(facts, "classes")
-    return rows.join(facts, "node").select("doc_id", "class_id", "n_links", "node")
+    return rows.join(facts, "node").select("doc_id", "class_id", "n_links", "node", "component")
 
 
 def with_nodes(docs: DataFrame) -> DataFrame:
@@ -333,11 +335,12 @@ def drop_similar_documents(docs: DataFrame, threshold: float = THRESHOLD) -> Dat
 
     If rows repeat that id, the one with the smallest node stays; of rows that repeat id and text, one.
     """
-    found = similar_documents(docs, threshold).select(F.col("doc_id").alias("_id"), F.col("node").alias("_set"), "class_id")
+    docs, restored = plain_names(docs, ("doc_id", "text"))
+    found = similar_documents(docs, threshold).select(F.col("doc_id").alias("_id"), F.col("node").alias("_set"), "component")
     best = F.min(F.struct(F.col("_id").isNull().alias("missing"), F.col("_id").alias("id"), F.col("_set").alias("node")))
-    found = staged(found.groupBy("_id", "_set", "class_id").agg(F.count(F.lit(1)).alias("_n")), "similar")
-    tops = found.groupBy("class_id").agg(best.alias("_top")).withColumnRenamed("class_id", "_class")
-    judged = found.join(tops, found["class_id"].eqNullSafe(F.col("_class")))
+    found = staged(found.groupBy("_id", "_set", "component").agg(F.count(F.lit(1)).alias("_n")), "similar")
+    tops = found.groupBy("component").agg(best.alias("_top"))
+    judged = found.join(tops, "component")
     stays = F.col("_id").eqNullSafe(F.col("_top.id")) & (F.col("_set") == F.col("_top.node"))
     judged = staged(judged.select("_id", "_set", "_n", stays.alias("_stays")), "judged")
     marked = with_nodes(docs)
@@ -349,8 +352,7 @@ def drop_similar_documents(docs: DataFrame, threshold: float = THRESHOLD) -> Dat
 
     gone = judged.where(~F.col("_stays")).select("_id", "_set")
     repeated = judged.where(F.col("_stays") & (F.col("_n") > 1)).select("_id", "_set")
-    columns = [f"`{name}`" for name in docs.columns]
     if repeated.isEmpty():
-        return meets(gone, "left_anti").select(*columns)
+        return restored(meets(gone, "left_anti"))
     once = meets(repeated, "left_semi").dropDuplicates(["doc_id", "_node"])
-    return meets(gone.union(repeated), "left_anti").union(once).select(*columns)
+    return restored(meets(gone.union(repeated), "left_anti").union(once))

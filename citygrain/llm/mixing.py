@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citygrain.llm.columns import plain_names
 from citygrain.session import staged
 
 #: Sources in order weigh these, repeating.
@@ -169,7 +170,8 @@ def mixed_documents(docs: DataFrame, quality: DataFrame | None = None) -> DataFr
     Texts are not shuffled: each row learns from its own key, and what holds for its source, how
     often it is taken.
     """
+    docs, restored = plain_names(docs, ("doc_id", "text", "source"))
     rows = _keyed(docs.select("doc_id", "text", F.col("source").cast("string").alias("source")), quality)
     plan = staged(_cuts(staged(rows.select("source", F.col("_size").alias("size"), F.col("_key").alias("key")), "mixed")), "cuts")
     kept = _with_copies(_keyed(docs, quality), plan).where("_copies > 0")
-    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*(f"`{c}`" for c in docs.columns))
+    return restored(kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))))

@@ -30,8 +30,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citygrain.llm import files
+from citygrain.llm.columns import text_volume
 from citygrain.llm.words import lowered, slices, text_bytes, word_hashes
-from citygrain.session import estimated_bytes, staged
+from citygrain.session import staged
 
 DISCOUNT = 0.75
 ADDED = 0.1
@@ -386,7 +387,7 @@ def fit(docs: DataFrame, train: Column) -> NgramModel:
     spark = docs.sparkSession
     folder = files.new_folder(spark, "ngram-model")
     texts = docs.where(train).select("text")
-    shards = int(max(1, estimated_bytes(docs) // WORD_SHARD_BYTES))
+    shards = int(max(1, text_volume(docs) // WORD_SHARD_BYTES))
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _Counter(lambda keys: _word_part(keys, shards))

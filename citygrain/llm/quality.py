@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citygrain.llm.columns import plain_names
 from citygrain.llm.words import SLICE_BYTES, slices, text_bytes
 
 PASSAGE_BYTES = 512
@@ -238,3 +239,9 @@ def score_quality(docs: DataFrame, model: AttentionModel, keep: tuple[str, ...]
             )
 
     return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(scored, schema)
+
+
+def keep_good(docs: DataFrame, model: AttentionModel, least: float) -> DataFrame:
+    """The rows of ``docs`` that score at least ``least``, with all their columns."""
+    plain, restored = plain_names(docs, ("doc_id", "text"))
+    return restored(score_quality(plain, model, tuple(plain.columns)).where(F.col("score") >= least))

@@ -21,8 +21,7 @@ LEAST_QUALITY = 0.7
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is high enough, judged on whole texts."""
     model = quality.fit_quality_model(docs, table(spark, sf_dir, "labels"), F.lit(True))
-    scored = quality.score_quality(docs, model, tuple(docs.columns))
-    return scored.where(F.col("score") >= LEAST_QUALITY).select(*docs.columns)
+    return quality.keep_good(docs, model, LEAST_QUALITY)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
