@@ -66,6 +66,7 @@ class EliasFano:
         at += 8 * (words + 1)
         self.low = np.frombuffer(data, dtype=np.uint8, count=low_bytes, offset=at)
         self.end = at + low_bytes
+        self._ones: np.ndarray | None = None
         self._wide = np.ndarray(max(0, low_bytes - 7), dtype="<u8", buffer=data, offset=at, strides=(1,)) if low_bytes > 7 else None
 
     @staticmethod
@@ -116,9 +117,10 @@ class EliasFano:
 
     def access(self, index: np.ndarray) -> np.ndarray:
         """Values at these places."""
-        ones = np.arange(len(self.zeros), dtype=np.int64) * 64 - self.zeros
-        word = np.searchsorted(ones, index, side="right") - 1
-        place = word * 64 + self._select_in_word(self.upper[word], index - ones[word])
+        if self._ones is None:
+            self._ones = np.arange(len(self.zeros), dtype=np.int64) * 64 - self.zeros
+        word = np.searchsorted(self._ones, index, side="right") - 1
+        place = word * 64 + self._select_in_word(self.upper[word], index - self._ones[word])
         return ((place - index).astype(np.uint64) << np.uint64(self.low_bits)) | self._lows(index)
 
     def find(self, values: np.ndarray) -> np.ndarray:
@@ -131,17 +133,23 @@ class EliasFano:
         open_ = np.flatnonzero(inside)
         high = high[open_]
         wanted = values[open_] & np.uint64((1 << self.low_bits) - 1)
-        place = np.zeros(len(open_), dtype=np.int64)
+        # The elements with these high bits lie between two zeros; a frequent context may have many of
+        # them, so the first one not below is found by halving.
+        low = np.zeros(len(open_), dtype=np.int64)
         later = high > 0
-        place[later] = self._zero(high[later] - 1) + 1
-        while len(open_):
-            is_one = (self.upper[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
-            open_, place, high, wanted = open_[is_one], place[is_one], high[is_one], wanted[is_one]
-            low = self._lows(place - high)
-            hit = low == wanted
-            out[open_[hit]] = (place - high)[hit]
-            more = low < wanted
-            open_, place, high, wanted = open_[more], place[more] + 1, high[more], wanted[more]
+        low[later] = self._zero(high[later] - 1) + 1 - high[later]
+        end = self._zero(high) - high
+        top = end.copy()
+        active = np.flatnonzero(low < top)
+        while len(active):
+            middle = (low[active] + top[active]) >> 1
+            below = self._lows(middle) < wanted[active]
+            low[active[below]] = middle[below] + 1
+            top[active[~below]] = middle[~below]
+            active = active[low[active] < top[active]]
+        there = np.flatnonzero(low < end)
+        hit = there[self._lows(low[there]) == wanted[there]]
+        out[open_[hit]] = low[hit]
         return out
 
 
