@@ -12,6 +12,7 @@ looked for first by a plain count (combined map-side, over a sample) and take an
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -76,7 +77,8 @@ def with_medians(
     elif not keys:
         return _hot(df, keys, medians, others, distinct, 1)
     else:
-        hot = hot.persist()
+        # Found by a sample, so found once: both branches below read the same written list.
+        hot = staged(hot, "hot-groups")
         n_hot = hot.count()
         hot_keys = hot.select(*keys)
         wanted = hot_keys if null_keys else hot_keys.where(whole)
@@ -154,6 +156,22 @@ def _hot(
     )
 
 
+def _position(value: Column, low: Column, high: Column, logarithmic: bool) -> Column:
+    """Bin of a value between two others; infinities have bins of their own."""
+    largest = F.lit(sys.float_info.max)
+    low, high = F.greatest(low, -largest), F.least(high, largest)
+
+    def scale(c: Column) -> Column:
+        if not logarithmic:
+            return c / 2  # half, so that a difference never overflows
+        # log of the least double is -745: shifted, so that signs and orders keep their order
+        return F.when(c == 0, 0.0).otherwise(F.signum(c) * (F.log(F.abs(c)) + 800))
+
+    share = (scale(value) - scale(low)) / F.nullif(scale(high) - scale(low), F.lit(0.0))
+    inner = F.least(F.greatest(F.floor(F.coalesce(share, F.lit(0.0)) * BINS), F.lit(0)), F.lit(BINS - 1))
+    return F.when(value > largest, F.lit(BINS)).when(value < -largest, F.lit(-1)).otherwise(inner).cast("bigint")
+
+
 def order_statistics(
     df: DataFrame,
     keys: Sequence[str],
@@ -185,6 +203,7 @@ def order_statistics(
         )
     )
     small = n_groups * len(measures) <= BROADCAST_KEYS
+    passes = 0
     while not state.where("_lo < _hi").isEmpty():
         open_targets = state.where("_lo < _hi")
         lookup = F.broadcast(open_targets) if small else open_targets
@@ -193,10 +212,13 @@ def order_statistics(
             .join(lookup.alias("s"), _same([*keys, "_measure"], "r", "s"))
             .where("r._v between s._lo and s._hi")
         )
-        position = (F.col("r._v") - F.col("s._lo")) / (F.col("s._hi") - F.col("s._lo")) * BINS
+        # Even bins part the least from the largest value in every pass; bins even in the logarithm,
+        # taking turns with them, cross orders of magnitude at once.
+        position = _position(F.col("r._v"), F.col("s._lo"), F.col("s._hi"), logarithmic=passes % 2 == 1)
+        passes += 1
         bins = inside.groupBy(
             *[F.col(f"s.`{name}`") for name in target], F.col("s._rank"),
-            F.least(F.floor(position), F.lit(BINS - 1)).alias("_bin"),
+            position.alias("_bin"),
         ).agg(
             F.count(F.lit(1)).alias("_n"), F.min(F.col("r._v")).alias("_lo"), F.max(F.col("r._v")).alias("_hi")
         )

@@ -8,6 +8,7 @@ of the cell. The cell size is a power of two, so that ``floor(x / size)`` is exa
 from __future__ import annotations
 
 import math
+import sys
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -126,7 +127,10 @@ def spatial_join(
     edges = F.coalesce(F.size("_zone._edges"), F.lit(0))
     weight = index.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("n"), F.sum(edges + 8).alias("edges"))
     row = weight.agg(F.max("n").alias("most"), (F.sum("edges") * 40).alias("bytes")).first()
-    located = points.withColumns({"_cx": cell(F.col(x), size), "_cy": cell(F.col(y), size)})
+    # A point with a coordinate that is no finite number lies in no cell.
+    most = F.lit(sys.float_info.max)
+    known = F.col(x).cast("double").between(-most, most) & F.col(y).cast("double").between(-most, most)
+    located = points.withColumns({"_cx": F.when(known, cell(F.col(x), size)), "_cy": F.when(known, cell(F.col(y), size))})
     if (row["most"] or 0) > max_candidates:
         return _join_by_pairs(points, located, index, properties, x, y)
 

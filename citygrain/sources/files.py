@@ -76,22 +76,25 @@ def land_sales(sales: DataFrame, folder: str, year: int) -> str:
 def read_sales(spark: SparkSession, glob: str) -> DataFrame:
     """Yearly sales files; the year comes from the file name, files without one are skipped.
 
-    Files of one year share a header, files of different years need not: years are united by name.
+    Columns are found by each file's own header: files with one header are one scan, and the scans
+    are united by name.
     """
-    # Only the paths are listed, no content is read.
+    # Only the paths and the first lines are read here.
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(glob)
-    by_year: dict[int, list[str]] = {}
-    for row in listed.select("path").collect():
+    scans: dict[tuple[int, tuple[str, ...]], list[str]] = {}
+    for row in listed.select("path").orderBy("path").collect():
         *_, folder, name = row["path"].split("/")
         # A landed table is a folder of part files whose names mean nothing: the folder's counts.
         found = YEAR_PATTERN.search(folder if folder.endswith(".csv") else name)
         if found:
-            by_year.setdefault(int(found.group(1)), []).append(row["path"])
-    if not by_year:
+            header = tuple(read_text_table(spark, row["path"]).columns)
+            if header:
+                scans.setdefault((int(found.group(1)), header), []).append(row["path"])
+    if not scans:
         raise FileNotFoundError(f"no yearly sales file under {glob}")
     years = [
         _pick(read_text_table(spark, sorted(paths)), SALES_COLUMNS).withColumn("year", F.lit(year))
-        for year, paths in sorted(by_year.items())
+        for (year, _), paths in sorted(scans.items())
     ]
     result = years[0]
     for frame in years[1:]:

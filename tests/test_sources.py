@@ -116,3 +116,16 @@ def test_features_come_back_in_order(spark, tmp_path):
     found = store.read_features("f")
     assert [tuple(row) for row in found.collect()] == sorted(rows)
     assert "updated_at" in store.read("f").columns
+
+
+def test_files_of_one_year_may_order_their_columns_differently(spark, tmp_path):
+    names = list(ops.SALES_COLUMNS)
+    for part, order in enumerate((names, names[::-1])):
+        row = {name: f"{name}-{part}" for name in names}
+        lines = [",".join(f'"{item}"' for item in line) for line in (order, [row[name] for name in order])]
+        (tmp_path / f"valeursfoncieres-2023-{part}.csv").write_text("\n".join(lines) + "\n")
+    found = ops.read_sales(spark, str(tmp_path)).collect()
+    assert len(found) == 2
+    for row in found:
+        part = row[names[0]][-1]
+        assert row["year"] == 2023 and all(row[name] == f"{name}-{part}" for name in names)

@@ -157,3 +157,12 @@ def test_small_zone_layer_leaves_the_points_unshuffled(spark):
     assert found.count() == 1000
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in plan
+
+
+@pytest.mark.parametrize("most", [512, 0])
+def test_coordinates_that_are_no_numbers_have_no_zone(spark, most):
+    nan, inf = float("nan"), float("inf")
+    points = [(0, 1.0, 1.0), (1, nan, nan), (2, nan, 0.5), (3, 0.5, inf), (4, -inf, 0.0), (5, None, 0.0)]
+    frame = spark.createDataFrame(points, "id int, longitude double, latitude double")
+    found = ops.spatial_join(frame, zones_df(spark, [BOX, L_SHAPE]), {"zone": "zone"}, max_candidates=most)
+    assert {row["id"]: row["zone"] for row in found.collect()} == {0: "z0", 1: None, 2: None, 3: None, 4: None, 5: None}
