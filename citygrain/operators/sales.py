@@ -53,11 +53,20 @@ class QualityRules:
     price_range: tuple[float, float] = (1_000.0, 50_000.0)
 
 
-def clean_sales(df: DataFrame, rules: QualityRules = QualityRules(), roles: Roles = SALES, nature: str = "Nature mutation") -> DataFrame:
-    """Keep usable sales and add the price per square metre. A NULL in any test drops the row."""
-    values = F.struct(
-        F.col(roles.district).alias("district"), F.col(roles.value).alias("value"), F.col(roles.surface).alias("surface")
-    )
+def clean_sales(
+    df: DataFrame,
+    rules: QualityRules = QualityRules(),
+    roles: Roles = SALES,
+    nature: str = "Nature mutation",
+    parsed: bool = False,
+) -> DataFrame:
+    """Keep usable sales and add the price per square metre. A NULL in any test drops the row.
+
+    ``parsed`` tells that numbers are worked out of texts by the same plan: they are bound once then.
+    Typed columns are tested one by one, so that their bounds reach the scan.
+    """
+    district, value, surface = F.col(roles.district), F.col(roles.value), F.col(roles.surface)
+    price = price_per_m2(value, surface)
 
     def usable(sale: Column) -> Column:
         return (
@@ -67,13 +76,14 @@ def clean_sales(df: DataFrame, rules: QualityRules = QualityRules(), roles: Role
             & bound(price_per_m2(sale["value"], sale["surface"]), lambda price: price.between(*rules.price_range))
         )
 
-    # The tests on raw texts come first and reach the scan; parsed values are then bound once.
-    return (
-        df.where(F.col(f"`{nature}`") == rules.nature)
-        .where(F.col(f"`{roles.kind}`").isin(*rules.kinds))
-        .where(bound(values, usable))
-        .withColumn(roles.price, price_per_m2(F.col(roles.value), F.col(roles.surface)))
-    )
+    # The tests on raw texts come first and reach the scan.
+    sold = df.where(F.col(f"`{nature}`") == rules.nature).where(F.col(f"`{roles.kind}`").isin(*rules.kinds))
+    if parsed:
+        sold = sold.where(bound(F.struct(district.alias("district"), value.alias("value"), surface.alias("surface")), usable))
+    else:
+        sold = sold.where(district.between(*rules.districts) & (surface > rules.min_surface) & (value > rules.min_value))
+        sold = sold.where(price.between(*rules.price_range))
+    return sold.withColumn(roles.price, price)
 
 
 def type_sales(raw: DataFrame) -> DataFrame:
@@ -128,7 +138,7 @@ def add_sale_keys(df: DataFrame) -> DataFrame:
 
 def sales_from_raw(raw: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """Raw source lines to clean, typed and keyed sales."""
-    return add_sale_keys(clean_sales(type_sales(raw), rules))
+    return add_sale_keys(clean_sales(type_sales(raw), rules, parsed=True))
 
 
 def share_pct(flag: Column) -> Column:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citygrain.functions import indicators as ind
 from citygrain.functions.numbers import finite, round_even
 from citygrain.operators import context
 from citygrain.operators.medians import HOT_GROUP_ROWS, order_statistics, with_medians
+from citygrain.session import staged
 
 SOCIAL_WINDOW_YEARS = 5
 FILL_WITH_MEDIAN = (*context.RENTS, *context.INCOME_MEDIANS, *context.INCOME_MEANS)
@@ -40,15 +41,6 @@ def fill_median(
     )
 
 
-def with_rank(df: DataFrame, value: str, name: str = "rank_by_price") -> DataFrame:
-    """Rank by falling value; equal values share the better rank, NULL has none.
-
-    The window is global, so this is for frames with one row per zone, never for facts.
-    """
-    place = F.rank().over(Window.orderBy(F.col(value).desc_nulls_last()))
-    return df.withColumn(name, F.when(F.col(value).isNotNull(), place))
-
-
 def _latest_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col("year") == context.latest_year(df))
 
@@ -116,10 +108,12 @@ def build_summary(
     """One row per district with every fact, every indicator and the year of each fact.
 
     The yearly facts and the joined rows are read several times below; they hold one row per
-    district and year, so they are kept.
+    district and year, and are written once.
     """
-    sales_yearly, rents_yearly, social_yearly = sales_yearly.persist(), rents_yearly.persist(), social_yearly.persist()
-    joined = join_facts(districts, sales_yearly, income, rents_yearly, social_yearly, environment, key).persist()
+    sales_yearly, rents_yearly, social_yearly = (
+        staged(facts, "yearly-facts") for facts in (sales_yearly, rents_yearly, social_yearly)
+    )
+    joined = staged(join_facts(districts, sales_yearly, income, rents_yearly, social_yearly, environment, key), "joined-facts")
     return add_indicators(fill_gaps(joined)).withColumns(
         {
             "sales_year": context.latest_year(sales_yearly),

@@ -13,6 +13,7 @@ from citygrain.functions.records import project_existing
 from citygrain.operators import context, lookup
 from citygrain.operators import sales as sales_ops
 from citygrain.operators.coverage import coverage
+from citygrain.operators.numbering import numbered
 from citygrain.operators.spatial import assign_cells, clip_lines, layer_extent, prepare_cells, spatial_join
 from citygrain.operators.summary import build_summary, city_summary
 from citygrain.plans.serving import metric_catalog_column
@@ -133,11 +134,9 @@ def street_features(streets: DataFrame, districts: DataFrame) -> DataFrame:
     """Every street cut at the district borders: one feature per street and district."""
     zones = districts.withColumn("commune_insee", F.col("insee_code").cast("string"))
     cut = clip_lines(streets, zones, "line_index", ["arrondissement", "commune_insee"])
-    named = cut.join(streets.drop("parts"), "line_index")
-    # Line order first, district order within: both fit the halves of one number.
-    index = F.col("line_index") * 100_000 + F.col("arrondissement")
+    named = numbered(cut.join(streets.drop("parts"), "line_index"), "feature_index", "line_index", "arrondissement")
     return named.select(
-        index.cast("bigint").alias("feature_index"),
+        "feature_index",
         "street_ref_id",
         street_key(F.col("commune_insee"), F.col("street_name")).alias("street_key"),
         "street_name",

@@ -16,7 +16,9 @@ from citygrain.functions.records import distinct_options
 from citygrain.operators import context
 from citygrain.operators.lookup import last_per_key, with_district_name
 from citygrain.operators.sales import METRICS
-from citygrain.operators.summary import city_summary, with_rank
+from citygrain.operators.numbering import with_rank
+from citygrain.operators.summary import city_summary
+from citygrain.session import staged
 from citygrain.plans.catalog import (
     COMPARED_DISTRICT_METRICS,
     COMPARED_QUARTIER_METRICS,
@@ -55,7 +57,7 @@ def overview(summary: DataFrame, sales: DataFrame, year: int | None = None) -> D
     rows = rows.withColumn(
         "months_income_for_1sqm", ind.months_income(F.col("median_price_m2"), F.col("median_income_eur"))
     )
-    ranked = with_rank(rows, "median_price_m2").withColumn("selected_sales_year", F.lit(selected))
+    ranked = with_rank(staged(rows, "overview"), "median_price_m2").withColumn("selected_sales_year", F.lit(selected))
     return ranked.orderBy(DISTRICT)
 
 
@@ -88,7 +90,7 @@ def timeline(
 
 def _deltas(rows: DataFrame, key: str, left, right, metrics: tuple[str, ...]) -> DataFrame:
     """left - right per metric; a metric that one side lacks is left out."""
-    both = rows.where(F.col(key).isin(left, right)).select(key, *metrics).persist()
+    both = staged(rows.where(F.col(key).isin(left, right)).select(key, *metrics), "compared")
     known = {row[0] for row in both.select(key).dropDuplicates().collect()}
     if not {left, right} <= known:
         raise LookupError(f"cannot compare {left} and {right}")
@@ -173,7 +175,7 @@ def map_districts(
 ) -> DataFrame:
     """Every district outline with its overview row; an outline without a row is an error."""
     _check("arrondissement", metric)
-    rows = overview(summary, sales, year).persist()
+    rows = overview(summary, sales, year)
     if not features.join(rows, DISTRICT, "left_anti").isEmpty():
         raise LookupError("a district outline has no summary row")
     selected = resolve_year(sales, year)

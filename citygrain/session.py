@@ -74,17 +74,3 @@ def estimated_bytes(df: DataFrame) -> int:
 def broadcast_limit(spark: SparkSession) -> int:
     """Size up to which Spark broadcasts a join side by itself, in bytes."""
     return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-
-
-def spread(df: DataFrame, at_least: int = 1024 * 1024) -> DataFrame:
-    """Spread a file table that is too small to be read by every core at once.
-
-    A parquet file is read by row group, so one file with one row group keeps a single core busy
-    whatever follows. Tables below ``at_least`` bytes, and tables with a full split for every
-    core, are left as they are.
-    """
-    spark = df.sparkSession
-    size = estimated_bytes(df)
-    cores = spark.sparkContext.defaultParallelism
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    return df.repartition(cores) if at_least <= size < cores * split else df

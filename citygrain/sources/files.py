@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citygrain.functions import keys as k
@@ -14,6 +14,7 @@ from citygrain.functions.records import where_prefix
 from citygrain.functions.text import normalize_street
 from citygrain.operators import context
 from citygrain.operators.lookup import type_addresses
+from citygrain.operators.numbering import numbered
 
 # Cell texts that the source files use for "missing".
 MISSING_MARKS = (
@@ -41,13 +42,24 @@ SALES_COLUMNS = (
     "Surface reelle bati",
     "Nombre pieces principales",
 )
+# Fixed value: a year in a file name.
 YEAR_PATTERN = re.compile(r"(20\d{2})")
 CITY_PREFIX = "751"
 
 
-def read_text_table(spark: SparkSession, paths: str | list[str], sep: str = ",") -> DataFrame:
-    """Delimited text with a header, every column a string, missing marks as NULL."""
-    raw = spark.read.csv(paths, sep=sep, header=True, inferSchema=False, quote='"', escape='"', encoding="UTF-8")
+def _delimited(spark: SparkSession, paths: str | list[str], sep: str, multiline: bool) -> DataFrame:
+    return spark.read.csv(
+        paths, sep=sep, header=True, inferSchema=False, quote='"', escape='"', encoding="UTF-8", multiLine=multiline
+    )
+
+
+def read_text_table(spark: SparkSession, paths: str | list[str], sep: str = ",", multiline: bool = False) -> DataFrame:
+    """Delimited text with a header, every column a string, missing marks as NULL.
+
+    ``multiline`` accepts line breaks inside quotes; a file is then read by one task, so landed part
+    files, which have none, are read without it.
+    """
+    raw = _delimited(spark, paths, sep, multiline)
     return raw.select(
         *[
             F.when(~F.col(f"`{name}`").isin(*MISSING_MARKS), F.col(f"`{name}`")).alias(name)
@@ -60,9 +72,11 @@ def _pick(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{name}`") for name in names])
 
 
-def read_national_sales(spark: SparkSession, path: str, department: str = k.DEPARTMENT) -> DataFrame:
+def read_national_sales(
+    spark: SparkSession, path: str, department: str = k.DEPARTMENT, multiline: bool = False
+) -> DataFrame:
     """The national ``|``-delimited file, one department only. The code is compared as text."""
-    raw = spark.read.csv(path, sep="|", header=True, inferSchema=False, quote='"', escape='"')
+    raw = _delimited(spark, path, "|", multiline)
     return raw.where(F.col("`Code departement`") == department)
 
 
@@ -73,7 +87,7 @@ def land_sales(sales: DataFrame, folder: str, year: int) -> str:
     return target
 
 
-def read_sales(spark: SparkSession, glob: str) -> DataFrame:
+def read_sales(spark: SparkSession, glob: str, multiline: bool = False) -> DataFrame:
     """Yearly sales files; the year comes from the file name, files without one are skipped.
 
     Columns are found by each file's own header: files with one header are one scan, and the scans
@@ -93,7 +107,7 @@ def read_sales(spark: SparkSession, glob: str) -> DataFrame:
     if not scans:
         raise FileNotFoundError(f"no yearly sales file under {glob}")
     years = [
-        _pick(read_text_table(spark, sorted(paths)), SALES_COLUMNS).withColumn("year", F.lit(year))
+        _pick(read_text_table(spark, sorted(paths), multiline=multiline), SALES_COLUMNS).withColumn("year", F.lit(year))
         for (year, _), paths in sorted(scans.items())
     ]
     result = years[0]
@@ -163,38 +177,42 @@ def geometry_text(kind: Column, coordinates: Column) -> Column:
     return F.concat(F.lit('{"type":"'), kind, F.lit('","coordinates":'), coordinates, F.lit("}"))
 
 
-def read_features(spark: SparkSession, path: str, properties: Iterable[str]) -> DataFrame:
-    """Features of a GeoJSON file: position, text properties, geometry text and ``parts``."""
+def read_features(spark: SparkSession, path: str, properties: Iterable[str], lines: bool = False) -> DataFrame:
+    """Features of GeoJSON files: origin, text properties, geometry text and ``parts``.
+
+    A file is one document, which one task reads, or, with ``lines``, one feature per line, which
+    any number of tasks read. ``origin`` puts the features of all files in order.
+    """
     fields = ", ".join(f"`{name}`: string" for name in properties)
-    schema = (
-        f"features array<struct<properties: struct<{fields}>, geometry: struct<type: string, coordinates: string>>>"
-    )
-    exploded = (
-        spark.read.schema(schema)
-        .json(path, multiLine=True)
-        .select(F.posexplode("features").alias("position", "feature"))
-    )
+    shape = "struct<type: string, coordinates: string>"
+    if lines:
+        raw = spark.read.schema(f"properties struct<{fields}>, geometry {shape}").json(path)
+        place, feature = F.monotonically_increasing_id(), F.struct("properties", "geometry")
+        found = raw.select("_metadata", place.alias("place"), feature.alias("feature"))
+    else:
+        raw = spark.read.schema(f"features array<struct<properties: struct<{fields}>, geometry: {shape}>>")
+        found = raw.json(path, multiLine=True).select("_metadata", F.posexplode("features").alias("place", "feature"))
     kind, coordinates = F.col("feature.geometry.type"), F.col("feature.geometry.coordinates")
-    return exploded.select(
-        F.col("position").cast("bigint").alias("position"),
+    # Within a piece of a file, places rise from line to line.
+    origin = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("place").cast("bigint").alias("place"),
+    )
+    return found.select(
+        origin.alias("origin"),
         "feature.properties.*",
         geometry_text(kind, coordinates).alias("geometry"),
         parse_geometry(kind, coordinates).alias("parts"),
     )
 
 
-def _indexed(df: DataFrame, *order: str) -> DataFrame:
-    """Number a zone layer in the given order. Zone layers are small; never used on facts."""
-    place = F.row_number().over(Window.orderBy(*order)) - 1
-    return df.withColumn("feature_index", place.cast("bigint"))
-
-
-def read_districts(spark: SparkSession, path: str) -> DataFrame:
+def read_districts(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """District outlines in the order of their number."""
     c = F.col
-    raw = read_features(spark, path, ("c_ar", "c_arinsee", "l_aroff", "l_ar", "surface", "perimetre"))
+    raw = read_features(spark, path, ("c_ar", "c_arinsee", "l_aroff", "l_ar", "surface", "perimetre"), lines)
     typed = raw.select(
-        "position",
+        "origin",
         c("c_ar").cast("int").alias("arrondissement"),
         c("c_arinsee").cast("int").alias("insee_code"),
         c("l_aroff").alias("name"),
@@ -205,15 +223,15 @@ def read_districts(spark: SparkSession, path: str) -> DataFrame:
         "geometry",
         c("parts").alias("rings"),
     )
-    return _indexed(typed, "arrondissement", "position").drop("position")
+    return numbered(typed, "feature_index", "arrondissement", "origin").drop("origin")
 
 
-def read_quartiers(spark: SparkSession, path: str) -> DataFrame:
+def read_quartiers(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Quartier outlines in the order of their numeric id."""
     c = F.col
-    raw = read_features(spark, path, ("c_quinsee", "c_qu", "c_ar", "l_qu", "surface", "perimetre"))
+    raw = read_features(spark, path, ("c_quinsee", "c_qu", "c_ar", "l_qu", "surface", "perimetre"), lines)
     typed = raw.select(
-        "position",
+        "origin",
         c("c_quinsee").alias("quartier_id"),
         c("c_quinsee").cast("bigint").alias("quartier_number"),
         c("c_qu").cast("int").alias("quartier_code"),
@@ -224,7 +242,7 @@ def read_quartiers(spark: SparkSession, path: str) -> DataFrame:
         "geometry",
         c("parts").alias("rings"),
     )
-    return _indexed(typed, "quartier_number", "position").drop("position", "quartier_number")
+    return numbered(typed, "feature_index", "quartier_number", "origin").drop("origin", "quartier_number")
 
 
 def read_iris(spark: SparkSession, path: str, department: str = k.DEPARTMENT) -> DataFrame:
@@ -241,20 +259,19 @@ def read_iris(spark: SparkSession, path: str, department: str = k.DEPARTMENT) ->
         c("`Geo Shape`").alias("geometry"),
         parse_geometry(shape["type"], shape["coordinates"]).alias("rings"),
     )
-    return _indexed(typed, "iris_code")
+    return numbered(typed, "feature_index", "iris_code", "geometry")
 
 
-def read_streets(spark: SparkSession, path: str) -> DataFrame:
+def read_streets(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Street lines with normalised name, display name and reference id; nameless ones are dropped."""
     c = F.col
-    raw = read_features(
-        spark,
-        path,
-        ("c_desi", "c_liaison", "l_voie", "n_sq_vo", "c_voie_vp", "c_voie", "objectid", "l_longmin"),
-    ).withColumn("raw_name", k.street_raw_name(c("c_desi"), c("c_liaison"), c("l_voie")))
+    names = ("c_desi", "c_liaison", "l_voie", "n_sq_vo", "c_voie_vp", "c_voie", "objectid", "l_longmin")
+    # A line's number is its place among all lines of all files.
+    raw = numbered(read_features(spark, path, names, lines).drop("geometry"), "line_index", "origin")
+    raw = raw.withColumn("raw_name", k.street_raw_name(c("c_desi"), c("c_liaison"), c("l_voie")))
     named = raw.withColumn("street_name", normalize_street(c("raw_name")))
     return named.where((c("street_name") != "") & c("parts").isNotNull()).select(
-        c("position").alias("line_index"),
+        "line_index",
         k.first_given(c("n_sq_vo"), c("c_voie_vp"), c("c_voie"), c("objectid")).alias("street_ref_id"),
         "street_name",
         k.street_display_name(c("l_longmin"), c("raw_name"), c("street_name")).alias("display_name"),

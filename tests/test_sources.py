@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from citygrain.operators import context
+from citygrain.operators import context, numbering
 from citygrain.operators.sales import sales_from_raw
 from citygrain.sources import files as ops
 from citygrain.sources.store import Store
@@ -129,3 +129,39 @@ def test_files_of_one_year_may_order_their_columns_differently(spark, tmp_path):
     for row in found:
         part = row[names[0]][-1]
         assert row["year"] == 2023 and all(row[name] == f"{name}-{part}" for name in names)
+
+
+def test_lines_of_several_files_have_numbers_of_their_own(spark, tmp_path):
+    def street(name):
+        shape = {"type": "LineString", "coordinates": [[0, 0], [3, 4]]}
+        return {"type": "Feature", "properties": {"l_voie": name, "objectid": name}, "geometry": shape}
+
+    for file, names in (("a", ["one", "two"]), ("b", ["three", "one"])):
+        (tmp_path / "docs").mkdir(exist_ok=True)
+        (tmp_path / "lines").mkdir(exist_ok=True)
+        features = [street(name) for name in names]
+        (tmp_path / "docs" / f"{file}.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+        (tmp_path / "lines" / f"{file}.geojson").write_text("\n".join(map(json.dumps, features)) + "\n")
+    for folder, lines in (("docs", False), ("lines", True)):
+        found = ops.read_streets(spark, str(tmp_path / folder), lines).orderBy("line_index").collect()
+        assert [(row["line_index"], row["street_ref_id"]) for row in found] == [(0, "one"), (1, "two"), (2, "three"), (3, "one")]
+
+
+def test_quoted_line_breaks_are_an_option(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n"x\ny",1\nz,2\n')
+    assert ops.read_text_table(spark, str(tmp_path / "t.csv"), multiline=True).count() == 2
+
+
+def test_numbers_and_ranks_of_whole_frames(spark):
+    rows = [(n, None if n % 7 == 0 else float(n % 5)) for n in range(200)]
+    frame = spark.createDataFrame(rows, "id int, value double").repartition(5)
+    found = numbering.numbered(frame, "place", "value", "id").orderBy("place").collect()
+    assert [(row["place"], row["id"]) for row in found] == list(
+        enumerate(row[0] for row in sorted(rows, key=lambda row: (row[1] is not None, row[1] or 0.0, row[0])))
+    )
+    plain = [value for _, value in rows if value is not None]
+    for row in numbering.with_rank(frame, "value").collect():
+        expected = None if row["value"] is None else 1 + sum(value > row["value"] for value in plain)
+        assert row["rank_by_price"] == expected
+    assert numbering.numbered(frame.where("id < 0"), "place", "id").count() == 0
+    assert numbering.with_rank(frame.where("id < 0"), "value").count() == 0

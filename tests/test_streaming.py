@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from citygrain.operators.compare import frames_match
 from citygrain.operators.sales import METRICS, sales_by_district
+from citygrain.session import staged
 from citygrain.sources.store import Store
 from citygrain.streaming import events as ev
 from tests.conftest import values
@@ -62,6 +65,32 @@ def test_the_first_arrival_wins(spark, tmp_path):
     assert values(store.read(ev.STREAM_TABLE), "median_price_m2") == [(10000.0,)]
 
 
+def test_the_first_arrival_wins_inside_a_batch(spark, tmp_path):
+    dearer = [json.dumps(EVENT | {"price_per_m2": price}) for price in (30_000.0, 20_000.0, 40_000.0)]
+    feed(tmp_path / "in", "b.json", dearer)
+    other = [json.dumps(EVENT | {"price_per_m2": price, "transaction_id": "b"}) for price in (9.0, 8.0)]
+    feed(tmp_path / "in", "a.json", [json.dumps(EVENT)] + other)
+    os.utime(tmp_path / "in" / "b.json", (1_000_000, 1_000_000))  # older, though later by name
+    store = run(spark, tmp_path, per_batch=2)
+    accepted = ev.accepted_events(spark, str(tmp_path / "accepted"))
+    assert values(accepted.orderBy("transaction_id"), "transaction_id", "price_per_m2") == [("a", 30_000.0), ("b", 9.0)]
+    assert values(store.read(ev.STREAM_TABLE), "transactions") == [(2,)]
+
+
+@pytest.mark.parametrize("listed", [0, 2000])
+def test_only_touched_groups_are_worked_out_again(spark, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr(ev, "LISTED_GROUPS", listed)
+    feed(tmp_path / "in", "0.json", [json.dumps(EVENT | {"transaction_id": f"t{n}", "arrondissement": n % 3 + 1}) for n in range(30)])
+    store = run(spark, tmp_path)
+    # A mark in the published table shows which rows are kept as they are.
+    marked = staged(store.read(ev.STREAM_TABLE).withColumn("median_rooms", F.lit(99.0)), "marked")
+    store.write(ev.STREAM_TABLE, marked)
+    feed(tmp_path / "in", "1.json", [json.dumps(EVENT | {"transaction_id": "new", "arrondissement": 2})])
+    store = run(spark, tmp_path)
+    found = values(store.read(ev.STREAM_TABLE).orderBy("arrondissement"), "arrondissement", "transactions", "median_rooms")
+    assert found == [(1, 10, 99.0), (2, 11, 1.0), (3, 10, 99.0)]
+
+
 def test_bounded_number_of_events(spark, tmp_path):
     feed(tmp_path / "in", "0.json", [json.dumps(EVENT | {"transaction_id": f"t{i}"}) for i in range(30)])
     store = run(spark, tmp_path, max_events=12)
@@ -90,8 +119,6 @@ def test_key_presence_not_value_decides(spark):
 
 def test_watermark_variant_bounds_the_state(spark, tmp_path):
     feed(tmp_path / "in", "0.json", [json.dumps(EVENT), json.dumps(EVENT)])
-    from pyspark.sql import functions as F
-
     source = ev.read_event_stream(spark, "text", path=str(tmp_path / "in")).withColumn("timestamp", F.current_timestamp())
     store = Store(spark, root=str(tmp_path / "tables"))
     events = ev.accept(source, "timestamp", "1 day")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citygrain.operators import compare, context, spatial
+from citygrain.operators import compare, context, numbering, spatial
 from citygrain.operators import sales as sales_ops
 from citygrain.operators import summary as ops
 from citygrain.operators.coverage import COUNTS, RATES, coverage
@@ -391,7 +391,7 @@ def ranked_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = table(spark, sf_dir, "supplier").select(
         "s_suppkey", F.when(c("s_suppkey") % 10 != 0, c("s_acctbal")).alias("s_acctbal")
     )
-    return ops.with_rank(zones, "s_acctbal")
+    return numbering.with_rank(zones, "s_acctbal")
 
 
 @register(

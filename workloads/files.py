@@ -47,11 +47,18 @@ def national_sales_file(spark: SparkSession, sf_dir: str) -> DataFrame:
       parcel_id, commune || '|' || number || '|' || suffix || '|' || street_name AS address_key FROM usable"""
 )
 def yearly_sales_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three yearly files, landed one by one; the year is read off their names."""
+    """Three yearly files, landed one by one; the year is read off their names.
+
+    A second file of each year has its columns the other way round.
+    """
     raw = raw_sales(spark, sf_dir)
     folder = shared_folder(spark, "dvf")
+    swapped = c("No plan").cast("int") % 2 == 0
     for year in (2022, 2023, 2024):
-        ops.land_sales(raw.where(2022 + c("year") % 3 == year).drop("year"), folder, year)
+        sales = raw.where(2022 + c("year") % 3 == year).drop("year")
+        ops.land_sales(sales.where(~swapped), folder, year)
+        other = sales.where(swapped).select(*[c(f"`{name}`") for name in reversed(sales.columns)])
+        other.write.csv(f"{folder}/complement-{year}-paris.csv", header=True, quote='"', escape='"')
     sales = sales_ops.sales_from_raw(ops.read_sales(spark, f"{folder}/*.csv"))
     return sales.select("year", "arrondissement", "sale_value_eur", "parcel_id", "address_key")
 
@@ -154,17 +161,20 @@ def square(x: Column, y: Column, side: float = 1.0) -> Column:
     return F.array(*[F.array(x + dx * side, y + dy * side) for dx, dy in corners])
 
 
-def geojson(features: DataFrame, properties: list[str], name: str) -> str:
-    """One document, as such files are; the layers used here have one feature per nation or supplier."""
+def geojson(features: DataFrame, properties: list[str], name: str, lines: bool = True) -> str:
+    """One feature per line over several part files, or one document, which is for the few nations."""
     feature = F.struct(
         F.lit("Feature").alias("type"),
         F.struct(*properties).alias("properties"),
         F.struct("type", "coordinates").alias("geometry"),
     )
+    folder = f"{shared_folder(features.sparkSession, 'files')}/{name}"
+    if lines:
+        features.repartition(4).select(F.to_json(feature).alias("value")).write.text(folder)
+        return folder
     document = features.agg(F.collect_list(feature).alias("features")).select(
         F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value")
     )
-    folder = f"{shared_folder(features.sparkSession, 'files')}/{name}"
     document.write.text(folder)
     return folder
 
@@ -193,7 +203,7 @@ def district_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("Polygon").alias("type"),
         F.array(square(key / 2, c("n_regionkey") * 1.0)).alias("coordinates"),
     )
-    path = geojson(features, ["c_ar", "c_arinsee", "l_aroff", "l_ar", "surface", "perimetre"], "districts")
+    path = geojson(features, ["c_ar", "c_arinsee", "l_aroff", "l_ar", "surface", "perimetre"], "districts", lines=False)
     return ops.read_districts(spark, path).select(
         "feature_index", "arrondissement", "insee_code", "name", "postal_code", "surface_m2", *outline(c("rings"))
     )
@@ -217,7 +227,7 @@ def quartier_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.array(square(key / 4, nation * 1.0)), F.array(square(key / 4, nation + 3.0))).alias("coordinates"),
     )
     path = geojson(features, ["c_quinsee", "c_qu", "c_ar", "l_qu", "surface", "perimetre"], "quartiers")
-    return ops.read_quartiers(spark, path).select(
+    return ops.read_quartiers(spark, path, lines=True).select(
         "feature_index", "quartier_id", "arrondissement", "name", *outline(c("rings"))
     )
 
@@ -270,6 +280,6 @@ def street_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 11 != 0, line).otherwise(F.array()).alias("coordinates"),
     )
     names = ["c_desi", "c_liaison", "l_voie", "n_sq_vo", "c_voie_vp", "c_voie", "objectid", "l_longmin"]
-    return ops.read_streets(spark, geojson(features, names, "streets")).select(
+    return ops.read_streets(spark, geojson(features, names, "streets"), lines=True).select(
         "street_ref_id", "street_name", "display_name", round_even(geo.length(c("parts")), 2).alias("length")
     )

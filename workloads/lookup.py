@@ -190,10 +190,10 @@ LINK_ROW_SQL = """SELECT CAST(l_orderkey AS VARCHAR) AS idu, l_returnflag AS id_
 
 @register(
     f"""WITH l AS ({LINK_ROW_SQL}),
-    cache AS (SELECT *, 0 AS batch FROM l WHERE nb_parc IN ('1', '2')),
+    cache AS (SELECT *, 0 AS batch FROM l WHERE nb_parc IN ('1', '2', '5')),
     missing AS (SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS idu FROM orders
       WHERE CAST(o_orderkey AS VARCHAR) NOT IN (SELECT idu FROM cache)),
-    new AS (SELECT *, 1 AS batch FROM l WHERE nb_parc IN ('3', '4') AND idu IN (SELECT idu FROM missing)),
+    new AS (SELECT *, 1 AS batch FROM l WHERE nb_parc NOT IN ('1', '2', '5') AND idu IN (SELECT idu FROM missing)),
     blank AS (SELECT idu, '' AS id_adr, '' AS type_lien, '' AS nb_adr, '' AS nb_parc, 0 AS seq, 1 AS batch
       FROM missing WHERE idu NOT IN (SELECT idu FROM new)),
     everything AS (SELECT * FROM cache UNION ALL SELECT * FROM new UNION ALL SELECT * FROM blank)
@@ -210,9 +210,8 @@ def merged_links(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(c("l_extendedprice") * 100).cast("bigint").alias("seq"),
     )
     requested = table(spark, sf_dir, "orders").select(c("o_orderkey").cast("string").alias("idu"))
-    return ops.merge_links(
-        rows.where(c("nb_parc").isin("1", "2")), rows.where(c("nb_parc").isin("3", "4")), requested
-    )
+    cached = c("nb_parc").isin("1", "2", "5")
+    return ops.merge_links(rows.where(cached), rows.where(~cached), requested)
 
 
 @register(

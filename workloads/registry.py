@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citygrain.session import spread
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -30,11 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows cost much work each."""
-    return spread(table(spark, sf_dir, name))
-
-
 def round_sql(expression: str, digits: int) -> str:
     """Round half to even, as the operators do."""
     return f"(round_even(({expression}) * {10**digits}, 0) / {10**digits})"

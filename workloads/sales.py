@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citygrain.functions import keys as k
-from citygrain.functions.numbers import price_per_m2
+from citygrain.functions.numbers import price_per_m2, round_even
 from citygrain.operators import sales as ops
+from citygrain.operators.medians import with_medians
 from citygrain.operators.sales import QualityRules, clean_sales, sales_metrics
 from workloads.registry import register, round_sql, table
 
@@ -213,3 +214,24 @@ def clean_sale_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_yearly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = sale_rows(spark, sf_dir).select("transaction_id", "year", "sale_value_eur")
     return ops.union_sales(sales.where("year < 1998"), sales.where("year >= 1998"))
+
+
+EXTREME_SQL = """CASE l_orderkey % 50 WHEN 0 THEN 'Infinity'::DOUBLE WHEN 1 THEN '-Infinity'::DOUBLE
+    WHEN 2 THEN 1.7e308::DOUBLE WHEN 3 THEN -1.7e308::DOUBLE WHEN 4 THEN NULL ELSE l_extendedprice END"""
+#: Above the size at which hot groups are told from a sample, below that of the largest group.
+SAMPLED_HOT_ROWS = 12_000
+
+
+@register(f"SELECT l_returnflag, {round_sql(f'median({EXTREME_SQL})', 4)} AS middle FROM lineitem GROUP BY l_returnflag")
+def medians_of_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hot groups, found by sampling, whose values take the whole range of a double and both infinities."""
+    key = F.col("l_orderkey") % 50
+    value = (
+        F.when(key == 0, F.lit(float("inf")))
+        .when(key == 1, F.lit(float("-inf")))
+        .when(key == 2, F.lit(1.7e308))
+        .when(key == 3, F.lit(-1.7e308))
+        .when(key != 4, F.col("l_extendedprice"))
+    )
+    found = with_medians(table(spark, sf_dir, "lineitem"), ["l_returnflag"], {"middle": value}, hot_rows=SAMPLED_HOT_ROWS)
+    return found.select("l_returnflag", round_even(F.col("middle"), 4).alias("middle"))
