@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A fact row set with one dominant key is split even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Long texts make a batch of many rows large, in the JVM's direct memory and in the Python worker.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     # The ids that a stream remembers live on disk, not on the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -23,10 +25,17 @@ RUNTIME_SETTINGS = {
 }
 
 
+#: Python workers outlive a stage. What is freed in pieces above 4 MiB goes back to the system at once, so
+#: that a worker which waits for the next stage doesn't hold the memory of the last.
+WORKER_ENVIRONMENT = {"MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(4 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Switch on the adaptive features that the joins of this package rely on."""
+    """Switch on the adaptive features that the joins of this package rely on, and bound Python workers."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    for key, value in WORKER_ENVIRONMENT.items():
+        spark.sparkContext.environment.setdefault(key, value)
     return spark
 
 
