@@ -20,27 +20,32 @@ LEAST_QUALITY = 0.7
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is high enough, judged on whole texts."""
+    prepare(spark)
     model = quality.fit_quality_model(docs, table(spark, sf_dir, "labels"), F.lit(True))
     return quality.keep_good(docs, model, LEAST_QUALITY)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
+    prepare(spark)
     return exact_dedup.drop_exact_duplicates(docs)
 
 
 def dissimilar_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies."""
+    prepare(spark)
     return lsh_forest.drop_similar_documents(docs)
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
+    prepare(spark)
     return mixing.mixed_documents(docs, quality_weights(table(spark, sf_dir, "labels")))
 
 
 def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of every document."""
+    prepare(spark)
     return pieces.encode_documents(docs)
 
 
@@ -58,7 +63,6 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; each stage's result is written and read again."""
-    prepare(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
