@@ -7,6 +7,12 @@ from pyspark.sql import functions as F
 
 from citygrain.session import staged
 
+#: Nodes with more edges than this are hubs, whose rows no task gathers.
+HUB_EDGES = 1000
+
+#: Hubs at most. More edges raise the number that makes a hub, so what is broadcast stays this small.
+MOST_HUBS = 100_000
+
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b); a component is named by its smallest node.
@@ -14,17 +20,20 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     Alternates two steps that keep connectivity: every node hands its larger neighbours to the
     smallest node of its neighbourhood, then its smaller ones. Both are aggregations by node, and the
     graph becomes a set of stars in a number of rounds that grows with the logarithm of its size. Each
-    round is written, so a lost executor costs one round at most.
+    round is written, so a lost executor costs one round at most. Hubs meet their edges by broadcast.
     """
     edges = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = _summary(edges)
     for _ in range(most_rounds if seen[0] else 0):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        # A round's graph has twice as many rows at most, and its larger part three times as many.
+        hub = max(HUB_EDGES, 3 * seen[0] // MOST_HUBS)
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        least = least.select("a", F.least("a", "m").alias("m"), "n")
+        large = _with_least(both, least, hub).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.union(least.where("m < a").select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        lowest = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = _with_least(large, lowest, hub).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = staged(small.union(lowest.select("a", F.col("m").alias("b"))).distinct(), "edges")
         before, seen = seen, _summary(edges)
         if before == seen:
@@ -36,6 +45,14 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return stars.union(stars.select(F.col("component").alias("node"), "component").distinct())
 
 
+def _with_least(edges: DataFrame, least: DataFrame, hub: int) -> DataFrame:
+    """``edges`` (a, b) with m, the least of ``a``; nodes of more than ``hub`` edges are joined without a shuffle."""
+    hubs = least.where(F.col("n") > hub).select("a", F.col("m").alias("_m"))
+    met = edges.join(F.broadcast(hubs), "a", "left")
+    rest = met.where("_m is null").join(least.where(F.col("n") <= hub), "a")
+    return met.where("_m is not null").select("a", "b", F.col("_m").alias("m")).union(rest.select("a", "b", "m"))
+
+
 def _summary(edges: DataFrame) -> tuple:
     """Number and sum of hashes of the edges, which differ if the edges do."""
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())

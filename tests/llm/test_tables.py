@@ -136,9 +136,13 @@ def test_depth_reaches_the_target_recall():
     assert lsh_forest.matched_depth(trees=2, recall=0.999999) == 1
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hub", [5, 1000])
+def test_components(spark, monkeypatch, hub):
+    monkeypatch.setattr(components, "HUB_EDGES", hub)
     dice = random.Random(8)
     edges = [(i, i + 1) for i in range(0, 300) if i % 50] + [(dice.randrange(400, 900), dice.randrange(400, 900)) for _ in range(300)] + [(7, 7)]
+    # Stars around their largest, their smallest and a middle node.
+    edges += [(1999, i) for i in range(1000, 1060)] + [(2000, i) for i in range(2001, 2060)] + [(3030, i) for i in range(3000, 3060)]
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     owner = {}
 
