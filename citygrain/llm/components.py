@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from citygrain.session import staged
 
 #: Nodes with more edges than this are hubs, whose rows no task gathers.
-HUB_EDGES = 1000
+HUB_EDGES = 100
 
 #: Hubs at most. More edges raise the number that makes a hub, so what is broadcast stays this small.
 MOST_HUBS = 100_000
