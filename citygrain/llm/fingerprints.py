@@ -20,8 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citygrain.llm import lsh_forest
 from citygrain.llm.columns import text_volume
 from citygrain.llm.words import MinHash, lowered, shingle_hashes, slices, text_bytes, word_hashes
+from citygrain.session import staged
 
 PERMUTATIONS = 128
 BANDS = 32
@@ -40,11 +42,14 @@ def sketches(column: pa.Array, hasher: MinHash) -> np.ndarray:
         words, first = word_hashes(lowered(data[offsets[low] : offsets[high]]), offsets[low : high + 1] - offsets[low])
         shingles, begins = shingle_hashes(words, first)
         for text in range(high - low):
-            minima = hasher.signature(shingles[begins[text] : begins[text + 1]])
-            out[low + text] = (minima * np.uint32(0x9E3779B1)) >> np.uint32(16)
+            out[low + text] = _places(hasher.signature(shingles[begins[text] : begins[text + 1]]))
     return out
 
 
+def _places(minima: np.ndarray) -> np.ndarray:
+    return ((minima * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16)
+
+
 def _hex(rows: np.ndarray) -> pa.Array:
     return pa.array([row.astype(">u2").tobytes().hex() for row in rows], pa.string())
 
@@ -61,44 +66,61 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(made, "doc_id long, fingerprint string")
 
 
-def verified_links(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Links (doc_id, leader_id, jaccard) of documents to a leader of a band they share.
-
-    Documents with one fingerprint form a class, led by the smallest id. Classes that agree in a
-    band are linked to the smallest leader of that band, never all with all; every link is verified
-    with the exact Jaccard similarity of the two shingle sets.
-    """
-    prints = fingerprints(docs)
-    classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("leader_id"))
-    width = PERMUTATIONS // BANDS * 4
-    banded = classes.select(
-        "leader_id",
-        F.posexplode(F.array(*(F.substring("fingerprint", 1 + band * width, width) for band in range(BANDS)))).alias("band", "value"),
-    )
-    heads = banded.groupBy("band", "value").agg(F.min("leader_id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = banded.join(heads, ["band", "value"]).where("leader_id <> head").select("leader_id", "head").distinct()
-    copies = prints.join(classes, "fingerprint").where("doc_id <> leader_id").select("doc_id", F.col("leader_id").alias("head"))
-    links = pairs.select(F.col("leader_id").alias("doc_id"), "head").union(copies)
-    texts = docs.groupBy("doc_id").agg(F.min("text").alias("text"))
+def banded_nodes(docs: DataFrame) -> DataFrame:
+    """(doc_id, node, prefixes, sketch): digest of the shingle set, value of every band and short sketch of every text."""
 
-    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = MinHash(PERMUTATIONS)
         for batch in batches:
-            sides = []
-            for name in ("text", "other"):
-                data, offsets = text_bytes(batch.column(name))
-                sides.append(shingle_hashes(*word_hashes(lowered(data), offsets)))
-            values = []
-            for row in range(batch.num_rows):
-                one, two = (np.unique(hashes[begins[row] : begins[row + 1]]) for hashes, begins in sides)
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                values.append(both / max(1, len(one) + len(two) - both) if len(one) + len(two) else 1.0)
+            if not batch.num_rows:
+                continue
+            nodes, signatures = [], []
+            for _, node, own in lsh_forest.nodes_of(batch.column("text")):
+                nodes.append(node)
+                signatures.append(_places(hasher.signature(own)))
+            rows = np.stack(signatures)
+            bands = rows.view(np.int64)  # four places of 16 bits each
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(nodes) + 1) * BANDS, pa.int32()), pa.array(bands.ravel()))
+            short = [row.tobytes() for row in rows.astype(np.uint8)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("head"), pa.array(values, pa.float64())], ["doc_id", "leader_id", "jaccard"]
+                [batch.column("doc_id"), pa.array(nodes, pa.binary()), lists, pa.array(short, pa.binary())],
+                ["doc_id", "node", "prefixes", "sketch"],
             )
 
-    joined = links.join(texts, "doc_id").join(texts.select(F.col("doc_id").alias("head"), F.col("text").alias("other")), "head")
-    found = joined.select("doc_id", "head", "text", "other").mapInArrow(measured, "doc_id long, leader_id long, jaccard double")
-    return found.where(F.col("jaccard") >= threshold)
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return ids.mapInArrow(banded, "doc_id long, node binary, prefixes array<long>, sketch binary")
+
+
+def verified_links(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """One row per row of ``docs`` that has a link: doc_id, leader_id, jaccard, class_id and n_links.
+
+    Texts that agree in one of the 32 bands of their signatures are compared, all with all and in
+    blocks, and verified with the exact Jaccard similarity of the two shingle sets; two texts at 0.8
+    agree in no band once in 10^7 pairs. n_links is the number of other rows at ``threshold`` or more, a
+    class joins everything that such links connect and is named by its smallest id. leader_id is the
+    smallest id that the row is linked to, and jaccard the similarity to it; the other links are not
+    written, since a large group has too many. Texts of one shingle set are compared once.
+    """
+    signed = staged(banded_nodes(docs), "bands")
+    facts = lsh_forest.linked_nodes(docs, signed, threshold).where("n_links > 0")
+    rows = signed.select("doc_id", "node")
+    own = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"))
+    least = rows.groupBy("node").agg(F.min(own).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    # The second row of a node: the first id again if it is repeated, else the smallest but it.
+    rest = rows.join(least, "node").select("node", "_first", own.alias("own"))
+    rest = rest.groupBy("node").agg(
+        F.count(F.when(F.col("own") == F.col("_first"), 1)).alias("_firsts"), F.min(F.when(F.col("own") != F.col("_first"), F.col("own"))).alias("_second")
+    )
+    least = least.join(rest, "node")
+    alone = (own == F.col("_first")) & (F.col("_firsts") == 1)
+    copy = F.when(~alone, F.col("_first")).otherwise(F.col("_second"))
+    copy = F.when(copy.isNotNull(), F.struct(copy.missing.alias("missing"), copy.id.alias("id"), F.lit(1.0).alias("jaccard")))
+    near = F.least(F.col("near"), copy)
+    return (
+        rows.join(facts, "node")
+        .join(least, "node")
+        .select("doc_id", near.id.alias("leader_id"), near.jaccard.alias("jaccard"), "class_id", "n_links")
+    )
 
 
 def _ranges(docs: DataFrame) -> tuple[list[int], list[int | None]]:

@@ -54,7 +54,7 @@ def matched_depth(trees: int = TREES, depth: int = DEPTH, threshold: float = THR
     return depth
 
 
-def _nodes_of(column: pa.Array) -> Iterator[tuple[int, bytes, np.ndarray]]:
+def nodes_of(column: pa.Array) -> Iterator[tuple[int, bytes, np.ndarray]]:
     """Place, node (digest of the shingle set) and sorted shingle set of every text."""
     data, offsets = text_bytes(column)
     for low, high in slices(offsets):
@@ -73,7 +73,7 @@ def signed_nodes(docs: DataFrame, depth: int) -> DataFrame:
         factors = np.random.default_rng(5).integers(1, 1 << 62, depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         for batch in batches:
             nodes, prefixes, sketches = [], [], []
-            for _, node, own in _nodes_of(batch.column("text")):
+            for _, node, own in nodes_of(batch.column("text")):
                 minima = hasher.signature(own)
                 nodes.append(node)
                 keys = (minima.reshape(TREES, depth).astype(np.uint64) * factors).sum(axis=1, dtype=np.uint64)
@@ -199,8 +199,8 @@ def _candidate_edges(signed: DataFrame) -> DataFrame:
     return keyed.mapInArrow(compared, "a binary, b binary").distinct()
 
 
-def _verify(sets: list[np.ndarray], side: np.ndarray | None, threshold: float) -> np.ndarray:
-    """Index pairs of sets whose exact Jaccard similarity reaches the threshold; with sides, across them.
+def _verify(sets: list[np.ndarray], side: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of sets whose exact Jaccard similarity reaches the threshold, and that similarity; with sides, across them.
 
     Shared shingles are counted through an inverted list: every shingle gives the rows that hold it,
     and rows of counts are summed row by row, so memory stays at one row of counts per set.
@@ -212,7 +212,7 @@ def _verify(sets: list[np.ndarray], side: np.ndarray | None, threshold: float) -
     lists = owner[order]
     begins = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(values)))]).astype(np.int64)
     ends = np.concatenate([[0], np.cumsum(sizes)])
-    found = []
+    found, shares = [], []
     for row in range(len(sets)):
         own = place[ends[row] : ends[row + 1]]
         low, count = begins[own], begins[own + 1] - begins[own]
@@ -229,7 +229,10 @@ def _verify(sets: list[np.ndarray], side: np.ndarray | None, threshold: float) -
         others = np.flatnonzero(hit)
         if len(others):
             found.append(np.stack([np.full(len(others), row), others], axis=1))
-    return np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+            shares.append(np.where(union[others] > 0, shared[others] / np.maximum(union[others], 1), 1.0))
+    if not found:
+        return np.zeros((0, 2), dtype=np.int64), np.zeros(0)
+    return np.concatenate(found), np.concatenate(shares)
 
 
 def _with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -245,7 +248,7 @@ def _with_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             keep, sets = [], []
             listed_nodes = batch.column("node").to_pylist()
-            for place, node, own in _nodes_of(batch.column("text")):
+            for place, node, own in nodes_of(batch.column("text")):
                 if node == listed_nodes[place]:  # else another text under a repeated id
                     keep.append(place)
                     sets.append(own.tobytes())
@@ -264,19 +267,29 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFram
     """
     depth = matched_depth(threshold=threshold)
     signed = staged(signed_nodes(docs, depth), "signatures")
+    facts = linked_nodes(docs, signed, threshold)
+    return signed.select("doc_id", "node").join(facts, "node").select("doc_id", "class_id", "n_links", "node", "component")
+
+
+def linked_nodes(docs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
+    """One row per node of ``signed``: node, component, class_id, n_links and near.
+
+    Nodes that share a prefix are compared, by whatever signature the prefixes were made. near is the
+    linked other node of the smallest id, as (missing, id, jaccard), null if there is none.
+    """
     rows = signed.select("doc_id", "node")
     nodes = staged(
         rows.groupBy("node").agg(F.count(F.lit(1)).alias("_rows"), F.min("doc_id").alias("doc_id")), "node-rows"
     )
     groups = components(_candidate_edges(signed)).select("node", F.col("component").alias("group"))
-    groups = staged(groups.join(nodes, "node"), "groups")
+    groups = staged(groups.join(nodes, "node").withColumn("_least", F.col("doc_id")), "groups")
     sets = staged(_with_sets(docs, groups).withColumn("_n", F.octet_length("shingles") / 8), "sets")
     sizes = sets.groupBy("group").agg(F.count(F.lit(1)).alias("_count"), F.max("_n").alias("_most"))
     sizes = sizes.withColumn(
         "_block", F.greatest(F.lit(8), F.least(F.lit(MOST_GROUP_NODES), F.floor(BLOCK_SHINGLES / F.greatest(F.col("_most"), F.lit(1))))).cast("int")
     )
     placed = sets.join(sizes, "group").withColumn("_place", F.pmod(F.xxhash64("node"), F.col("_count")))
-    blocked = _blocked(placed, "group", "_place", "_block").select("group", "low", "high", "side", "node", "_rows", "shingles")
+    blocked = _blocked(placed, "group", "_place", "_block").select("group", "low", "high", "side", "node", "_rows", "_least", "shingles")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _in_runs(batches, ["group", "low", "high"]):
@@ -287,34 +300,42 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFram
                 names, weights = run.column("node").to_pylist(), run.column("_rows").to_numpy()
             sets = [np.frombuffer(item, dtype=np.uint64) for item in run.column("shingles").to_pylist()]
             within = run.column("low")[0] == run.column("high")[0]
-            pairs = _verify(sets, None if within else run.column("side").to_numpy(), threshold)
+            pairs, shares = _verify(sets, None if within else run.column("side").to_numpy(), threshold)
             links = np.zeros(len(names), dtype=np.int64)
             np.add.at(links, pairs[:, 0], weights[pairs[:, 1]])
             np.add.at(links, pairs[:, 1], weights[pairs[:, 0]])
             tree = _forest(pairs, len(names))
             linked = np.flatnonzero(links)
+            least = run.column("_least").to_pylist()
+            one, two, share = np.concatenate([pairs[:, 0], pairs[:, 1]]), np.concatenate([pairs[:, 1], pairs[:, 0]]), np.concatenate([shares, shares])
+            rank = np.empty(len(names), dtype=np.int64)  # by id, null ids last
+            rank[sorted(range(len(names)), key=lambda i: (least[i] is None, least[i] or 0))] = np.arange(len(names))
+            order = np.lexsort((rank[two], one))
+            firsts = order[np.flatnonzero(np.diff(one[order], prepend=-1))]  # one of each linked node, in their order
+            near = [{"missing": least[i] is None, "id": least[i], "jaccard": float(value)} for i, value in zip(two[firsts], share[firsts], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([names[a] for a in tree[:, 0]] + [names[i] for i in linked], pa.binary()),
                     pa.array([names[b] for b in tree[:, 1]] + [None] * len(linked), pa.binary()),
                     pa.array([None] * len(tree) + links[linked].tolist(), pa.int64()),
+                    pa.array([None] * len(tree) + near, pa.struct([("missing", pa.bool_()), ("id", pa.int64()), ("jaccard", pa.float64())])),
                 ],
-                ["a", "b", "links"],
+                ["a", "b", "links", "near"],
             )
 
     spread = blocked.repartition("group", "low", "high").sortWithinPartitions("group", "low", "high")
-    found = staged(spread.mapInArrow(verified, "a binary, b binary, links long"), "links")
-    counts = found.where("links is not null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    schema = "a binary, b binary, links long, near struct<missing: boolean, id: long, jaccard: double>"
+    found = staged(spread.mapInArrow(verified, schema), "links")
+    counts = found.where("links is not null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"), F.min("near").alias("near"))
     classes = components(found.where("links is null").select("a", "b"))
     named = nodes.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
     facts = (
         named.join(least, "component")
         .join(counts, "node", "left")
-        .select("node", "component", "class_id", (F.col("_rows") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"))
+        .select("node", "component", "class_id", (F.col("_rows") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"), "near")
     )
-    facts = staged(facts, "classes")
-    return rows.join(facts, "node").select("doc_id", "class_id", "n_links", "node", "component")
+    return staged(facts, "classes")
 
 
 def with_nodes(docs: DataFrame) -> DataFrame:
@@ -324,7 +345,7 @@ def with_nodes(docs: DataFrame) -> DataFrame:
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes = [node for _, node, _ in _nodes_of(batch.column(place))]
+            nodes = [node for _, node, _ in nodes_of(batch.column(place))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.binary())], names=schema.names)
 
     return docs.mapInArrow(marked, schema)
