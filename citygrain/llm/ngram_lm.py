@@ -1,15 +1,18 @@
 """Language-model scoring with an Elias-Fano n-gram trie in memory-mapped levels.
 
 First level: the words of the training texts, as a monotone sequence of 64-bit hashes with their
-counts; a word's place in it is its id. Second level: the words that follow each word. Their ids,
-offset by their context's, are one monotone sequence, pointers (monotone as well) tell where the
-successors of a context begin, and quantised logarithms hold their discounted probabilities. All
+counts; a word's place in it is its id. Every further level: the words that follow each n-gram of the
+level before. Their ids, offset by their context's place, are one monotone sequence, pointers
+(monotone as well) tell where the successors of a context begin, and quantised logarithms hold their
+discounted probabilities. Running sums of the counts follow where a further level needs them. All
 sequences are Elias-Fano coded. A word is looked up by successor search from its context's offset.
 
-The model is P(w | v) = max(c(v w) - D, 0) / c(v) + D * T(v) / c(v) * P(w), with T(v) the number of
-successors of v, from the pointers, and P(w) the add-0.1 share of w. An unseen context leaves P(w).
+The model is P(w | v) = max(c(v w) - D, 0) / c(v) + D * T(v) / c(v) * P(w | v'), with T(v) the number
+of successors of v, from the pointers, v' the context v without its first word, and P(w) the add-0.1
+share of w. An unseen context leaves P(w | v'). Contexts begin with the end that stands before a
+text's first word and reach no further back; ``order`` is the length of the longest n-gram.
 
-Both levels are cut into shards by ranges of hashes and keys, so each is built by a task of its own
+All levels are cut into shards by ranges of hashes and keys, so each is built by a task of its own
 from sorted, counted blocks; a word that is very frequent is cut across shards. Scoring tasks map the
 shards' files from the shared folder, so memory stays bounded whatever the corpus.
 
@@ -37,7 +40,10 @@ from citygrain.session import staged
 DISCOUNT = 0.75
 ADDED = 0.1
 
-#: Bytes of input per shard of words, and tokens per shard of word pairs.
+#: Words of the longest n-gram of the query.
+ORDER = 3
+
+#: Bytes of input per shard of words, and tokens per shard of a further level.
 WORD_SHARD_BYTES = 48 << 20
 PAIR_SHARD_TOKENS = 4_000_000
 
@@ -276,77 +282,96 @@ def _part_begin(part: int, parts: int) -> int:
     return -(-(part << 32) // parts) << 32
 
 
-class Pairs:
-    """Second level, mapped: discounted shares of word pairs, and numbers of successors."""
+class Level:
+    """A further level, mapped: places and discounted shares of n-grams, numbers of successors, and counts."""
 
-    def __init__(self, folder: str, edges: list[int], size: int) -> None:
-        self.folder, self.size = folder, size
+    def __init__(self, folder: str, number: int, edges: list[int], begins: list[int], size: int) -> None:
+        self.folder, self.number, self.size = folder, number, size
         self.edges = np.array(edges, dtype=np.uint64)  # first key of each shard but the first
-        self._open: dict[int, tuple[EliasFano, EliasFano, np.ndarray]] = {}
+        self.begins = np.array(begins, dtype=np.int64)  # n-grams before each shard, and all of them
+        self._open: dict[int, tuple[int, int, EliasFano, EliasFano, np.ndarray, EliasFano | None] | None] = {}
 
-    def _shard(self, shard: int) -> tuple[int, int, EliasFano, EliasFano, np.ndarray] | None:
+    def _shard(self, shard: int) -> tuple[int, int, EliasFano, EliasFano, np.ndarray, EliasFano | None] | None:
         if shard not in self._open:
-            data = files.mapped(f"{self.folder}/pairs-{shard:06d}")
+            data = files.mapped(_level_file(self.folder, self.number, shard))
             if len(data) == 0:
                 self._open[shard] = None
             else:
-                base, first = (int(value) for value in np.frombuffer(data, dtype=np.int64, count=2))
-                pointers = EliasFano(data, 16)
+                base, first, counted = (int(value) for value in np.frombuffer(data, dtype=np.uint64, count=3))
+                pointers = EliasFano(data, 24)
                 keys = EliasFano(data, pointers.end)
-                self._open[shard] = base, first, pointers, keys, np.frombuffer(data, dtype=np.uint8, count=keys.count, offset=keys.end)
+                codes = np.frombuffer(data, dtype=np.uint8, count=keys.count, offset=keys.end)
+                sums = EliasFano(data, keys.end + -(-keys.count // 8) * 8) if counted else None
+                self._open[shard] = base, first, pointers, keys, codes, sums
         return self._open[shard]
 
     def successors(self, contexts: np.ndarray) -> np.ndarray:
-        """Number of different words seen after each context, by sorted ids."""
+        """Number of different words seen after each context, by sorted places in the level before."""
         out = np.zeros(len(contexts), dtype=np.int64)
         size = np.uint64(self.size)
         low = np.searchsorted(self.edges, contexts.astype(np.uint64) * size, side="right")
         high = np.searchsorted(self.edges, contexts.astype(np.uint64) * size + size - np.uint64(1), side="right")
-        for shard in range(int(low.min(initial=0)), int(high.max(initial=-1)) + 1):
-            own = np.flatnonzero((low <= shard) & (high >= shard))
-            opened = self._shard(shard) if len(own) else None
+        for shard in range(int(low.min(initial=len(self.edges))), int(high.max(initial=-1)) + 1):
+            begin, end = np.searchsorted(high, shard), np.searchsorted(low, shard, side="right")
+            opened = self._shard(shard) if end > begin else None
             if opened is not None:
-                _, first, pointers, _, _ = opened
-                place = contexts[own] - first
+                _, first, pointers, _, _, _ = opened
+                place = contexts[begin:end] - first
                 inside = (place >= 0) & (place < pointers.count - 1)
                 place = place[inside]
-                out[own[inside]] += (pointers.access(place + 1) - pointers.access(place)).astype(np.int64)
+                out[begin:end][inside] += (pointers.access(place + 1) - pointers.access(place)).astype(np.int64)
         return out
 
-    def codes(self, keys: np.ndarray) -> np.ndarray:
-        """Code of the share of each pair, by sorted keys; 0 for a pair never seen."""
-        out = np.zeros(len(keys), dtype=np.uint8)
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place (-1 if never seen) and code of the share (0 then) of each n-gram, by sorted keys."""
+        places, out = np.full(len(keys), -1, dtype=np.int64), np.zeros(len(keys), dtype=np.uint8)
         if not len(keys):
-            return out
+            return places, out
         bounds = np.searchsorted(keys, self.edges)
         for shard, (low, high) in enumerate(zip(np.append([0], bounds), np.append(bounds, len(keys)), strict=True)):
             opened = self._shard(shard) if high > low else None
             if opened is not None:
-                base, _, _, coded, codes = opened
+                base, _, _, coded, codes, _ = opened
                 own = keys[low:high]
                 fits = own >= np.uint64(base)
                 place = np.full(len(own), -1, dtype=np.int64)
                 place[fits] = coded.find(own[fits] - np.uint64(base))
                 known = place >= 0
                 out[low:high][known] = codes[place[known]]
+                places[low:high][known] = place[known] + self.begins[shard]
+        return places, out
+
+    def counts(self, places: np.ndarray) -> np.ndarray:
+        """How often the n-grams at these sorted places were seen."""
+        out = np.zeros(len(places), dtype=np.int64)
+        bounds = np.searchsorted(places, self.begins)
+        for shard, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+            if high > low:
+                sums = self._shard(shard)[5]
+                own = places[low:high] - self.begins[shard]
+                out[low:high] = (sums.access(own + 1) - sums.access(own)).astype(np.int64)
         return out
 
 
+def _level_file(folder: str, number: int, shard: int) -> str:
+    return f"{folder}/level{number}-{shard:06d}"
+
+
 @lru_cache(maxsize=1)
 def _words(folder: str, parts: tuple[tuple[int, int], ...], shards: int) -> Words:
     return Words(folder, list(parts), shards)
 
 
 @lru_cache(maxsize=1)
-def _pairs(folder: str, edges: tuple[int, ...], size: int) -> Pairs:
-    return Pairs(folder, list(edges), size)
+def _levels(folder: str, levels: tuple[tuple[tuple[int, ...], tuple[int, ...]], ...], size: int) -> list[Level]:
+    return [Level(folder, number, list(edges), list(begins), size) for number, (edges, begins) in enumerate(levels, 2)]
 
 
 def _edges_of(parts: list, heavy: list[tuple[int, int]], size: int, shards: int) -> list[int]:
-    """Keys that cut the pairs into shards of about as many tokens.
+    """Keys that cut a level into shards of about as many tokens.
 
-    ``parts`` are (first id, words, tokens) of the shards of words. Between heavy words, (id, count),
-    tokens count as spread evenly over ids; a heavy word's are spread over its successors' ids.
+    ``parts`` are (first place, n-grams, tokens) of the shards of the level before. Between heavy ones,
+    (place, count), tokens count as spread evenly over places; those of a heavy one over the ids of words.
     """
     places, masses = [0], [0.0]
     by_id = dict(heavy)
@@ -374,24 +399,39 @@ def _edges_of(parts: list, heavy: list[tuple[int, int]], size: int, shards: int)
 class NgramModel:
     """Where the levels lie, and the totals; small enough to go with every task."""
 
-    def __init__(self, folder: str, parts, word_shards: int, edges, tokens: int, size: int) -> None:
+    def __init__(self, folder: str, parts, word_shards: int, tokens: int, size: int, levels=()) -> None:
         self.folder, self.parts, self.word_shards = folder, tuple(parts), word_shards
-        self.edges, self.tokens, self.size = tuple(edges), tokens, size
+        self.tokens, self.size, self._levels = tokens, size, tuple(levels)
+
+    def with_level(self, edges: list[int], begins: list[int]) -> NgramModel:
+        levels = (*self._levels, (tuple(edges), tuple(begins)))
+        return NgramModel(self.folder, self.parts, self.word_shards, self.tokens, self.size, levels)
 
     @property
     def words(self) -> Words:
         return _words(self.folder, self.parts, self.word_shards)
 
     @property
-    def pairs(self) -> Pairs:
-        return _pairs(self.folder, self.edges, self.size)
+    def levels(self) -> list[Level]:
+        """All levels but that of the words."""
+        return _levels(self.folder, self._levels, self.size)
 
     def share(self, counts: np.ndarray) -> np.ndarray:
         return (counts + ADDED) / (self.tokens + ADDED * (self.size + 1))
 
+    def keys(self, contexts: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        return contexts.astype(np.uint64) * np.uint64(self.size) + ids.astype(np.uint64)
+
 
-def fit(docs: DataFrame, train: Column) -> NgramModel:
-    """Count the words and word pairs of all rows of ``docs`` that ``train`` holds for, and write both levels."""
+def _next_contexts(places: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Contexts one word longer: the n-gram that ends before each token, -1 at a text's first."""
+    out = np.concatenate([[-1], places[:-1]])
+    out[begins[:-1]] = -1
+    return out
+
+
+def fit(docs: DataFrame, train: Column, order: int = 2) -> NgramModel:
+    """Count the n-grams, up to ``order`` words, of all rows of ``docs`` that ``train`` holds for, and write all levels."""
     spark = docs.sparkSession
     folder = files.new_folder(spark, "ngram-model")
     texts = docs.where(train).select("text")
@@ -431,49 +471,91 @@ def fit(docs: DataFrame, train: Column) -> NgramModel:
     size, tokens = sum(row["words"] for row in manifest), sum(row["tokens"] for row in manifest)
     if size >= 1 << 31:
         raise ValueError("more than 2^31 different words: cut the corpus by language or source")
-    pair_shards = max(1, tokens // PAIR_SHARD_TOKENS)
     first, spans, heavy = 0, [], []
     for row in manifest:
         spans.append((first, row["words"], row["tokens"]))
-        heavy += [(first + place, n) for place, n in zip(row["places"], row["counts"], strict=True) if n * 4 * pair_shards > tokens]
+        heavy += [(first + place, n) for place, n in zip(row["places"], row["counts"], strict=True)]
         first += row["words"]
-    edges = _edges_of(spans, heavy, size, pair_shards) if size else []
-    model = NgramModel(folder, parts, shards, edges, tokens, size)
+    model = NgramModel(folder, parts, shards, tokens, size)
+    for number in range(2, order + 1 if size else 2):
+        model, spans, heavy = _add_level(texts, model, number, number < order, spans, heavy)
+    return model
+
 
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _add_level(texts: DataFrame, model: NgramModel, number: int, counted: bool, spans: list, heavy: list) -> tuple[NgramModel, list, list]:
+    """The model with one more level, and the spans and heavy n-grams of that level; ``counted``: with counts for the next."""
+    folder, size, before = model.folder, model.size, spans[-1][0] + spans[-1][1]
+    if before * size >= 1 << 64:
+        raise ValueError(f"keys of {number} words exceed 64 bits: cut the corpus by language or source")
+    tokens = sum(span[2] for span in spans)
+    shards = max(1, tokens // PAIR_SHARD_TOKENS)
+    edges = _edges_of(spans, [(place, n) for place, n in heavy if n * 4 * shards > tokens], size, shards)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = np.array(edges, dtype=np.uint64)
         counter = _Counter(lambda keys: np.searchsorted(cuts, keys, side="right").astype(np.int64))
+        end = int(model.words.find(np.array([END_HASH]))[0][0])
         for batch in batches:
-            for _, _, hashes, _ in _tokens(batch.column("text")):
+            for _, _, hashes, begins in _tokens(batch.column("text")):
                 known, inverse = np.unique(hashes, return_inverse=True)
-                ids = model.words.find(known)[0][inverse].astype(np.uint64)
-                before = np.concatenate([model.words.find(np.array([END_HASH]))[0].astype(np.uint64), ids[:-1]])
-                counter.add(*np.unique(before * np.uint64(size) + ids, return_counts=True))
+                ids = model.words.find(known)[0][inverse]
+                contexts = np.concatenate([[end], ids[:-1]])
+                for level in model.levels:
+                    held = contexts >= 0
+                    keys, inverse = np.unique(model.keys(contexts[held], ids[held]), return_inverse=True)
+                    places = np.full(len(ids), -1, dtype=np.int64)
+                    places[held] = level.find(keys)[0][inverse]
+                    contexts = _next_contexts(places, begins)
+                held = contexts >= 0
+                counter.add(*np.unique(model.keys(contexts[held], ids[held]), return_counts=True))
                 if counter.size > COUNTED:
                     yield from counter.blocks()
         yield from counter.blocks()
 
-    def build_pairs(key: tuple, blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def build(key: tuple, blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = key[0].as_py()
         keys, counts = _merged(blocks)
         contexts = (keys // np.uint64(size)).astype(np.int64)
         first, last = int(contexts[0]), int(contexts[-1])
         pointers = np.searchsorted(contexts, np.arange(first, last + 2)).astype(np.uint64)
-        hashes_of = _context_counts(model, first, last)
-        share = (counts - DISCOUNT) / hashes_of[contexts - first]
+        if model.levels:
+            seen = model.levels[-1].counts(np.arange(first, last + 1))
+        else:
+            seen = _context_counts(model, first, last)
+        share = (counts - DISCOUNT) / seen[contexts - first]
         codes = np.clip(np.rint(np.log10(share) / LOWEST * (CODES - 1)), 0, CODES - 1).astype(np.uint8) + np.uint8(1)
-        base = int(keys[0])
-        head = np.array([base, first], dtype=np.int64).tobytes()
+        base, total = int(keys[0]), int(counts.sum())
+        head = np.array([base, first, counted], dtype=np.uint64).tobytes()
         data = head + EliasFano.encode(pointers, len(keys) + 1) + EliasFano.encode(keys - np.uint64(base), int(keys[-1]) - base + 1)
-        files.write_file(f"{folder}/pairs-{shard:06d}", data + codes.tobytes())
-        yield pa.RecordBatch.from_pydict({"part": [shard], "pairs": pa.array([len(keys)], pa.int64())})
-
-    if size:
-        pairs = texts.mapInArrow(count_pairs, BLOCK_SCHEMA).groupBy("part").applyInArrow(build_pairs, "part long, pairs long")
-        built = {row["part"] for row in staged(pairs, "pairs").collect()}
-        for shard in set(range(len(edges) + 1)) - built:
-            files.write_file(f"{folder}/pairs-{shard:06d}", b"")
-    return model
+        data += codes.tobytes()
+        if counted:
+            sums = np.concatenate([[0], np.cumsum(counts)]).astype(np.uint64)
+            data += b"\0" * (-len(keys) % 8) + EliasFano.encode(sums, total + 1)
+        files.write_file(_level_file(folder, number, shard), data)
+        large = np.flatnonzero(counts * 4096 > total) if counted else np.zeros(0, dtype=np.int64)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "part": [shard],
+                "grams": pa.array([len(keys)], pa.int64()),
+                "tokens": pa.array([total], pa.int64()),
+                "places": pa.array([large.tolist()], pa.list_(pa.int64())),
+                "counts": pa.array([counts[large].tolist()], pa.list_(pa.int64())),
+            }
+        )
+
+    grouped = texts.mapInArrow(count, BLOCK_SCHEMA).groupBy("part")
+    written = grouped.applyInArrow(build, "part long, grams long, tokens long, places array<long>, counts array<long>")
+    built = {row["part"]: row for row in staged(written, f"level{number}").collect()}
+    begins, spans, heavy = [0], [], []
+    for shard in range(len(edges) + 1):
+        row = built.get(shard)
+        if row is None:
+            files.write_file(_level_file(folder, number, shard), b"")
+        else:
+            spans.append((begins[-1], row["grams"], row["tokens"]))
+            heavy += [(begins[-1] + place, n) for place, n in zip(row["places"], row["counts"], strict=True)]
+        begins.append(begins[-1] + (row["grams"] if row else 0))
+    return model.with_level(edges, begins), spans, heavy
 
 
 def _context_counts(model: NgramModel, first: int, last: int) -> np.ndarray:
@@ -499,21 +581,28 @@ def score(docs: DataFrame, model: NgramModel) -> DataFrame:
                 ids, counts = model.words.find(known) if model.size else (np.full(len(known), -1), np.zeros(len(known), dtype=np.int64))
                 share = model.share(counts)
                 own_ids, own_share = ids[inverse], share[inverse]
-                end = int(np.searchsorted(known, END_HASH))
-                before = np.concatenate([[end], inverse[:-1]])  # an end stands before every text's first word
-                context = ids[before]
                 chance = own_share.copy()
-                seen = np.flatnonzero(context >= 0)
-                if len(seen):
+                if model.size:
+                    # an end stands before every text's first word
+                    end = int(np.searchsorted(known, END_HASH))
+                    contexts = ids[np.concatenate([[end], inverse[:-1]])]
                     present = np.flatnonzero(ids >= 0)
                     by_id = present[np.argsort(ids[present])]
-                    successors = np.zeros(len(known))
-                    successors[by_id] = model.pairs.successors(ids[by_id])
-                    kept = DISCOUNT * successors / np.maximum(counts, 1)
-                    chance[seen] = kept[before[seen]] * own_share[seen]
-                    both = seen[own_ids[seen] >= 0]
-                    keys, place = np.unique(context[both].astype(np.uint64) * np.uint64(model.size) + own_ids[both].astype(np.uint64), return_inverse=True)
-                    chance[both] += logs[model.pairs.codes(keys)][place]
+                    context, seen = ids[by_id], counts[by_id]
+                    for number, level in enumerate(model.levels):
+                        if number:
+                            context = np.unique(contexts[contexts >= 0])
+                            seen = model.levels[number - 1].counts(context)
+                        kept = DISCOUNT * level.successors(context) / np.maximum(seen, 1)
+                        held = np.flatnonzero(contexts >= 0)
+                        chance[held] *= kept[np.searchsorted(context, contexts[held])]
+                        both = held[own_ids[held] >= 0]
+                        keys, place = np.unique(model.keys(contexts[both], own_ids[both]), return_inverse=True)
+                        found, codes = level.find(keys)
+                        chance[both] += logs[codes][place]
+                        places = np.full(len(contexts), -1, dtype=np.int64)
+                        places[both] = found[place]
+                        contexts = _next_contexts(places, begins)
                 starts = begins[:-1]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -530,9 +619,9 @@ def score(docs: DataFrame, model: NgramModel) -> DataFrame:
     return docs.mapInArrow(scored, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
 
 
-def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 10, order: int = 2) -> DataFrame:
     """Fit on the texts whose crc32(id) modulo ``folds`` isn't 0 and score all of them."""
     remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
-    model = fit(docs.select("doc_id", "text"), remainder != 0)
+    model = fit(docs.select("doc_id", "text"), remainder != 0, order)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(remainder == 0, F.lit(False)).alias("held_out"), "text")
     return score(rows, model).withColumn("train_tokens", F.lit(model.tokens).cast("long"))

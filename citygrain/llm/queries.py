@@ -63,7 +63,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register()
 def op6_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_lm.score_documents(table(spark, sf_dir, "documents"))
+    return ngram_lm.score_documents(table(spark, sf_dir, "documents"), order=ngram_lm.ORDER)
 
 
 @register()

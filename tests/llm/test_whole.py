@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
-from citygrain.llm import fingerprints, lsh_forest
-from tests.llm.tables import awkward_rows, frame, jaccard, prose, row, shingles
+from citygrain.llm import fingerprints, lsh_forest, ngram_lm
+from tests.llm.tables import awkward_rows, frame, jaccard, lower, prose, row, shingles, words
 from tests.llm.test_tables import brute_classes, near_copies
 
 
@@ -29,3 +31,42 @@ def test_band_links_are_all_links(spark, monkeypatch, blocks):
         linked = [i for i, other in sets if jaccard(texts[r["doc_id"]], other) >= 0.8]
         linked.remove(r["doc_id"])
         assert r["leader_id"] == min(linked) and r["jaccard"] == jaccard(texts[r["doc_id"]], texts[r["leader_id"]])
+
+
+@pytest.mark.parametrize("order", [1, 3, 4])
+def test_scores_use_all_words_of_the_order(spark, monkeypatch, order):
+    monkeypatch.setattr(ngram_lm, "PAIR_SHARD_TOKENS", 2000)
+    monkeypatch.setattr(ngram_lm, "WORD_SHARD_BYTES", 1 << 14)
+    monkeypatch.setattr(ngram_lm, "COUNTED", 3000)
+    texts = [prose(i % 25, 60) + f" {prose(i, 20)}" for i in range(60)]
+    rows = [r for r in awkward_rows() if r[0] not in (None, 21)] + [row(300 + i, text) for i, text in enumerate(texts)]
+    got = ngram_lm.score_documents(frame(spark, rows).coalesce(3), order=order).collect()
+    lines = {r[0]: [*words(lower(r[1])), "\0"] for r in rows}
+    counts, after = Counter(), defaultdict(set)
+    total = size = 0
+    for doc_id, line in lines.items():
+        if zlib.crc32(str(doc_id).encode()) % 10:
+            total += len(line)
+            padded = ["\0", *line]
+            for i in range(1, len(padded)):
+                counts[padded[i],] += 1
+                for n in range(2, min(order, i + 1) + 1):
+                    gram = tuple(padded[i - n + 1 : i + 1])
+                    counts[gram] += 1
+                    after[gram[:-1]].add(gram[-1])
+    size = sum(len(gram) == 1 for gram in counts)
+
+    def chance(context, word):
+        if not context:
+            return (counts[word,] + 0.1) / (total + 0.1 * (size + 1))
+        shorter = chance(context[1:], word)
+        if not after[context]:
+            return shorter
+        seen = sum(counts[(*context, w)] for w in after[context])
+        return max(counts[(*context, word)] - 0.75, 0) / seen + 0.75 * len(after[context]) / seen * shorter
+
+    assert len(got) == len(rows)
+    for r in got:
+        padded = ["\0", *lines[r["doc_id"]]]
+        wanted = sum(np.log10(chance(tuple(padded[max(0, i - order + 1) : i]), padded[i])) for i in range(1, len(padded)))
+        assert abs(r["score"] - wanted) < 0.02 * r["n_tokens"]
