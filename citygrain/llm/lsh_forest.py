@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +34,10 @@ TARGET_RECALL = 0.9995
 TREES = 36
 DEPTH = 12
 
-#: Sketch of a node: so many places of one byte, and the share that must agree to go on. At a
-#: similarity of 0.8 the share lies below that once in 10^8 pairs.
+#: Sketch of a node: so many places of one byte. So many must agree to go on that a pair at the
+#: threshold is lost by it in SKETCH_LOSS of all cases at most.
 SKETCH = 128
-SKETCH_SHARE = 0.6
+SKETCH_LOSS = 1e-8
 
 #: Nodes of a prefix, and shingles of a group, that are compared in one block.
 BLOCK_NODES = 2048
@@ -54,6 +55,16 @@ def matched_depth(trees: int = TREES, depth: int = DEPTH, threshold: float = THR
     return depth
 
 
+def least_agreeing(threshold: float) -> int:
+    """Places of a sketch that must agree: fewer do, at that similarity, in SKETCH_LOSS of all cases at most."""
+    share, lost = min(1.0, max(0.0, threshold)), 0.0
+    for places in range(SKETCH + 1):
+        lost += comb(SKETCH, places) * share**places * (1 - share) ** (SKETCH - places)
+        if lost > SKETCH_LOSS:
+            return places
+    return SKETCH
+
+
 def nodes_of(column: pa.Array) -> Iterator[tuple[int, bytes, np.ndarray]]:
     """Place, node (digest of the shingle set) and sorted shingle set of every text."""
     data, offsets = text_bytes(column)
@@ -69,14 +80,14 @@ def signed_nodes(docs: DataFrame, depth: int) -> DataFrame:
     """(doc_id, node, prefixes, sketch): the key in every tree and the sketch of every text's set."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = MinHash(TREES * depth, seed=23)
+        hasher = MinHash(max(SKETCH, TREES * depth), seed=23)
         factors = np.random.default_rng(5).integers(1, 1 << 62, depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         for batch in batches:
             nodes, prefixes, sketches = [], [], []
             for _, node, own in nodes_of(batch.column("text")):
                 minima = hasher.signature(own)
                 nodes.append(node)
-                keys = (minima.reshape(TREES, depth).astype(np.uint64) * factors).sum(axis=1, dtype=np.uint64)
+                keys = (minima[: TREES * depth].reshape(TREES, depth).astype(np.uint64) * factors).sum(axis=1, dtype=np.uint64)
                 prefixes.append(keys.view(np.int64))
                 sketches.append(((minima[:SKETCH] * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes())
             if nodes:
@@ -109,13 +120,13 @@ def _forest(pairs: np.ndarray, count: int) -> np.ndarray:
     return pairs[kept]
 
 
-def _alike(left: np.ndarray, right: np.ndarray, same: bool) -> np.ndarray:
-    """Index pairs of sketches that agree in enough places; ``same``: of one block with itself."""
+def _alike(left: np.ndarray, right: np.ndarray, same: bool, least: int) -> np.ndarray:
+    """Index pairs of sketches that agree in at least so many places; ``same``: of one block with itself."""
     found = []
     for row in range(len(left)):
         begin = row + 1 if same else 0
         agreed = (left[row][None, :] == right[begin:]).sum(axis=1)
-        hits = np.flatnonzero(agreed >= SKETCH_SHARE * SKETCH) + begin
+        hits = np.flatnonzero(agreed >= least) + begin
         if len(hits):
             found.append(np.stack([np.full(len(hits), row), hits], axis=1))
     return np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
@@ -156,7 +167,7 @@ def _blocked(frame: DataFrame, group: str, place: str, size: str) -> DataFrame:
     )
 
 
-def _candidate_edges(signed: DataFrame) -> DataFrame:
+def _candidate_edges(signed: DataFrame, threshold: float) -> DataFrame:
     """Edges (a, b) that connect, within every prefix of every tree, the nodes whose sketches agree."""
     nodes = signed.groupBy("node").agg(F.first("prefixes").alias("prefixes"), F.first("sketch").alias("sketch"))
     nodes = staged(nodes, "nodes")
@@ -175,17 +186,19 @@ def _candidate_edges(signed: DataFrame) -> DataFrame:
     )
     blocked = _blocked(members, "key", "_place", "_block").select("key", "low", "high", "side", "node", "sketch")
 
+    least = least_agreeing(threshold)
+
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = [], []
         for run in _in_runs(batches, ["key", "low", "high"]):
             names = run.column("node").to_pylist()
             sketches = np.frombuffer(b"".join(run.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(names), SKETCH)
             if run.column("low")[0] == run.column("high")[0]:
-                pairs = _alike(sketches, sketches, True)
+                pairs = _alike(sketches, sketches, True, least)
             else:
                 side = run.column("side").to_numpy()
                 one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-                pairs = _alike(sketches[one], sketches[two], False)
+                pairs = _alike(sketches[one], sketches[two], False, least)
                 pairs = np.stack([one[pairs[:, 0]], two[pairs[:, 1]]], axis=1)
             for a, b in _forest(pairs, len(names)).tolist():
                 left.append(names[a])
@@ -281,7 +294,7 @@ def linked_nodes(docs: DataFrame, signed: DataFrame, threshold: float) -> DataFr
     nodes = staged(
         rows.groupBy("node").agg(F.count(F.lit(1)).alias("_rows"), F.min("doc_id").alias("doc_id")), "node-rows"
     )
-    groups = components(_candidate_edges(signed)).select("node", F.col("component").alias("group"))
+    groups = components(_candidate_edges(signed, threshold)).select("node", F.col("component").alias("group"))
     groups = staged(groups.join(nodes, "node").withColumn("_least", F.col("doc_id")), "groups")
     sets = staged(_with_sets(docs, groups).withColumn("_n", F.octet_length("shingles") / 8), "sets")
     sizes = sets.groupBy("group").agg(F.count(F.lit(1)).alias("_count"), F.max("_n").alias("_most"))

@@ -70,3 +70,19 @@ def test_scores_use_all_words_of_the_order(spark, monkeypatch, order):
         padded = ["\0", *lines[r["doc_id"]]]
         wanted = sum(np.log10(chance(tuple(padded[max(0, i - order + 1) : i]), padded[i])) for i in range(1, len(padded)))
         assert abs(r["score"] - wanted) < 0.02 * r["n_tokens"]
+
+
+@pytest.mark.parametrize("threshold", [0.6, 0.7])
+def test_links_below_the_usual_threshold(spark, threshold):
+    rows = awkward_rows() + near_copies(1000, 40, 20)
+    got = lsh_forest.similar_documents(frame(spark, rows), threshold).collect()
+    wanted, _, _ = brute_classes(rows, threshold)
+    assert Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in got) == wanted
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.6, 0.7, 0.8, 0.95])
+def test_sketches_lose_next_to_nothing_at_the_threshold(threshold):
+    least, dice = lsh_forest.least_agreeing(threshold), np.random.default_rng(1)
+    assert 0 < least < threshold * lsh_forest.SKETCH
+    assert dice.binomial(lsh_forest.SKETCH, threshold, 1_000_000).min() >= least
+    assert lsh_forest.least_agreeing(1.0) == lsh_forest.SKETCH
