@@ -1,9 +1,9 @@
-"""N-gram Jaccard join: MinHash LSH forest, then exact verification.
+"""N-gram Jaccard join: fixed MinHash bands in place of an LSH forest, then exact verification.
 
 Documents are sets of five-word shingles. Documents with one set form a node, so copies never meet
-each other. Each tree of the forest sorts the nodes by a run of MinHash values; the prefix that must
-match is shortened from the full depth until the chance of meeting, at the threshold, reaches the
-target recall. Nodes that meet in a prefix are compared by short sketches, in blocks; what may be
+each other. Nodes meet if they agree in all MinHash values of one of 36 bands. There are no sorted
+prefix trees and nothing adapts to the data: the length of a band, called the depth, is the longest at
+which the chance of meeting, at the threshold, reaches the target recall, worked out once. Nodes that meet are compared by short sketches, in blocks; what may be
 similar is gathered into groups, within which shingle sets are compared exactly, in blocks as well.
 No pairs are written: a block gives the number of links of its nodes and a spanning forest of them.
 
