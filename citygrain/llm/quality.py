@@ -76,6 +76,8 @@ def passage_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     codes = _CLASS[data]
     pairs = codes.copy()
     pairs[1:] += codes[:-1] * CLASSES
+    begins = offsets[:-1][sizes > 0]  # the first byte of a text has none before it
+    pairs[begins] = codes[begins]
     inside = np.arange(len(data)) - np.repeat(offsets[:-1], sizes)
     passage = np.repeat(first[:-1], sizes) + inside // PASSAGE_BYTES
     count = int(first[-1])

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from citygrain.llm import fingerprints, lsh_forest, ngram_lm
+from citygrain.llm import fingerprints, lsh_forest, ngram_lm, quality
 from tests.llm.tables import awkward_rows, frame, jaccard, lower, prose, row, shingles, words
 from tests.llm.test_tables import brute_classes, near_copies
 
@@ -86,3 +86,22 @@ def test_sketches_lose_next_to_nothing_at_the_threshold(threshold):
     assert 0 < least < threshold * lsh_forest.SKETCH
     assert dice.binomial(lsh_forest.SKETCH, threshold, 1_000_000).min() >= least
     assert lsh_forest.least_agreeing(1.0) == lsh_forest.SKETCH
+
+
+def test_passages_of_a_text_do_not_depend_on_the_text_before():
+    texts = [b"Abc", b"", b"9 x" * 300, b"|", b"|", b"", b"zz"]
+    alone = [quality.passage_features(np.frombuffer(t, dtype=np.uint8), np.array([0, len(t)]))[0] for t in texts]
+    for order in (range(7), (6, 4, 2, 0, 1, 3, 5), (3, 2, 4, 1, 5, 0, 6)):
+        data = np.frombuffer(b"".join(texts[i] for i in order), dtype=np.uint8)
+        offsets = np.concatenate([[0], np.cumsum([len(texts[i]) for i in order])])
+        features, first = quality.passage_features(data, offsets)
+        for place, i in enumerate(order):
+            assert np.array_equal(features[first[place] : first[place + 1]], alone[i])
+
+
+def test_scores_do_not_depend_on_order_and_partitions(spark):
+    rows = [row(i, prose(i, 3 + i % 4)) for i in range(40)] + [row(100, "ab"), row(100, "ab"), row(101, "")]
+    model = quality.AttentionModel()
+    made = [quality.score_quality(frame(spark, own).repartition(parts), model).collect() for own in (rows, rows[::-1]) for parts in (1, 5)]
+    known = [{(r["doc_id"], round(r["score"], 6)) for r in got} for got in made]
+    assert all(one == known[0] for one in known) and len(known[0]) == 42
