@@ -1,93 +1,37 @@
 """Point-in-polygon join and line clipping over a grid.
 
-A range predicate alone would plan a nested loop over all (point, zone) pairs. Instead every zone
-is listed under the grid cells that its bounding box touches, and points meet zones by equality
-of the cell. The cell size is a power of two, so that ``floor(x / size)`` is exact.
+A range predicate alone would plan a nested loop over all (point, zone) pairs. Instead zones are
+listed by grid cell (``zone_index``), and points and the stretches of lines meet them by equality of the cell.
 """
 
 from __future__ import annotations
 
-import math
 import sys
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citygrain.functions import geo
+from citygrain.operators.zone_index import cell, with_edges, zone_index
 from citygrain.session import BROADCAST_BYTES
 
-#: For points, a zone's bounding box is cut into about this many cells per side on average.
-CELLS_PER_SIDE = 8
-#: The whole layer is never cut into more cells per side than this.
-MAX_CELLS_PER_SIDE = 1024
-#: Up to this many zones may meet in one cell and still be tried in place.
+#: Up to this many zones may meet in one cell, and zones be listed at this many levels, and still be tried in place.
 MAX_CANDIDATES = 512
+MAX_LEVELS = 8
 
+#: Positions along a segment that are closer than this are one.
+NEAR = 1e-12
 
-def with_edges(zones: DataFrame, rings: str = "rings") -> DataFrame:
-    """Add the bounding box and the edges of each zone."""
-    return zones.withColumn("_box", geo.bounds(F.col(rings))).withColumn("_edges", geo.edges(F.col(rings)))
+#: Lines are followed through cells that are cut this often at most.
+LINE_SPLITS = 2
 
+#: Rows of one batch that a walk hands on.
+MOST_ROWS = 100_000
 
-def layer_grid(
-    zones: DataFrame, cells_per_side: int = CELLS_PER_SIDE
-) -> tuple[float, tuple[float, float, float, float] | None]:
-    """Power-of-two cell size that fits the layer, and the layer's box; one small aggregate."""
-    box = F.col("_box")
-    row = zones.agg(
-        F.min(box["minx"]),
-        F.min(box["miny"]),
-        F.max(box["maxx"]),
-        F.max(box["maxy"]),
-        F.avg(F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"])),
-    ).first()
-    *extent, side = row
-    if side is None:
-        return 1.0, None
-    longest = max(extent[2] - extent[0], extent[3] - extent[1])
-    wanted = max(side / cells_per_side, longest / MAX_CELLS_PER_SIDE)
-    return (2.0 ** math.floor(math.log2(wanted)) if wanted > 0 else 1.0), tuple(extent)
-
-
-def cell(value: Column, size: float) -> Column:
-    return F.floor(value / F.lit(size))
-
-
-def _cells_of_box(df: DataFrame, box: Column, size: float) -> DataFrame:
-    """One row per cell that a box touches, as ``_cx`` and ``_cy``."""
-    return df.withColumn(
-        "_cx", F.explode(F.sequence(cell(box["minx"], size), cell(box["maxx"], size)))
-    ).withColumn("_cy", F.explode(F.sequence(cell(box["miny"], size), cell(box["maxy"], size))))
-
-
-def zone_cells(zones: DataFrame, size: float) -> DataFrame:
-    """Zones by cell, with only what a point of that cell needs.
-
-    ``_inside`` marks a cell that the zone covers wholly: no test is left to do. Otherwise the
-    edges that a ray to the right of some point of the cell can meet are kept. Cells that the box
-    touches but the zone does not are dropped.
-    """
-    c = F.col
-    left, low = c("_cx") * F.lit(size), c("_cy") * F.lit(size)
-    right, high = left + F.lit(size), low + F.lit(size)
-
-    def reaches(e: Column) -> Column:
-        return (
-            (F.greatest(e["y1"], e["y2"]) >= low)
-            & (F.least(e["y1"], e["y2"]) <= high)
-            & (F.greatest(e["x1"], e["x2"]) >= left)
-        )
-
-    cells = _cells_of_box(zones, c("_box"), size).withColumn("_edges", F.filter(c("_edges"), reaches))
-    crossed = F.exists(c("_edges"), lambda e: F.least(e["x1"], e["x2"]) <= right)
-    # Without an edge in the cell all its points are alike, so its centre speaks for them.
-    whole = geo.covers(c("_edges"), left + F.lit(size / 2), low + F.lit(size / 2))
-    return (
-        cells.withColumn("_crossed", crossed)
-        .withColumn("_inside", ~c("_crossed") & whole)
-        .where(c("_crossed") | c("_inside"))
-        .withColumn("_edges", F.when(c("_crossed"), c("_edges")))
-    )
+EDGES = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
 
 def _hit(candidate: Column, x: Column, y: Column) -> Column:
@@ -99,6 +43,14 @@ def _hit(candidate: Column, x: Column, y: Column) -> Column:
     )
 
 
+def _measured(index: DataFrame) -> tuple[list[int], int, int]:
+    """Levels of an index, most zones in one cell, and about its bytes."""
+    edges = F.coalesce(F.size("_edges"), F.lit(0))
+    weight = index.groupBy("_level", "_cx", "_cy").agg(F.count(F.lit(1)).alias("n"), F.sum(edges + 8).alias("edges"))
+    rows = weight.groupBy("_level").agg(F.max("n").alias("most"), F.sum("edges").alias("edges")).collect()
+    return sorted(row["_level"] for row in rows), max((row["most"] for row in rows), default=0), 40 * sum(row["edges"] for row in rows)
+
+
 def spatial_join(
     points: DataFrame,
     zones: DataFrame,
@@ -107,140 +59,221 @@ def spatial_join(
     y: str = "latitude",
     order: str = "feature_index",
     rings: str = "rings",
-    cell_size: float | None = None,
+    level: int | None = None,
     max_candidates: int = MAX_CANDIDATES,
 ) -> DataFrame:
     """Give every point the properties of the first zone, by ``order``, that covers it.
 
     ``properties`` maps zone columns to output columns. The boundary belongs to the zone. A point
     without coordinates or without a zone gets NULLs; every point keeps exactly one row. The
-    points are not shuffled where the zone index is small enough to broadcast.
+    points are not shuffled where the zone index is small enough to broadcast: they look their cell
+    up once per level.
     """
     layer = with_edges(zones.where(F.size(rings) > 0), rings)
-    size = cell_size or layer_grid(layer)[0]
     props = F.struct(*[F.col(name).alias(out) for name, out in properties.items()])
-    index = (
-        zone_cells(layer.select(F.col(order).alias("_order"), "_box", "_edges", props.alias("_props")), size)
-        .select("_cx", "_cy", F.struct("_order", "_inside", "_box", "_edges", "_props").alias("_zone"))
-        .persist()
-    )
-    edges = F.coalesce(F.size("_zone._edges"), F.lit(0))
-    weight = index.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("n"), F.sum(edges + 8).alias("edges"))
-    row = weight.agg(F.max("n").alias("most"), (F.sum("edges") * 40).alias("bytes")).first()
+    index = zone_index(layer.select(F.col(order).alias("_order"), "_box", "_edges", props.alias("_props")), level)
+    levels, most, size = _measured(index)
+    zone = F.struct("_order", "_inside", "_box", "_edges", "_props").alias("_zone")
     # A point with a coordinate that is no finite number lies in no cell.
-    most = F.lit(sys.float_info.max)
-    known = F.col(x).cast("double").between(-most, most) & F.col(y).cast("double").between(-most, most)
-    located = points.withColumns({"_cx": F.when(known, cell(F.col(x), size)), "_cy": F.when(known, cell(F.col(y), size))})
-    if (row["most"] or 0) > max_candidates:
-        return _join_by_pairs(points, located, index, properties, x, y)
-
-    # A cell lists at most max_candidates zones here, checked above.
-    lists = index.groupBy("_cx", "_cy").agg(F.sort_array(F.collect_list("_zone")).alias("_zones"))
-    if (row["bytes"] or 0) <= BROADCAST_BYTES:
-        lists = F.broadcast(lists)
-    hits = F.filter(F.col("_zones"), lambda zone: _hit(zone, F.col(f"`{x}`"), F.col(f"`{y}`")))
-    found = F.try_element_at(hits, F.lit(1))
-    return (
-        located.join(lists, ["_cx", "_cy"], "left")
-        .withColumn("_found", found)
-        .select(*[F.col(f"`{name}`") for name in points.columns], "_found._props.*")
-    )
+    most_value = F.lit(sys.float_info.max)
+    px, py = F.col(f"`{x}`"), F.col(f"`{y}`")
+    known = px.cast("double").between(-most_value, most_value) & py.cast("double").between(-most_value, most_value)
+    if most > max_candidates or size > BROADCAST_BYTES or len(levels) > MAX_LEVELS:
+        return _join_by_pairs(points, known, index.select("_level", "_cx", "_cy", zone), levels, properties, x, y)
+
+    joined, found = points, []
+    for number, own in enumerate(levels):
+        # A cell lists at most max_candidates zones here, and all lists were measured above.
+        lists = index.where(F.col("_level") == own).groupBy(F.col("_cx").alias(f"_cx{number}"), F.col("_cy").alias(f"_cy{number}"))
+        lists = lists.agg(F.sort_array(F.collect_list(zone)).alias(f"_zones{number}"))
+        keys = {f"_cx{number}": F.when(known, cell(px, 2.0**own)), f"_cy{number}": F.when(known, cell(py, 2.0**own))}
+        joined = joined.withColumns(keys).join(F.broadcast(lists), list(keys), "left")
+        hits = F.filter(F.col(f"_zones{number}"), lambda candidate: _hit(candidate, px, py))
+        joined = joined.withColumn(f"_found{number}", F.try_element_at(hits, F.lit(1)))
+        found.append(F.struct(F.col(f"_found{number}._order").alias("_order"), F.col(f"_found{number}._props").alias("_props")))
+    kept = [F.col(f"`{name}`") for name in points.columns]
+    if not found:
+        kinds = {field.name: field.dataType for field in zones.schema}
+        return points.select(*kept, *[F.lit(None).cast(kinds[name]).alias(out) for name, out in properties.items()])
+    first = F.when(F.col("_found0").isNotNull(), found[0])
+    for number, own in enumerate(found[1:], 1):
+        earlier = first.isNull() | (own["_order"] < first["_order"])
+        first = F.when(F.col(f"_found{number}").isNotNull() & earlier, own).otherwise(first)
+    return joined.withColumn("_first", first).select(*kept, "_first._props.*")
 
 
 def _join_by_pairs(
-    points: DataFrame, located: DataFrame, index: DataFrame, properties: dict[str, str], x: str, y: str
+    points: DataFrame, known: Column, index: DataFrame, levels: list[int], properties: dict[str, str], x: str, y: str
 ) -> DataFrame:
-    """The same for a layer that piles up in single cells: distinct positions meet single zones.
+    """The same for an index that is large or piles up in single cells: distinct positions meet single zones.
 
     The first zone is a minimum, combined map-side, so no list is built whatever the pile.
     """
-    places = located.where(F.col("_cx").isNotNull() & F.col("_cy").isNotNull()).select(
-        "_cx", "_cy", F.col(x).alias("_x"), F.col(y).alias("_y")
-    ).dropDuplicates()
+    px, py = F.col(f"`{x}`"), F.col(f"`{y}`")
+    places = points.where(known).select(px.alias("_x"), py.alias("_y")).dropDuplicates()
+    keys = [
+        F.struct(F.lit(own).alias("_level"), cell(F.col("_x"), 2.0**own).alias("_cx"), cell(F.col("_y"), 2.0**own).alias("_cy"))
+        for own in levels
+    ]
     first = (
-        places.join(index, ["_cx", "_cy"])
+        places.withColumn("_key", F.explode(F.array(*keys)))
+        .select("_x", "_y", "_key.*")
+        .join(index, ["_level", "_cx", "_cy"])
         .where(_hit(F.col("_zone"), F.col("_x"), F.col("_y")))
         .groupBy("_x", "_y")
         .agg(F.min_by("_zone._props", "_zone._order").alias("_props"))
     )
-    joined = points.join(first, (F.col(x) == F.col("_x")) & (F.col(y) == F.col("_y")), "left")
+    joined = points.join(first, (px == F.col("_x")) & (py == F.col("_y")), "left")
     return joined.select(*[F.col(f"`{name}`") for name in points.columns], "_props.*")
 
 
-def _crossings(near: Column, p: Column, q: Column) -> Column:
-    """Positions in (0, 1) along p->q where it meets an edge, or where a collinear edge starts or ends."""
-    dx, dy = q["x"] - p["x"], q["y"] - p["y"]
+def _at(p: Column, q: Column, t: Column) -> Column:
+    """The point at position ``t`` of the way from p to q; its ends are p and q themselves."""
+    between = geo.point(p["x"] + t * (q["x"] - p["x"]), p["y"] + t * (q["y"] - p["y"]))
+    return F.when(t == 0.0, p).when(t == 1.0, q).otherwise(between)
 
-    def of_edge(e: Column) -> Column:
-        ex, ey = e["x2"] - e["x1"], e["y2"] - e["y1"]
-        ax, ay = e["x1"] - p["x"], e["y1"] - p["y"]
-        bx, by = e["x2"] - p["x"], e["y2"] - p["y"]
-        cross = dx * ey - dy * ex
-        along = F.try_divide(ax * ey - ay * ex, cross)
-        on_edge = F.try_divide(ax * dy - ay * dx, cross)
-        collinear = (cross == 0) & (ax * dy - ay * dx == 0)
-        square = dx * dx + dy * dy
-        ends = F.array(F.try_divide(ax * dx + ay * dy, square), F.try_divide(bx * dx + by * dy, square))
-        return F.when(collinear, ends).otherwise(F.array(F.when(on_edge.between(0.0, 1.0), along)))
 
-    return F.filter(F.flatten(F.transform(near, of_edge)), lambda t: (t > 0.0) & (t < 1.0))
+def _pairs(stops: Column) -> Column:
+    """Neighbours in an array as STRUCT<s, t>."""
+    return F.zip_with(
+        F.slice(stops, F.lit(1), F.size(stops) - 1),
+        F.slice(stops, F.lit(2), F.size(stops) - 1),
+        lambda s, t: F.struct(s.alias("s"), t.alias("t")),
+    )
 
 
-def _straddles(box: Column, p: Column, q: Column) -> Column:
-    """The corners of the box are not all on one side of the line through p and q."""
-    dx, dy = q["x"] - p["x"], q["y"] - p["y"]
-    sides = [
-        dx * (box[y] - p["y"]) - dy * (box[x] - p["x"]) for x in ("minx", "maxx") for y in ("miny", "maxy")
-    ]
-    return (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+def _number(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    return [batch.column(name).to_numpy(zero_copy_only=False) for name in names]
 
 
-def _near_edges(zone_edges: Column, p: Column, q: Column) -> Column:
-    """Edges whose box meets the segment's box."""
-    return F.filter(
-        zone_edges,
-        lambda e: (F.greatest(e["x1"], e["x2"]) >= F.least(p["x"], q["x"]))
-        & (F.least(e["x1"], e["x2"]) <= F.greatest(p["x"], q["x"]))
-        & (F.greatest(e["y1"], e["y2"]) >= F.least(p["y"], q["y"]))
-        & (F.least(e["y1"], e["y2"]) <= F.greatest(p["y"], q["y"])),
-    )
+def _spans(rows: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, from, to) between neighbouring different stops of a row."""
+    order = np.lexsort((stops, rows))
+    rows, stops = rows[order], stops[order]
+    kept = np.flatnonzero((rows[1:] == rows[:-1]) & (stops[1:] > stops[:-1]))
+    return rows[kept], stops[kept], stops[kept + 1]
 
 
-def _pieces(cuts: Column, zone_edges: Column, p: Column, q: Column) -> Column:
-    """Stretches between consecutive cuts that lie inside the zone, as STRUCT<a, b> of points."""
-    dx, dy = q["x"] - p["x"], q["y"] - p["y"]
-    spans = F.zip_with(
-        F.slice(cuts, F.lit(1), F.size(cuts) - 1),
-        F.slice(cuts, F.lit(2), F.size(cuts) - 1),
-        lambda s, t: F.struct(s.alias("s"), t.alias("t")),
-    )
+def _counted(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, number) for ``count`` numbers of every row, from its ``first`` on."""
+    rows = np.repeat(np.arange(len(count)), count)
+    return rows, np.arange(len(rows)) - np.repeat(np.cumsum(count) - count - first, count)
 
-    def middle_inside(span: Column) -> Column:
-        half = (span["s"] + span["t"]) / 2
-        return geo.covers(zone_edges, p["x"] + half * dx, p["y"] + half * dy)
 
-    def at(t: Column) -> Column:
-        return F.when(t == 1.0, q).otherwise(geo.point(p["x"] + t * dx, p["y"] + t * dy))
+SEGMENT = ["_px", "_py", "_qx", "_qy"]
 
-    return F.transform(
-        F.filter(spans, middle_inside), lambda span: F.struct(at(span["s"]).alias("a"), at(span["t"]).alias("b"))
-    )
 
+def _walked(batch: pa.RecordBatch, size: float, extent: tuple[float, float, float, float]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Segments through the cells of one size: the row of each stretch, and where the stretch lies.
 
-def _chain(pieces: Column) -> Column:
-    """Ordered pieces to polylines: a piece that starts where the last one ended extends it."""
-    empty = F.array().cast(geo.GEOMETRY)
+    Only what lies in the layer's box, and a cell more, is walked.
+    """
+    px, py, qx, qy = _number(batch, *SEGMENT)
+    begin, end, borders = np.zeros(len(px)), np.ones(len(px)), []
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for p, q, low, high in ((px, qx, extent[0] - size, extent[2] + size), (py, qy, extent[1] - size, extent[3] + size)):
+            step = q - p
+            one, other = (low - p) / step, (high - p) / step
+            begin = np.where(step != 0, np.fmax(begin, np.fmin(one, other)), np.where((p >= low) & (p <= high), begin, 2.0))
+            end = np.where(step != 0, np.fmin(end, np.fmax(one, other)), end)
+            least = np.floor(np.clip(np.minimum(p, q), low, high) / size) + 1
+            most = np.floor(np.clip(np.maximum(p, q), low, high) / size)
+            row, number = _counted(least.astype(np.int64), np.where(step != 0, np.maximum(most - least + 1, 0), 0).astype(np.int64))
+            borders.append((row, (number * size - p[row]) / step[row]))
+    inner, at = np.concatenate([row for row, _ in borders]), np.concatenate([t for _, t in borders])
+    met = (at > begin[inner]) & (at < end[inner])
+    some = np.flatnonzero(begin < end)
+    row, s, t = _spans(np.concatenate([some, some, inner[met]]), np.concatenate([begin[some], end[some], at[met]]))
+    half = (s + t) / 2
+    cells = [np.floor((p[row] + half * (q - p)[row]) / size).astype(np.int64) for p, q in ((px, qx), (py, qy))]
+    return row, {"_from": s, "_to": t, "_cx": cells[0], "_cy": cells[1]}
+
+
+STRETCH = "_px double, _py double, _qx double, _qy double, _from double, _to double, _level int, _cx long, _cy long"
+
+
+def _stretches(segments: DataFrame, levels: list[int], extent: tuple[float, float, float, float]) -> DataFrame:
+    """Segments walked through the cells of every level that the index has."""
+    others = [name for name in segments.columns if name not in SEGMENT]
+    types = {field.name: field.dataType.simpleString() for field in segments.schema}
+
+    def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for level in levels:
+                row, found = _walked(batch, 2.0**level, extent)
+                for low in range(0, len(row), MOST_ROWS):
+                    part = slice(low, low + MOST_ROWS)
+                    rows = batch.select([*others, *SEGMENT]).take(pa.array(row[part]))
+                    own = [*rows.columns, *(pa.array(found[name][part]) for name in ("_from", "_to"))]
+                    own += [pa.array(np.full(rows.num_rows, level, np.int32)), pa.array(found["_cx"][part]), pa.array(found["_cy"][part])]
+                    yield pa.RecordBatch.from_arrays(own, [*others, *SEGMENT, "_from", "_to", "_level", "_cx", "_cy"])
+
+    return segments.mapInArrow(walked, ", ".join([*(f"`{name}` {types[name]}" for name in others), STRETCH]))
+
+
+def _kept(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, from, to) of the parts of stretches that lie inside their zone."""
+    px, py, qx, qy, begin, end = _number(batch, *SEGMENT, "_from", "_to")
+    dx, dy = qx - px, qy - py
+    lists = batch.column("_edges")
+    count = np.diff(lists.offsets.to_numpy())
+    first = np.cumsum(count) - count
+    x1, y1, x2, y2 = (lists.flatten().field(i).to_numpy(zero_copy_only=False) for i in range(4))
+
+    # Where a segment meets an edge near the stretch: one position, or the two ends of an edge along it.
+    row, edge = _counted(first, count)
+    ax, ay, bx, by = (values[edge] - start[row] for values, start in ((x1, px), (y1, py), (x2, px), (y2, py)))
+    one, other = dx[row] * ay - dy[row] * ax, dx[row] * by - dy[row] * bx
+    near = (np.minimum(one, other) <= 0) & (np.maximum(one, other) >= 0)
+    for a, b, step in ((ax, bx, dx), (ay, by, dy)):
+        low, high = np.minimum(begin * step, end * step), np.maximum(begin * step, end * step)
+        slack = 4e-16 * np.abs(step)  # ends of a stretch are rounded
+        near &= (np.maximum(a, b) >= (low - slack)[row]) & (np.minimum(a, b) <= (high + slack)[row])
+    row, ax, ay, bx, by, one, other = (values[near] for values in (row, ax, ay, bx, by, one, other))
+    square = (dx * dx + dy * dy)[row]
+    on_line = (one == 0) & (other == 0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        along = (ax * (by - ay) - ay * (bx - ax)) / (dx[row] * (by - ay) - dy[row] * (bx - ax))
+    t1, t2 = ((x * dx[row] + y * dy[row]) / square for x, y in ((ax, ay), (bx, by)))
+    low, high = np.where(on_line, np.minimum(t1, t2), along), np.where(on_line, np.maximum(t1, t2), along)
+    stops, cuts = np.concatenate([row, row]), np.concatenate([low, high])
+    met = (cuts > begin[stops]) & (cuts < end[stops])
+    every = np.arange(len(px))
+    rows, s, t = _spans(np.concatenate([every, every, stops[met]]), np.concatenate([begin, end, cuts[met]]))
+
+    # What runs along an edge is inside; for the rest its middle speaks, which lies on no edge.
+    half = (s + t) / 2
+    x, y = px[rows] + half * dx[rows], py[rows] + half * dy[rows]
+    span, edge = _counted(first[rows], count[rows])
+    turned = (y1[edge] > y[span]) != (y2[edge] > y[span])
+    span, edge = span[turned], edge[turned]
+    left = (x2 - x1)[edge] * (y[span] - y1[edge]) - (y2 - y1)[edge] * (x[span] - x1[edge]) > 0
+    inside = np.bincount(span[left == (y2[edge] > y1[edge])], minlength=len(rows)) % 2 == 1
+    inside |= batch.column("_inside").to_numpy(zero_copy_only=False)[rows]
+    begins = np.searchsorted(rows, row[on_line])
+    span, _ = _counted(np.zeros(on_line.sum(), np.int64), np.searchsorted(rows, row[on_line], side="right") - begins)
+    place = begins[span] + np.arange(len(span)) - np.searchsorted(span, span)
+    within = (half[place] >= low[on_line][span]) & (half[place] <= high[on_line][span])
+    inside[place[within]] = True
+    return rows[inside], s[inside], t[inside]
+
+
+def _inner_spans(met: DataFrame, others: list[str]) -> DataFrame:
+    """The parts of stretches that lie inside their zone, as _s and _t.
+
+    Interpreted array functions take a hundred times as long for this as whole batches of edges do.
+    """
+    types = {field.name: field.dataType.simpleString() for field in met.schema}
 
-    def add(lines: Column, piece: Column) -> Column:
-        last = F.try_element_at(lines, F.lit(-1))
-        extends = F.try_element_at(last, F.lit(-1)) == piece["a"]
-        longer = F.concat(
-            F.slice(lines, F.lit(1), F.greatest(F.size(lines) - 1, F.lit(0))),
-            F.array(F.concat(last, F.array(piece["b"]))),
-        )
-        return F.when(extends, longer).otherwise(F.concat(lines, F.array(F.array(piece["a"], piece["b"]))))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, s, t = _kept(batch)
+            rows = batch.select([*others, *SEGMENT]).take(pa.array(row))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(s), pa.array(t)], [*others, *SEGMENT, "_s", "_t"])
 
-    return F.aggregate(pieces, empty, add)
+    edges = met.withColumn("_edges", F.coalesce("_edges", F.array().cast(EDGES)))
+    schema = [*(f"`{name}` {types[name]}" for name in others), *(f"{name} double" for name in (*SEGMENT, "_s", "_t"))]
+    return edges.select(*others, *SEGMENT, "_from", "_to", "_inside", "_edges").mapInArrow(cut, ", ".join(schema))
 
 
 def clip_lines(
@@ -251,86 +284,78 @@ def clip_lines(
     parts: str = "parts",
     order: str = "feature_index",
     rings: str = "rings",
-    cell_size: float | None = None,
+    level: int | None = None,
 ) -> DataFrame:
     """Cut every line to every zone it runs through: rows (line id, zone columns, parts).
 
     Only stretches of positive length stay, so a line that merely touches a zone has no row for
-    it. Segments meet zones by grid cell; a pair that shares several cells is kept in the one that
-    holds the lower left corner of the boxes' overlap. Gathering the pieces of one line in one
-    zone is bounded by that line, which was one row to begin with.
+    it. Segments are walked through the cells they cross; a stretch meets the zones listed in its cell,
+    is whole where the zone covers the cell, and is cut at the few edges of the cell otherwise. The
+    spans of a zone are put together again by their positions along the line, so cells leave no trace
+    in the result. Work grows with the cells crossed, for lines and outlines of any size.
     """
     c = F.col
     layer = with_edges(zones.where(F.size(rings) > 0), rings)
-    # A segment is listed under every cell of its box, so cells are as large as zones here.
-    grid, extent = layer_grid(layer, 1)
-    size, extent = cell_size or grid, extent or (0.0, 0.0, 0.0, 0.0)
-    index = _cells_of_box(layer.select(F.col(order).alias("_order"), "_box"), c("_box"), size)
-    shapes = layer.select(F.col(order).alias("_order"), "_edges", *zone_columns)
-
-    def pairs(part: Column) -> Column:
-        count = F.greatest(F.size(part) - 1, F.lit(0))
-        return F.zip_with(
-            F.slice(part, F.lit(1), count),
-            F.slice(part, F.lit(2), count),
-            lambda p, q: F.struct(p.alias("p"), q.alias("q")),
-        )
+    index = zone_index(layer.select(F.col(order).alias("_order"), "_box", "_edges", *zone_columns), level, LINE_SPLITS)
+    levels, _, size = _measured(index)
+    box = layer.agg(F.min("_box.minx"), F.min("_box.miny"), F.max("_box.maxx"), F.max("_box.maxy")).first()
+    extent = tuple(box) if levels else (0.0, 0.0, 0.0, 0.0)
 
     segments = (
-        lines.select(line_id, F.posexplode(parts).alias("_part", "_points"))
-        .select(line_id, "_part", F.posexplode(pairs(c("_points"))).alias("_seg", "_s"))
-        .where((c("_s.p.x") != c("_s.q.x")) | (c("_s.p.y") != c("_s.q.y")))
-        # Only the part of the box that the layer reaches is listed by cell.
-        .withColumn(
-            "_sbox",
-            F.struct(
-                F.greatest(F.least("_s.p.x", "_s.q.x"), F.lit(extent[0])).alias("minx"),
-                F.greatest(F.least("_s.p.y", "_s.q.y"), F.lit(extent[1])).alias("miny"),
-                F.least(F.greatest("_s.p.x", "_s.q.x"), F.lit(extent[2])).alias("maxx"),
-                F.least(F.greatest("_s.p.y", "_s.q.y"), F.lit(extent[3])).alias("maxy"),
-            ),
-        )
-        .where("_sbox.minx <= _sbox.maxx and _sbox.miny <= _sbox.maxy")
+        lines.select(F.col(line_id).alias("_line"), F.posexplode(parts).alias("_part", "_points"))
+        .where(F.size("_points") > 1)
+        .select("_line", "_part", F.posexplode_outer(_pairs(c("_points"))).alias("_seg", "_pair"))
+        .select("_line", "_part", "_seg", c("_pair.s.x").alias("_px"), c("_pair.s.y").alias("_py"), c("_pair.t.x").alias("_qx"), c("_pair.t.y").alias("_qy"))
+        .where((c("_px") != c("_qx")) | (c("_py") != c("_qy")))
         # The cutting is work for the processor: segments of one long line are spread over tasks.
-        .repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), line_id, "_part", "_seg")
+        .repartition("_line", "_part", "_seg")
     )
-    met = (
-        _cells_of_box(segments, c("_sbox"), size)
-        .join(index, ["_cx", "_cy"])
-        .where("_sbox.minx <= _box.maxx and _box.minx <= _sbox.maxx")
-        .where("_sbox.miny <= _box.maxy and _box.miny <= _sbox.maxy")
-        .where(
-            (c("_cx") == cell(F.greatest("_sbox.minx", "_box.minx"), size))
-            & (c("_cy") == cell(F.greatest("_sbox.miny", "_box.miny"), size))
-        )
-        .where(_straddles(c("_box"), c("_s.p"), c("_s.q")))
-        .select(line_id, "_part", "_seg", "_s", "_order")
-    )
-    p, q = c("_s.p"), c("_s.q")
-    ends = F.array(F.lit(0.0), F.lit(1.0))
-    # One column per step: an array that is used twice must not be worked out twice.
-    cut = (
-        met.join(shapes, "_order")
-        .withColumn("_near", _near_edges(c("_edges"), p, q))
-        .withColumn("_cuts", F.array_sort(F.array_distinct(F.concat(ends, _crossings(c("_near"), p, q)))))
-        .select(
-            line_id, *zone_columns, "_order", "_part", "_seg",
-            F.posexplode(_pieces(c("_cuts"), c("_edges"), p, q)).alias("_no", "_piece"),
-        )
-    )
-    ordered = F.sort_array(F.collect_list(F.struct("_part", "_seg", "_no", "_piece")))
-    return (
-        cut.groupBy(line_id, "_order", *zone_columns)
-        .agg(ordered.alias("_pieces"))
-        .select(line_id, *zone_columns, _chain(F.transform(c("_pieces"), lambda p: p["_piece"])).alias("parts"))
+    # A stretch that meets a zone's box in one point alone has no length in the zone.
+    x1, x2 = (c("_px") + c(t) * (c("_qx") - c("_px")) for t in ("_from", "_to"))
+    y1, y2 = (c("_py") + c(t) * (c("_qy") - c("_py")) for t in ("_from", "_to"))
+    wide = F.least(F.greatest(x1, x2), "_box.maxx") > F.greatest(F.least(x1, x2), "_box.minx")
+    high = F.least(F.greatest(y1, y2), "_box.maxy") > F.greatest(F.least(y1, y2), "_box.miny")
+    listed = F.broadcast(index) if size <= BROADCAST_BYTES else index
+    met = _stretches(segments, levels, extent).join(listed, ["_level", "_cx", "_cy"])
+    met = met.where((wide | (c("_px") == c("_qx"))) & (high | (c("_py") == c("_qy"))))
+    names = {name: f"_zone{number}" for number, name in enumerate(zone_columns)}
+    kept = met.withColumnsRenamed(names)
+    spans = _inner_spans(kept, ["_line", "_order", *names.values(), "_part", "_seg"])
+
+    # Spans in order along the line: a chain goes on where a span begins where the one before it ended.
+    along = Window.partitionBy("_line", "_order").orderBy("_part", "_seg", "_s")
+    last = F.lag(F.struct("_part", "_seg", "_t", "_qx", "_qy")).over(along)
+    same = (last["_part"] == c("_part")) & (last["_seg"] == c("_seg")) & (c("_s") - last["_t"] <= NEAR)
+    ended = (last["_t"] == 1.0) & (c("_s") == 0.0) & (last["_qx"] == c("_px")) & (last["_qy"] == c("_py"))
+    turned = (last["_part"] == c("_part")) & (last["_seg"] < c("_seg")) & ended
+    chained = spans.withColumn("_starts", F.when(same | turned, 0).otherwise(1)).withColumn("_chain", F.sum("_starts").over(along))
+    own = ["_line", "_order", *names.values()]
+    p, q = geo.point(c("_px"), c("_py")), geo.point(c("_qx"), c("_qy"))
+    piece = F.struct("_part", "_seg", _at(p, q, c("_s")).alias("a"), _at(p, q, c("_t")).alias("b"))
+    whole = (
+        chained.groupBy(*own, "_chain", "_part", "_seg", *SEGMENT)
+        .agg(F.min("_s").alias("_s"), F.max("_t").alias("_t"))
+        .where(c("_t") - c("_s") > NEAR)
+        .select(*own, "_chain", piece.alias("_piece"))
     )
+    chains = whole.groupBy(*own, "_chain").agg(F.sort_array(F.collect_list("_piece")).alias("_pieces"))
+    points = F.concat(F.array(c("_pieces")[0]["a"]), F.transform("_pieces", lambda one: one["b"]))
+    polylines = F.sort_array(F.collect_list(F.struct("_chain", points.alias("_points"))))
+    found = chains.groupBy(*own).agg(polylines.alias("_lines"))
+    columns = [c(other).alias(name) for name, other in names.items()]
+    return found.select(c("_line").alias(line_id), *columns, F.transform("_lines", lambda one: one["_points"]).alias("parts"))
 
 
 def prepare_cells(
     cells: DataFrame, extent: tuple[float, float, float, float] | None = None
 ) -> DataFrame:
-    """Noise and air cells: those that touch the extent and have an area, with centre and area."""
-    c = F.col
+    """Noise and air cells: those that touch the extent and have an area, with centre and area.
+
+    A cell needs four finite sides, the upper ones above the lower ones.
+    """
+    c, most = F.col, F.lit(sys.float_info.max)
+    for name in ("minx", "miny", "maxx", "maxy"):
+        cells = cells.where(c(name).between(-most, most))
     if extent is not None:
         minx, miny, maxx, maxy = (F.lit(float(value)) for value in extent)
         cells = cells.where(
@@ -342,7 +367,7 @@ def prepare_cells(
             "center_y": (c("miny") + c("maxy")) / 2,
             "area": (c("maxx") - c("minx")) * (c("maxy") - c("miny")),
         }
-    ).where((c("area") > 0) & (c("maxx") > c("minx")))
+    ).where((c("area") > 0) & (c("maxx") > c("minx")) & (c("maxy") > c("miny")))
 
 
 def layer_extent(zones: DataFrame, rings: str = "rings") -> tuple[float, float, float, float]:

@@ -45,7 +45,7 @@ def first_zone(shapes, x, y):
     return next((f"z{i}" for i, rings in enumerate(shapes) if covers(rings, x, y)), None)
 
 
-@pytest.mark.parametrize("options", [{}, {"max_candidates": 0}, {"cell_size": 64.0}, {"cell_size": 0.25}])
+@pytest.mark.parametrize("options", [{}, {"max_candidates": 0}, {"level": 6}, {"level": -2}, {"level": -2, "max_candidates": 0}])
 def test_points_equal_brute_force(spark, options):
     shapes = [L_SHAPE, HOLE, TRIANGLE, SLANTED]
     rng = random.Random(5)
@@ -97,8 +97,8 @@ def inside_length(rings, p, q):
     return float(share) * math.hypot(float(dx), float(dy))
 
 
-@pytest.mark.parametrize("cell_size", [None, 2.0, 128.0])
-def test_clipped_lengths_equal_brute_force(spark, cell_size):
+@pytest.mark.parametrize("level", [None, 1, 7])
+def test_clipped_lengths_equal_brute_force(spark, level):
     shapes = [L_SHAPE, HOLE, TRIANGLE, BOX]
     rng = random.Random(11)
     grid = [(rng.randint(-2, 22), rng.randint(-2, 18)) for _ in range(120)]
@@ -110,7 +110,7 @@ def test_clipped_lengths_equal_brute_force(spark, cell_size):
         [(i, [[(float(x), float(y)) for x, y in line]]) for i, line in enumerate(lines)],
         f"line int, parts {geo.GEOMETRY}",
     )
-    found = ops.clip_lines(df, zones_df(spark, shapes), "line", ["zone"], cell_size=cell_size)
+    found = ops.clip_lines(df, zones_df(spark, shapes), "line", ["zone"], level=level)
     lengths = {(row["line"], row["zone"]): row["length"] for row in found.withColumn("length", geo.length(F.col("parts"))).collect()}
     assert found.select("line", "zone").distinct().count() == len(lengths)
     for i, line in enumerate(lines):

@@ -159,13 +159,111 @@ def streets_clipped_to_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clipped.select("street", "zone", round_even(geo.length(c("parts")), 6).alias("length"))
 
 
-@register()
+# The shapes as sums of convex pieces: a box, a box below a slope, two boxes, a box less an open box.
+# An open side leaves out what runs along it. Each piece is the part of a segment between two positions.
+PIECES_SQL = f"""{ZONES_SQL},
+    pieces AS (SELECT n_nationkey, n_name, zx, zy, unnest(CASE n_nationkey % 4
+        WHEN 0 THEN [{{'sign': 1, 'x0': 0, 'x1': 12, 'y0': 0, 'y1': 4, 'slope': false, 'open': false, 'floor': false}}]
+        WHEN 1 THEN [{{'sign': 1, 'x0': 0, 'x1': 12, 'y0': 0, 'y1': 4, 'slope': true, 'open': false, 'floor': false}}]
+        WHEN 2 THEN [{{'sign': 1, 'x0': 0, 'x1': 12, 'y0': 0, 'y1': 2, 'slope': false, 'open': false, 'floor': false}},
+                     {{'sign': 1, 'x0': 0, 'x1': 6, 'y0': 2, 'y1': 4, 'slope': false, 'open': false, 'floor': true}}]
+        ELSE [{{'sign': 1, 'x0': 0, 'x1': 12, 'y0': 0, 'y1': 4, 'slope': false, 'open': false, 'floor': false}},
+              {{'sign': -1, 'x0': 3, 'x1': 9, 'y0': 1, 'y1': 3, 'slope': false, 'open': true, 'floor': true}}] END, recursive := true)
+      FROM zones),
+    placed AS (SELECT n_nationkey, n_name, sign, slope, open, floor, zx, zy, zx + x0 AS bx0, zx + x1 AS bx1, zy + y0 AS by0, zy + y1 AS by1 FROM pieces)"""
+
+
+def inside_sql(start: str, step: str, low: str, high: str, open_low: str, open_high: str) -> tuple[str, str]:
+    """Like ``span_sql``, where a segment along an open side is outside."""
+    flat = f"({start} > {low} OR ({start} = {low} AND NOT {open_low})) AND ({start} < {high} OR ({start} = {high} AND NOT {open_high}))"
+    return (
+        f"CASE WHEN {step} = 0 THEN CASE WHEN {flat} THEN 0.0::DOUBLE ELSE 2.0::DOUBLE END"
+        f" ELSE least(({low} - {start}) / {step}, ({high} - {start}) / {step}) END",
+        f"CASE WHEN {step} = 0 THEN 1.0::DOUBLE ELSE greatest(({low} - {start}) / {step}, ({high} - {start}) / {step}) END",
+    )
+
+
+SHAPE_X = inside_sql("x1", "(x2 - x1)", "bx0", "bx1", "open", "open")
+SHAPE_Y = inside_sql("y1", "(y2 - y1)", "by0", "by1", "floor", "open")
+# Above 0 on and below the slope from the lower left to the upper right corner.
+RISE, GAIN = "((x1 - zx) - 3 * (y1 - zy))", "((x2 - x1) - 3 * (y2 - y1))"
+SLOPE = (
+    f"CASE WHEN NOT slope OR {GAIN} < 0 THEN 0.0::DOUBLE WHEN {GAIN} > 0 THEN -{RISE} / {GAIN} WHEN {RISE} >= 0 THEN 0.0::DOUBLE ELSE 2.0::DOUBLE END",
+    f"CASE WHEN slope AND {GAIN} < 0 THEN -{RISE} / {GAIN} ELSE 1.0::DOUBLE END",
+)
+
+
+def shapes_sql(corners: str) -> str:
+    return f"""WITH {PIECES_SQL}, corners AS ({corners}),
+    segments AS (SELECT street, ax AS x1, ay AS y1, bx AS x2, b_y AS y2 FROM corners
+      UNION ALL SELECT street, bx, b_y, dx, dy FROM corners),
+    spans AS (SELECT *, greatest(0.0::DOUBLE, {SHAPE_X[0]}, {SHAPE_Y[0]}, {SLOPE[0]}) AS t0,
+        least(1.0::DOUBLE, {SHAPE_X[1]}, {SHAPE_Y[1]}, {SLOPE[1]}) AS t1
+      FROM segments, placed WHERE x1 <> x2 OR y1 <> y2),
+    shares AS (SELECT street, n_nationkey, n_name, sign * greatest(t1 - t0, 0) AS share, sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS full_length FROM spans)
+    SELECT street, n_nationkey AS zone, n_name AS zone_name, round(sum(share * full_length), 6) AS length
+    FROM shares GROUP BY ALL HAVING sum(share * full_length) > 1e-9"""
+
+
+def _clipped_to_shapes(spark: SparkSession, sf_dir: str, streets: DataFrame) -> DataFrame:
+    clipped = ops.clip_lines(streets, nation_zones(spark, sf_dir), "street", ["zone", "zone_name"])
+    return clipped.select("street", "zone", "zone_name", round_even(geo.length(c("parts")), 6).alias("length"))
+
+
+@register(
+    shapes_sql(
+        """SELECT o_orderkey AS street,
+      (o_orderkey % 240) / 4.0::DOUBLE + 0.125 AS ax, (o_custkey % 80) / 4.0::DOUBLE + 0.125 AS ay,
+      (o_custkey % 232) / 4.0::DOUBLE + 0.125 AS bx, (o_orderkey % 72) / 4.0::DOUBLE + 0.125 AS b_y,
+      (o_orderkey * 7 % 240) / 4.0::DOUBLE + 0.125 AS dx, (o_custkey * 3 % 80) / 4.0::DOUBLE + 0.125 AS dy FROM orders"""
+    )
+)
 def streets_clipped_to_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Triangles, L-shapes and holes; checked against brute force on a fixture in the tests."""
-    zones = nation_zones(spark, sf_dir)
-    return ops.clip_lines(lines(spark, sf_dir), zones, "street", ["zone", "zone_name"]).withColumn(
-        "parts", F.to_json("parts")
+    """Triangles, L-shapes and holes."""
+    return _clipped_to_shapes(spark, sf_dir, lines(spark, sf_dir))
+
+
+@register(
+    shapes_sql(
+        """SELECT o_orderkey AS street, (o_orderkey % 61)::DOUBLE AS ax, (o_custkey % 21)::DOUBLE AS ay,
+      (o_custkey * 3 % 61)::DOUBLE AS bx, (o_custkey % 21)::DOUBLE AS b_y,
+      (o_custkey * 3 % 61)::DOUBLE AS dx, (o_orderkey * 5 % 21)::DOUBLE AS dy FROM orders"""
     )
+)
+def border_streets_clipped_to_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streets of one level and one upright segment on whole numbers: many run along borders, some have no length."""
+    key, customer = c("o_orderkey"), c("o_custkey")
+    a = geo.point(key % 61, customer % 21)
+    b = geo.point(customer * 3 % 61, customer % 21)
+    d = geo.point(customer * 3 % 61, key * 5 % 21)
+    streets = table(spark, sf_dir, "orders").select(key.alias("street"), F.array(F.array(a, b, d)).alias("parts"))
+    return _clipped_to_shapes(spark, sf_dir, streets)
+
+
+@register(
+    f"""WITH {POINTS_SQL},
+    places AS (SELECT DISTINCT px, py FROM points WHERE px IS NOT NULL AND py IS NOT NULL),
+    boxes AS (SELECT p_partkey AS feature_index, 'p' || p_partkey AS zone, (p_partkey * 7 % 240) / 4.0::DOUBLE AS x0,
+        (p_partkey * 7 % 240) / 4.0::DOUBLE + 0.5 AS x1, (p_partkey * 11 % 83) / 4.0::DOUBLE AS y0, (p_partkey * 11 % 83) / 4.0::DOUBLE + 0.25 AS y1 FROM part
+      UNION ALL SELECT 1000000000 + r_regionkey, 'r' || r_regionkey, r_regionkey * 4.0::DOUBLE, r_regionkey * 4.0::DOUBLE + 44, 0.0, 20.0 FROM region),
+    hits AS (SELECT px, py, arg_min(zone, feature_index) AS zone FROM places JOIN boxes ON px BETWEEN x0 AND x1 AND py BETWEEN y0 AND y1 GROUP BY px, py)
+    SELECT points.*, zone FROM points LEFT JOIN hits USING (px, py)"""
+)
+def points_in_mixed_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thousands of small blocks on top of a few zones as large as the map."""
+    x, y = (c("p_partkey") * 7 % 240) / 4.0, (c("p_partkey") * 11 % 83) / 4.0
+    blocks = table(spark, sf_dir, "part").select(
+        c("p_partkey").alias("feature_index"),
+        F.concat(F.lit("p"), c("p_partkey")).alias("zone"),
+        F.array(_at(x, y, (0, 0), (0.5, 0), (0.5, 0.25), (0, 0.25))).alias("rings"),
+    )
+    left = c("r_regionkey") * 4.0
+    wide = table(spark, sf_dir, "region").select(
+        (F.lit(1000000000) + c("r_regionkey")).alias("feature_index"),
+        F.concat(F.lit("r"), c("r_regionkey")).alias("zone"),
+        F.array(_at(left, F.lit(0.0), (0, 0), (44, 0), (44, 20), (0, 20))).alias("rings"),
+    )
+    return ops.spatial_join(points(spark, sf_dir), blocks.union(wide), {"zone": "zone"}, "px", "py")
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,3 +302,27 @@ def prepared_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(f"WITH {CELLS_SQL} SELECT * FROM assigned")
 def cells_in_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.assign_cells(prepared(spark, sf_dir), nation_zones(spark, sf_dir), "zone")
+
+
+@register(
+    f"""WITH {CELLS_SQL}, odd AS (SELECT * REPLACE (
+        CASE l_linenumber WHEN 5 THEN 'nan'::DOUBLE WHEN 6 THEN 'inf'::DOUBLE ELSE maxx END AS maxx,
+        CASE l_linenumber WHEN 4 THEN 'nan'::DOUBLE WHEN 3 THEN miny - 1 ELSE maxy END AS maxy,
+        CASE l_linenumber WHEN 7 THEN '-inf'::DOUBLE ELSE minx END AS minx)
+      FROM (SELECT l_orderkey, l_linenumber, (l_orderkey % 260) / 4.0::DOUBLE - 2 AS minx, (l_partkey % 92) / 4.0::DOUBLE - 1 AS miny,
+        (l_orderkey % 260) / 4.0::DOUBLE - 1 AS maxx, (l_partkey % 92) / 4.0::DOUBLE AS maxy FROM lineitem))
+    SELECT *, (minx + maxx) / 2 AS center_x, (miny + maxy) / 2 AS center_y, (maxx - minx) * (maxy - miny) AS area
+    FROM odd WHERE isfinite(minx) AND isfinite(miny) AND isfinite(maxx) AND isfinite(maxy) AND maxx > minx AND maxy > miny"""
+)
+def cells_with_finite_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sides that are no numbers, infinite or the wrong way round leave no cell."""
+    line, x, y = c("l_linenumber"), (c("l_orderkey") % 260) / 4.0, (c("l_partkey") % 92) / 4.0
+    odd = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(line == 7, F.lit(float("-inf"))).otherwise(x - 2).alias("minx"),
+        (y - 1).alias("miny"),
+        F.when(line == 5, F.lit(float("nan"))).when(line == 6, F.lit(float("inf"))).otherwise(x - 1).alias("maxx"),
+        F.when(line == 4, F.lit(float("nan"))).when(line == 3, y - 2).otherwise(y).alias("maxy"),
+    )
+    return ops.prepare_cells(odd)
