@@ -8,7 +8,7 @@ little-endian. The dictionary is a file of its own, trained once on serialized i
 refuses one whose hash isn't the header's.
 
 Texts are encoded by the tokenizers library. A text is cut where a blank follows something that isn't
-one, which is where its pattern always ends a token, and equal pieces are encoded once per task.
+one, which is where its pattern always ends a token, and equal pieces are encoded once while they are remembered.
 
 Defined results: a null or empty text has the end id alone; documents stand in ascending order of ids,
 null ids first, and rows of one id by hash of their texts; repeated rows stand each for itself; an empty
@@ -23,7 +23,9 @@ import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +45,7 @@ DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 
 #: Input to a range of ids, ranges at most (a range has several files then), bytes of frames in a file.
-RANGE_BYTES, MOST_RANGES, FILE_BYTES = 64 << 20, 10_000, 64 << 20
+RANGE_BYTES, MOST_RANGES, FILE_BYTES = 16 << 20, 10_000, 64 << 20
 #: Files whose totals are added in one group of the prefix sums.
 BLOCK = 1024
 
@@ -52,46 +54,99 @@ MAGIC = b"IDFRAME1"
 #: White space of Unicode: what Python calls blank, without the four information separators.
 _PIECE = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 _CUT = re.compile(r"[\S\x1c-\x1f](?=[^\S\x1c-\x1f])")
+#: The pattern of byte-level vocabularies (a fixed value) within ASCII and the Latin letters behind it.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_LATIN = re.compile(f"[\\x00-\\x7f{_LETTERS}]+")
+_LATIN_TOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+", re.ASCII)
 _SEGMENT = 1 << 20
-_KEPT_PIECES, _KEPT_CHARS = 400_000, 48
+#: Pieces and tokens that a worker remembers, about a quarter of a KB each, and the longest of them.
+_KEPT_PIECES, _KEPT_TOKENS, _KEPT_CHARS = 800_000, 300_000, 32
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: its own, or one from 256 on."""
+    hidden = [byte for byte in range(256) if not (33 <= byte <= 126 or 161 <= byte <= 172 or 174 <= byte)]
+    return {byte: chr(256 + place) for place, byte in enumerate(hidden)}
 
 
 class PieceEncoder:
-    """Ids of texts as bytes, little-endian, ``width`` bytes each."""
+    """Ids of texts as bytes, little-endian, ``width`` bytes each.
+
+    Pieces are encoded once and remembered. Latin pieces of a byte-level vocabulary go straight to the
+    library's merges; all others, and those with a special token, go through the whole library. A
+    vocabulary with other rules has its texts encoded whole.
+    """
 
     def __init__(self, path: str = TOKENIZER) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        split = rules["pre_tokenizer"] or {}
+        self._by_piece = (split.get("type"), split.get("use_regex"), split.get("add_prefix_space"), rules["normalizer"]) == ("ByteLevel", True, False, None)
         self._tokenizer = Tokenizer.from_file(path)
+        special = [re.escape(token.content) for token in self._tokenizer.get_added_tokens_decoder().values()]
+        self._has_special = re.compile("|".join(special) or "(?!)").search
         self.width = 2 if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self._known: dict[str, bytes] = {}
+        self._kind = "H" if self.width == 2 else "I"
+        self._known = _Pieces(self.piece)
+        self._tokens: dict[str, list[int]] = {}
+        self._letters = _byte_letters()
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, the same as the library's for it."""
+        if not self._by_piece:
+            return self._library(text)
         out, low = [], 0
         while low < len(text):
             cut = _CUT.search(text, low + _SEGMENT) if len(text) - low > _SEGMENT else None
             high = cut.end() if cut else len(text)
-            out.append(self._joined(_PIECE.findall(text, low, high)))
+            out.append(b"".join(map(self._known.__getitem__, _PIECE.findall(text, low, high))))
             low = high
         return b"".join(out)
 
-    def _joined(self, pieces: list[str]) -> bytes:
-        known = self._known
-        fresh = [piece for piece in set(pieces) if piece not in known]
-        if fresh:
-            if len(known) + len(fresh) > _KEPT_PIECES:
-                known.clear()
-                fresh = list(set(pieces))
-            kind = f"<u{self.width}"
-            for piece, encoded in zip(fresh, self._tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-                known[piece] = np.array(encoded.ids, dtype=kind).tobytes()
-        out = b"".join(map(known.__getitem__, pieces))
-        for piece in fresh:
-            if len(piece) > _KEPT_CHARS:
-                del known[piece]
-        return out
+    def _library(self, text: str) -> bytes:
+        return array(self._kind, self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of a piece that isn't remembered."""
+        if not _LATIN.fullmatch(piece) or self._has_special(piece):
+            return self._library(piece)
+        out, tokens = [], self._tokens
+        for token in _LATIN_TOKEN.findall(piece):
+            ids = tokens.get(token)
+            if ids is None:
+                letters = token.encode().decode("latin-1").translate(self._letters)
+                ids = [one.id for one in self._tokenizer.model.tokenize(letters)]
+                if len(token) <= _KEPT_CHARS:
+                    if len(tokens) >= _KEPT_TOKENS:
+                        tokens.clear()
+                    tokens[token] = ids
+            out += ids
+        return array(self._kind, out).tobytes()
+
+
+class _Pieces(dict):
+    """Ids of pieces; a piece that isn't there is encoded."""
+
+    def __init__(self, encode: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self._encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self._encode(piece)
+        if len(piece) <= _KEPT_CHARS:
+            if len(self) >= _KEPT_PIECES:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
+@lru_cache(maxsize=1)
+def piece_encoder(path: str) -> PieceEncoder:
+    """The encoder of a worker process, whose pieces later tasks find again."""
+    return PieceEncoder(path)
 
 
 def _hash(dictionary: bytes) -> str:
@@ -121,7 +176,7 @@ def train_dictionary(docs: DataFrame, path: str = TOKENIZER, documents: int = SA
     sample = sample.where("length(text) > 0").orderBy("_drawn", "text").limit(documents)
 
     def serialized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(path)
+        encoder = piece_encoder(path)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([encoder.encode(text) for text in batch.column("text").to_pylist()], pa.binary())], ["ids"])
 
@@ -264,7 +319,7 @@ def write_ids(docs: DataFrame, folder: str, path: str = TOKENIZER, end_id: int =
     )
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, writer, rows = PieceEncoder(path), None, []
+        encoder, writer, rows = piece_encoder(path), None, []
         end = np.array([end_id], dtype=f"<u{encoder.width}").tobytes()
         for batch in batches:
             if writer is None and batch.num_rows:

@@ -113,14 +113,26 @@ BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0    ​    　
 def test_pieces_are_encoded_like_whole_texts(encoder, monkeypatch):
     monkeypatch.setattr(id_files, "_SEGMENT", 40)
     monkeypatch.setattr(id_files, "_KEPT_PIECES", 50)
+    monkeypatch.setattr(id_files, "_KEPT_TOKENS", 50)
     dice = random.Random(11)
     texts = [r[1] or "" for r in awkward_rows()]
     texts += ["".join(dice.choice(BLANKS * 2 + "ab1'!ésﬀ あ\U0001f600\0") for _ in range(dice.randrange(1, 200))) for _ in range(1500)]
+    texts += ["".join(dice.choice("ab1'!sdtmrevl <|>_\t\n\0\x7f") for _ in range(dice.randrange(1, 100))) for _ in range(1500)]
+    texts += ["".join(dice.choice([chr(dice.randrange(0x80, 0x260)), " ", "a", "'", "1", "-"]) for _ in range(dice.randrange(1, 60))) for _ in range(1500)]
     texts += [" " * 1000 + "a", "it's  we'll\n\n\n x", "<|endoftext|> <|endoftext|>a <|endof text|>", "́ á ́"]
     for text, ids in zip(texts, library_ids(texts), strict=True):
         assert np.frombuffer(encoder.encode(text), f"<u{encoder.width}").tolist() == ids, repr(text)
 
 
+def test_other_vocabularies_are_encoded_whole():
+    from tokenizers import Tokenizer
+
+    path = id_files.TOKENIZER.replace("byte_bpe_50k", "word_bpe_49k")
+    encoder, library = id_files.PieceEncoder(path), Tokenizer.from_file(path)
+    for text in ("The cat  sat.", "ÀÉ 12 x"):
+        assert np.frombuffer(encoder.encode(text), f"<u{encoder.width}").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_very_long_texts_are_encoded(encoder):
     for text in (" " * 1_000_000 + "a", "b" * 1_000_000, "word and " * 300_000):
         assert np.frombuffer(encoder.encode(text), "<u2").tolist() == library_ids([text])[0]
