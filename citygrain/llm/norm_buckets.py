@@ -7,8 +7,9 @@ number of documents, the lowest of their scores is its threshold:
 
 * a bucket whose greatest length, times the item's, is below the threshold holds nothing for it
   (Cauchy-Schwarz); where that is so for all items, the scan doesn't read the bucket;
-* inside a bucket, the coordinates at the item's rarest terms are added up exactly, and the rest of both
-  vectors bounds the rest of the product; documents whose bound is below the threshold are dropped;
+* inside a bucket, the coordinates at the item's rarest terms are added up exactly; the rest of the product is
+  at most the product of the lengths of both rests, and at most the sum of the bucket's greatest coordinates
+  at the other terms; documents whose bound is below the threshold are dropped;
 * what is left is scored exactly, in 64-bit integers.
 
 The longest buckets are searched first, all over the cluster, for the thresholds that the other buckets
@@ -149,6 +150,8 @@ class _Items:
         self.rest = np.sqrt(np.array([max(len(own) - FOCUS, 0) for own in terms], dtype=np.float64))
         self.all = self._by_term(ranked)
         self.focus = self._by_term([own[:FOCUS] for own in ranked])
+        self.others = np.concatenate([own[FOCUS:] for own in ranked])
+        self.owner = np.repeat(np.arange(len(terms)), [max(len(own) - FOCUS, 0) for own in terms])
 
     def _by_term(self, terms: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         flat = np.concatenate(terms)
@@ -189,7 +192,10 @@ class _Search:
         exact = np.bincount(cell, own, minlength=items.count * count).reshape(shape)
         used = np.bincount(cell, own * own, minlength=items.count * count).reshape(shape)
         left = np.sqrt(np.maximum(lengths**2 * (1 + 1e-9) - used, 0.0))
-        bound = exact + items.rest[:, None] * left
+        greatest = np.zeros(items.size, dtype=np.int64)
+        np.maximum.at(greatest, terms, impacts)
+        most = np.bincount(items.owner, greatest[items.others].astype(np.float64), minlength=items.count)
+        bound = exact + np.minimum(items.rest[:, None] * left, most[:, None])
         likely = open_items[:, None] & (bound * (1 + 1e-9) + 1 >= self.least[:, None])
         self.bounded += int(open_items.sum()) * count
         self.scored += int(likely.sum())
