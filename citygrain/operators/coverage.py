@@ -34,54 +34,49 @@ def _whole(columns: list[str]) -> Column:
     return reduce(and_, [F.col(name).isNotNull() for name in columns])
 
 
-def _counted(df: DataFrame, name: str) -> DataFrame:
-    """Number of rows without a NULL, as (field, n)."""
-    return df.agg(F.lit(name).alias("field"), F.count_if(_whole(df.columns)).alias("n"))
-
-
-def _counted_ids(grain: DataFrame, column: str, name: str) -> DataFrame:
-    """Number of ids with at least one row without a NULL, as (field, n)."""
-    ids = grain.groupBy(column).agg(F.bool_or(_whole(grain.columns)).alias("any"))
-    return ids.agg(F.lit(name).alias("field"), F.count_if("any").alias("n"))
-
-
 def coverage(geocoded: DataFrame) -> DataFrame:
-    """One row with thirteen counts and seven rates.
+    """One row with thirteen counts and seven rates, from one pass over the sales.
 
-    Distinct counts are separate two-step aggregates: several of them in one ``agg`` would
-    multiply the rows first.
+    Every sale is spread as three tagged keys: its transaction, its street-year and its building-year. They are
+    made distinct together, by key first and by id then, so all distinct counts are exact and share one
+    scan and one shuffle of keys. The plain counts of rows ride along with the transactions.
     """
-
-    def filled(column: str) -> Column:
-        return F.count(F.col(column))
-
-    rows = geocoded.agg(
-        F.count(F.lit(1)).alias("input_rows"),
-        F.count_if(F.col("geocode_source") == ADDRESS_SOURCE).alias("adresses_ban_rows"),
-        F.count_if(F.col("geocode_source") == PARCEL_SOURCE).alias("ban_plus_rows"),
-        filled("longitude").alias("geocoded_rows"),
-        filled("quartier_id").alias("quartier_rows"),
-        filled("iris_code").alias("iris_rows"),
-        filled("street_key").alias("street_rows"),
-        filled("building_id").alias("building_rows"),
-    )
-    fields = rows.columns
-    long = rows.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("n")) for f in fields])).alias("f")).select("f.*")
-
-    # One grouping by grain gives the rows of the grain; its distinct ids give the second count.
+    flags = {
+        "input_rows": F.lit(True),
+        "adresses_ban_rows": F.col("geocode_source") == ADDRESS_SOURCE,
+        "ban_plus_rows": F.col("geocode_source") == PARCEL_SOURCE,
+        "geocoded_rows": F.col("longitude").isNotNull(),
+        "quartier_rows": F.col("quartier_id").isNotNull(),
+        "iris_rows": F.col("iris_code").isNotNull(),
+        "street_rows": F.col("street_key").isNotNull(),
+        "building_rows": F.col("building_id").isNotNull(),
+    }
+    grains = {"transaction": ["transaction_id"], "street": ["street_key", *STREET_KEYS], "building": ["building_id", *BUILDING_KEYS]}
+
+    def tagged(tag: str, columns: list[str]) -> Column:
+        # The id first; a key with a NULL is a row of its grain that counts nowhere.
+        texts = [F.col(name).cast("string") for name in columns]
+        counts = [(flag.cast("int") if tag == "transaction" else F.lit(None).cast("int")).alias(name) for name, flag in flags.items()]
+        return F.struct(F.lit(tag).alias("tag"), texts[0].alias("id"), F.array(*texts).alias("key"), _whole(columns).alias("whole"), *counts)
+
+    keys = geocoded.select(F.explode(F.array(*[tagged(tag, columns) for tag, columns in grains.items()])).alias("k")).select("k.*")
+    sums = [F.sum(name).alias(name) for name in flags]
     # A row with a NULL key is left uncounted, not filtered: see ``with_medians``.
-    streets = geocoded.select(*STREET_KEYS).dropDuplicates()
-    buildings = geocoded.select(*BUILDING_KEYS).dropDuplicates()
-    parts = [
-        _counted(geocoded.select("transaction_id").dropDuplicates(), "input_transactions"),
-        _counted(streets, "street_year_rows"),
-        _counted_ids(streets, "street_key", "street_count"),
-        _counted(buildings, "building_year_rows"),
-        _counted_ids(buildings, "building_id", "building_count"),
-    ]
-    for part in parts:
-        long = long.unionByName(part)
-    wide = long.agg(*[F.max(F.when(F.col("field") == name, F.col("n"))).alias(name) for name in COUNTS])
+    distinct = keys.groupBy("tag", "id", "key", "whole").agg(*sums)
+    ids = distinct.groupBy("tag", "id").agg(F.count_if("whole").alias("keys"), *sums)
+
+    def of(tag: str, value: Column) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("tag") == tag, value)), F.lit(0)).cast("bigint")
+
+    known = (F.col("keys") > 0).cast("int")
+    wide = ids.agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in flags],
+        of("transaction", known).alias("input_transactions"),
+        of("street", known).alias("street_count"),
+        of("street", F.col("keys")).alias("street_year_rows"),
+        of("building", known).alias("building_count"),
+        of("building", F.col("keys")).alias("building_year_rows"),
+    )
     base = F.greatest(F.col("input_rows"), F.lit(1))
     return wide.select(
         *COUNTS,

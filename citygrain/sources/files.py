@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citygrain.functions import keys as k
 from citygrain.functions.numbers import round_even, to_number
@@ -47,19 +50,22 @@ YEAR_PATTERN = re.compile(r"(20\d{2})")
 CITY_PREFIX = "751"
 
 
-def _delimited(spark: SparkSession, paths: str | list[str], sep: str, multiline: bool) -> DataFrame:
+def _delimited(spark: SparkSession, paths: str | list[str], sep: str, multiline: bool, names: list[str] | None = None) -> DataFrame:
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names]) if names else None
     return spark.read.csv(
-        paths, sep=sep, header=True, inferSchema=False, quote='"', escape='"', encoding="UTF-8", multiLine=multiline
+        paths, schema=schema, sep=sep, header=True, inferSchema=False, quote='"', escape='"', encoding="UTF-8", multiLine=multiline
     )
 
 
-def read_text_table(spark: SparkSession, paths: str | list[str], sep: str = ",", multiline: bool = False) -> DataFrame:
+def read_text_table(
+    spark: SparkSession, paths: str | list[str], sep: str = ",", multiline: bool = False, names: list[str] | None = None
+) -> DataFrame:
     """Delimited text with a header, every column a string, missing marks as NULL.
 
     ``multiline`` accepts line breaks inside quotes; a file is then read by one task, so landed part
-    files, which have none, are read without it.
+    files, which have none, are read without it. ``names`` are the header's, if it is known already.
     """
-    raw = _delimited(spark, paths, sep, multiline)
+    raw = _delimited(spark, paths, sep, multiline, names)
     return raw.select(
         *[
             F.when(~F.col(f"`{name}`").isin(*MISSING_MARKS), F.col(f"`{name}`")).alias(name)
@@ -87,29 +93,40 @@ def land_sales(sales: DataFrame, folder: str, year: int) -> str:
     return target
 
 
+def _first_lines(spark: SparkSession, glob: str) -> dict[str, str]:
+    """Path to first line that isn't empty, for all files, by one job."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(glob)
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value", F.monotonically_increasing_id().alias("line")
+    )
+    first = lines.where((F.col("at") == 0) & (F.trim("value") != "")).groupBy("path").agg(F.min_by("value", "line").alias("header"))
+    return {unquote(row["path"]): row["header"] for row in first.collect()}  # one row per file
+
+
 def read_sales(spark: SparkSession, glob: str, multiline: bool = False) -> DataFrame:
     """Yearly sales files; the year comes from the file name, files without one are skipped.
 
-    Columns are found by each file's own header: files with one header are one scan, and the scans
-    are united by name.
+    Columns are found by each file's own header: files of one year with one header are one scan, and the
+    scans are united by name. The headers are gathered by one job however many files there are.
     """
-    # Only the paths and the first lines are read here.
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(glob)
-    scans: dict[tuple[int, tuple[str, ...]], list[str]] = {}
+    headers = _first_lines(spark, glob)
+    scans: dict[tuple[int, str], list[str]] = {}
     for row in listed.select("path").orderBy("path").collect():
         *_, folder, name = row["path"].split("/")
         # A landed table is a folder of part files whose names mean nothing: the folder's counts.
         found = YEAR_PATTERN.search(folder if folder.endswith(".csv") else name)
-        if found:
-            header = tuple(read_text_table(spark, row["path"]).columns)
-            if header:
-                scans.setdefault((int(found.group(1)), header), []).append(row["path"])
+        header = headers.get(row["path"]) or headers.get(re.sub("^file:/+", "file:///", row["path"]))
+        if found and header:
+            scans.setdefault((int(found.group(1)), header), []).append(row["path"])
     if not scans:
         raise FileNotFoundError(f"no yearly sales file under {glob}")
-    years = [
-        _pick(read_text_table(spark, sorted(paths), multiline=multiline), SALES_COLUMNS).withColumn("year", F.lit(year))
-        for (year, _), paths in sorted(scans.items())
-    ]
+    years = []
+    for (year, header), paths in sorted(scans.items()):
+        (names,) = csv.reader([header], quotechar='"')
+        # With the names given, Spark has no need to read a file for them.
+        known = names if len(set(names)) == len(names) and all(names) else None
+        years.append(_pick(read_text_table(spark, sorted(paths), multiline=multiline, names=known), SALES_COLUMNS).withColumn("year", F.lit(year)))
     result = years[0]
     for frame in years[1:]:
         result = result.unionByName(frame)

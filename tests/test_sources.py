@@ -165,3 +165,25 @@ def test_numbers_and_ranks_of_whole_frames(spark):
         assert row["rank_by_price"] == expected
     assert numbering.numbered(frame.where("id < 0"), "place", "id").count() == 0
     assert numbering.with_rank(frame.where("id < 0"), "value").count() == 0
+
+
+def test_headers_of_many_files_take_as_many_jobs_as_of_few(spark, tmp_path):
+    names = list(ops.SALES_COLUMNS)
+    context = spark.sparkContext
+
+    def jobs(count):
+        folder = tmp_path / f"of {count} 20%25"
+        folder.mkdir()
+        for part in range(count):
+            order = names if part % 2 else names[::-1]
+            lines = ["", ",".join(f'"{name}"' for name in order), ",".join(str(part) for _ in order)]
+            (folder / f"sales {2020 + part % 3} part {part}.csv").write_text("\n".join(lines) + "\n")
+        (folder / "valeurs-2024-empty.csv").write_text("")
+        context.setJobGroup(f"headers-{count}", "headers")
+        found = ops.read_sales(spark, str(folder))
+        context.setJobGroup("", "")
+        rows = {(row["year"], int(row["Section"]), int(row["Voie"])) for row in found.collect()}
+        assert rows == {(2020 + part % 3, part, part) for part in range(count)}
+        return len(context.statusTracker().getJobIdsForGroup(f"headers-{count}"))
+
+    assert jobs(6) == jobs(40) <= 5
