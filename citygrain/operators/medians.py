@@ -5,14 +5,12 @@ once, and worked out there with the built-in aggregates. Groups above ``HOT_GROU
 looked for first by a plain count (combined map-side, over a sample) and take another way:
 
 * distinct counts group by (keys, value) first, which spreads a dominant group over all tasks;
-* medians come from an exact distributed search. Each pass counts values in equal-width bins
-  between the smallest and the largest remaining value, keeps the one bin that holds the wanted
-  rank, and repeats inside it until one value is left. A pass shuffles bin counts, never values.
+* medians come from an exact distributed search: quantile sketches, which tasks build and merge, bracket the
+  middle of every group and measure in one pass, and a second pass counts the values inside the brackets.
 """
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -27,8 +25,12 @@ from citygrain.session import cut_lineage, staged
 HOT_GROUP_ROWS = 200_000
 #: Rows of the sample that a group of that size has.
 SAMPLE_HITS = 10_000
-#: Bins per pass and group.
-BINS = 1024
+#: A sketch is off by one part in so many of a group's rows.
+ACCURACY = 10_000
+#: Shares of the rows at which a sketch is read: a coarse grid, and close to the middle and to the ends.
+SHARES = sorted([i / 32 for i in range(1, 32)] + [0.5 - 3 / ACCURACY, 0.5 + 3 / ACCURACY, 3 / ACCURACY, 1 - 3 / ACCURACY])
+#: Rows between two brackets that are counted one value at a time.
+FEW = 1_000_000
 #: Hot keys are joined by broadcast up to this count; each stands for HOT_GROUP_ROWS rows or more.
 BROADCAST_KEYS = 100_000
 
@@ -156,20 +158,36 @@ def _hot(
     )
 
 
-def _position(value: Column, low: Column, high: Column, logarithmic: bool) -> Column:
-    """Bin of a value between two others; infinities have bins of their own."""
-    largest = F.lit(sys.float_info.max)
-    low, high = F.greatest(low, -largest), F.least(high, largest)
+def _sketched(rows: DataFrame, target: list[str]) -> DataFrame:
+    """Per target and bracket the values below it, and of those inside the number, ends and approximate quantiles."""
+    inner = F.when(F.col("_v").between(F.col("_lo"), F.col("_hi")), F.col("_v"))
+    return rows.groupBy(*target, "_lo", "_hi").agg(
+        F.count_if(F.col("_v") < F.col("_lo")).alias("_below"),
+        F.count(inner).alias("_n"),
+        F.min(inner).alias("_least"),
+        F.max(inner).alias("_most"),
+        F.percentile_approx(inner, F.array(*map(F.lit, SHARES)), ACCURACY).alias("_quantiles"),
+        F.first("_ranks").alias("_ranks"),
+    )
+
 
-    def scale(c: Column) -> Column:
-        if not logarithmic:
-            return c / 2  # half, so that a difference never overflows
-        # log of the least double is -745: shifted, so that signs and orders keep their order
-        return F.when(c == 0, 0.0).otherwise(F.signum(c) * (F.log(F.abs(c)) + 800))
+def _bracketed(sketch: DataFrame, target: list[str]) -> DataFrame:
+    """Values _lo and _hi that the values at some ``_ranks`` lie between, and about how many rows are _left there.
 
-    share = (scale(value) - scale(low)) / F.nullif(scale(high) - scale(low), F.lit(0.0))
-    inner = F.least(F.greatest(F.floor(F.coalesce(share, F.lit(0.0)) * BINS), F.lit(0)), F.lit(BINS - 1))
-    return F.when(value > largest, F.lit(BINS)).when(value < -largest, F.lit(-1)).otherwise(inner).cast("bigint")
+    An approximate quantile is off by one part in ACCURACY of the rows; twice that is kept on either side.
+    Ranks with the same two values share a bracket.
+    """
+    ranks = sketch.withColumn("_of", F.explode("_ranks"))
+    place, margin = (F.col("_of._rank") - F.col("_below")) / F.col("_n"), F.lit(2.0 / ACCURACY) + F.lit(2.0) / F.col("_n")
+    points = F.arrays_zip(F.array(*map(F.lit, SHARES)).alias("share"), F.col("_quantiles").alias("value"))
+    low = F.try_element_at(F.filter(points, lambda point: point["share"] <= place - margin), F.lit(-1))
+    high = F.try_element_at(F.filter(points, lambda point: point["share"] >= place + margin), F.lit(1))
+    width = F.coalesce(high["share"], F.lit(1.0)) - F.coalesce(low["share"], F.lit(0.0))
+    ends = ranks.select(
+        *target, "_of", F.coalesce(low["value"], F.col("_least")).alias("_lo"), F.coalesce(high["value"], F.col("_most")).alias("_hi"), (width * F.col("_n")).alias("_left")
+    )
+    left = F.max(F.when(F.col("_lo") < F.col("_hi"), F.col("_left")).otherwise(0.0))
+    return ends.groupBy(*target, "_lo", "_hi").agg(left.alias("_left"), F.collect_list("_of").alias("_ranks"))
 
 
 def order_statistics(
@@ -181,53 +199,44 @@ def order_statistics(
 ) -> DataFrame:
     """Exact values at given ranks: rows (keys, _measure, _which, value).
 
-    ``ranks(n)`` maps the column holding the number of non-NULL values to zero-based rank columns.
+    ``ranks(n)`` maps the column holding the number of non-NULL values to zero-based rank columns, which
+    lie close together. One pass over the values makes sketches of all groups and measures, one more
+    counts the few values that the sketches leave open; a further sketch comes between the two only
+    where they leave more than FEW rows.
     """
     keys = list(keys)
-    # Every pass reads the values again: they are written once, without the columns nobody needs.
+    # Both passes read the values: they are written once, without the columns nobody needs.
     columns = {f"_v{i}": finite(c).alias(f"_v{i}") for i, c in enumerate(measures.values())}
     values = staged(df.select(*keys, *columns.values()), "ranked-values")
-    pairs = [
-        F.struct(F.lit(name).alias("_measure"), F.col(column).alias("_v")) for name, column in zip(measures, columns)
-    ]
+    pairs = [F.struct(F.lit(name).alias("_measure"), F.col(column).alias("_v")) for name, column in zip(measures, columns)]
     long = values.select(*keys, F.explode(F.array(*pairs)).alias("_m")).select(*keys, "_m._measure", "_m._v")
     long = long.where(F.col("_v").isNotNull())
+    target = [*keys, "_measure"]
+    infinite = F.lit(float("inf"))
 
-    target = [*keys, "_measure", "_which"]
-    totals = long.groupBy(*keys, "_measure").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    )
-    state = cut_lineage(
-        totals.select(
-            *keys, "_measure", "_lo", "_hi", F.posexplode(F.array(*ranks(F.col("_n")))).alias("_which", "_rank")
-        )
-    )
+    everything = long.withColumns({"_lo": -infinite, "_hi": infinite, "_ranks": F.lit(None).cast("string")})
+    sketch = _sketched(everything, target)
+    wanted = [F.struct(F.lit(which).alias("_which"), rank.cast("bigint").alias("_rank")) for which, rank in enumerate(ranks(F.col("_n")))]
+    state = cut_lineage(_bracketed(sketch.withColumn("_ranks", F.array(*wanted)), target))
     small = n_groups * len(measures) <= BROADCAST_KEYS
-    passes = 0
-    while not state.where("_lo < _hi").isEmpty():
-        open_targets = state.where("_lo < _hi")
-        lookup = F.broadcast(open_targets) if small else open_targets
-        inside = (
-            long.alias("r")
-            .join(lookup.alias("s"), _same([*keys, "_measure"], "r", "s"))
-            .where("r._v between s._lo and s._hi")
-        )
-        # Even bins part the least from the largest value in every pass; bins even in the logarithm,
-        # taking turns with them, cross orders of magnitude at once.
-        position = _position(F.col("r._v"), F.col("s._lo"), F.col("s._hi"), logarithmic=passes % 2 == 1)
-        passes += 1
-        bins = inside.groupBy(
-            *[F.col(f"s.`{name}`") for name in target], F.col("s._rank"),
-            position.alias("_bin"),
-        ).agg(
-            F.count(F.lit(1)).alias("_n"), F.min(F.col("r._v")).alias("_lo"), F.max(F.col("r._v")).alias("_hi")
-        )
-        # At most BINS rows per target reach this window, whatever the size of the group.
-        before = F.sum("_n").over(Window.partitionBy(*target).orderBy("_bin")) - F.col("_n")
-        narrowed = (
-            bins.withColumn("_before", before)
-            .where("_rank >= _before and _rank < _before + _n")
-            .select(*keys, "_measure", "_lo", "_hi", "_which", (F.col("_rank") - F.col("_before")).alias("_rank"))
-        )
-        state = cut_lineage(state.where("_lo = _hi").unionByName(narrowed))
-    return state.select(*keys, "_measure", "_which", F.col("_lo").alias("value"))
+
+    def met(state: DataFrame) -> DataFrame:
+        lookup = F.broadcast(state) if small else state
+        joined = long.alias("r").join(lookup.alias("s"), _same(target, "r", "s")).where("r._v <= s._hi")
+        return joined.select(*[F.col(f"s.`{name}`") for name in target], "_v", "_lo", "_hi", "_ranks")
+
+    left = state.agg(F.max("_left")).first()[0] or 0.0
+    while left > FEW:
+        state = cut_lineage(_bracketed(_sketched(met(state), target), target))
+        before, left = left, state.agg(F.max("_left")).first()[0] or 0.0
+        if left >= before:
+            break
+
+    # All values below are one row; equal values are one row each, so few rows reach the window.
+    bracket = [*target, "_lo", "_hi"]
+    value = F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))
+    counted = met(state).groupBy(*bracket, "_ranks", value.alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*bracket).orderBy(F.col("_value").asc_nulls_first()))
+    placed = counted.withColumn("_upto", upto).select("*", F.explode("_ranks").alias("_of"))
+    hit = placed.where("_of._rank >= _upto - _n and _of._rank < _upto")
+    return hit.select(*target, F.col("_of._which").alias("_which"), F.col("_value").alias("value"))
