@@ -167,31 +167,29 @@ def _blocked(frame: DataFrame, group: str, place: str, size: str) -> DataFrame:
     )
 
 
-def _candidate_edges(signed: DataFrame, threshold: float) -> DataFrame:
-    """Edges (a, b) that connect, within every prefix of every tree, the nodes whose sketches agree."""
-    nodes = signed.groupBy("node").agg(F.first("prefixes").alias("prefixes"), F.first("sketch").alias("sketch"))
-    nodes = staged(nodes, "nodes")
-    met = nodes.select("node", F.posexplode("prefixes").alias("tree", "prefix"))
-    met = met.select("node", F.xxhash64("tree", "prefix").alias("key"))
+def _candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
+    """Edges (a, b) that connect, within every prefix of every tree, the numbers of nodes whose sketches agree."""
+    met = nodes.select("number", F.posexplode("prefixes").alias("tree", "prefix"))
+    met = met.select("number", F.xxhash64("tree", "prefix").alias("key"))
     shared = staged(met.groupBy("key").agg(F.count(F.lit(1)).alias("_count")).where("_count > 1"), "prefixes")
     few = shared.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     members = met.join(F.broadcast(shared) if few else shared, "key")
     # A hash of the node spreads a large prefix over its blocks; no row number is needed.
-    members = members.join(nodes.select("node", "sketch"), "node")
+    members = members.join(nodes.select("number", "sketch"), "number")
     members = members.withColumns(
         {
-            "_place": F.pmod(F.xxhash64("node", "key"), F.col("_count")),
+            "_place": F.pmod(F.xxhash64("number", "key"), F.col("_count")),
             "_block": F.lit(BLOCK_NODES),
         }
     )
-    blocked = _blocked(members, "key", "_place", "_block").select("key", "low", "high", "side", "node", "sketch")
+    blocked = _blocked(members, "key", "_place", "_block").select("key", "low", "high", "side", "number", "sketch")
 
     least = least_agreeing(threshold)
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = [], []
         for run in _in_runs(batches, ["key", "low", "high"]):
-            names = run.column("node").to_pylist()
+            names = run.column("number").to_pylist()
             sketches = np.frombuffer(b"".join(run.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(names), SKETCH)
             if run.column("low")[0] == run.column("high")[0]:
                 pairs = _alike(sketches, sketches, True, least)
@@ -204,12 +202,12 @@ def _candidate_edges(signed: DataFrame, threshold: float) -> DataFrame:
                 left.append(names[a])
                 right.append(names[b])
             if len(left) >= 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
                 left, right = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
     keyed = blocked.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return keyed.mapInArrow(compared, "a binary, b binary").distinct()
+    return keyed.mapInArrow(compared, "a long, b long")
 
 
 def _verify(sets: list[np.ndarray], side: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -290,27 +288,28 @@ def linked_nodes(docs: DataFrame, signed: DataFrame, threshold: float) -> DataFr
     Nodes that share a prefix are compared, by whatever signature the prefixes were made. near is the
     linked other node of the smallest id, as (missing, id, jaccard), null if there is none.
     """
-    rows = signed.select("doc_id", "node")
-    nodes = staged(
-        rows.groupBy("node").agg(F.count(F.lit(1)).alias("_rows"), F.min("doc_id").alias("doc_id")), "node-rows"
-    )
-    groups = components(_candidate_edges(signed, threshold)).select("node", F.col("component").alias("group"))
-    groups = staged(groups.join(nodes, "node").withColumn("_least", F.col("doc_id")), "groups")
+    signature = (F.first("prefixes").alias("prefixes"), F.first("sketch").alias("sketch"))
+    nodes = signed.groupBy("node").agg(F.count(F.lit(1)).alias("_rows"), F.min("doc_id").alias("doc_id"), *signature)
+    # Nodes are numbered once, where they are written: numbers are joined and compared faster than digests.
+    nodes = staged(nodes.withColumn("number", F.monotonically_increasing_id()), "nodes")
+    groups = components(_candidate_edges(nodes, threshold)).select(F.col("node").alias("number"), F.col("component").alias("group"))
+    nodes = nodes.drop("prefixes", "sketch")
+    groups = staged(groups.join(nodes, "number").withColumn("_least", F.col("doc_id")), "groups")
     sets = staged(_with_sets(docs, groups).withColumn("_n", F.octet_length("shingles") / 8), "sets")
     sizes = sets.groupBy("group").agg(F.count(F.lit(1)).alias("_count"), F.max("_n").alias("_most"))
     sizes = sizes.withColumn(
         "_block", F.greatest(F.lit(8), F.least(F.lit(MOST_GROUP_NODES), F.floor(BLOCK_SHINGLES / F.greatest(F.col("_most"), F.lit(1))))).cast("int")
     )
-    placed = sets.join(sizes, "group").withColumn("_place", F.pmod(F.xxhash64("node"), F.col("_count")))
-    blocked = _blocked(placed, "group", "_place", "_block").select("group", "low", "high", "side", "node", "_rows", "_least", "shingles")
+    placed = sets.join(sizes, "group").withColumn("_place", F.pmod(F.xxhash64("number"), F.col("_count")))
+    blocked = _blocked(placed, "group", "_place", "_block").select("group", "low", "high", "side", "number", "_rows", "_least", "shingles")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _in_runs(batches, ["group", "low", "high"]):
-            names, weights = run.column("node").to_pylist(), run.column("_rows").to_numpy()
+            names, weights = run.column("number").to_pylist(), run.column("_rows").to_numpy()
             if len(set(names)) < len(names):  # rows that repeat id and text
                 keep = sorted({name: place for place, name in enumerate(names)}.values())
                 run = run.take(pa.array(keep))
-                names, weights = run.column("node").to_pylist(), run.column("_rows").to_numpy()
+                names, weights = run.column("number").to_pylist(), run.column("_rows").to_numpy()
             sets = [np.frombuffer(item, dtype=np.uint64) for item in run.column("shingles").to_pylist()]
             within = run.column("low")[0] == run.column("high")[0]
             pairs, shares = _verify(sets, None if within else run.column("side").to_numpy(), threshold)
@@ -328,8 +327,8 @@ def linked_nodes(docs: DataFrame, signed: DataFrame, threshold: float) -> DataFr
             near = [{"missing": least[i] is None, "id": least[i], "jaccard": float(value)} for i, value in zip(two[firsts], share[firsts], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([names[a] for a in tree[:, 0]] + [names[i] for i in linked], pa.binary()),
-                    pa.array([names[b] for b in tree[:, 1]] + [None] * len(linked), pa.binary()),
+                    pa.array([names[a] for a in tree[:, 0]] + [names[i] for i in linked], pa.int64()),
+                    pa.array([names[b] for b in tree[:, 1]] + [None] * len(linked), pa.int64()),
                     pa.array([None] * len(tree) + links[linked].tolist(), pa.int64()),
                     pa.array([None] * len(tree) + near, pa.struct([("missing", pa.bool_()), ("id", pa.int64()), ("jaccard", pa.float64())])),
                 ],
@@ -337,15 +336,15 @@ def linked_nodes(docs: DataFrame, signed: DataFrame, threshold: float) -> DataFr
             )
 
     spread = blocked.repartition("group", "low", "high").sortWithinPartitions("group", "low", "high")
-    schema = "a binary, b binary, links long, near struct<missing: boolean, id: long, jaccard: double>"
+    schema = "a long, b long, links long, near struct<missing: boolean, id: long, jaccard: double>"
     found = staged(spread.mapInArrow(verified, schema), "links")
-    counts = found.where("links is not null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"), F.min("near").alias("near"))
-    classes = components(found.where("links is null").select("a", "b"))
-    named = nodes.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    counts = found.where("links is not null").groupBy(F.col("a").alias("number")).agg(F.sum("links").alias("links"), F.min("near").alias("near"))
+    classes = components(found.where("links is null").select("a", "b")).withColumnRenamed("node", "number")
+    named = staged(nodes.join(classes, "number", "left").withColumn("component", F.coalesce("component", "number")), "named")
     least = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
     facts = (
         named.join(least, "component")
-        .join(counts, "node", "left")
+        .join(counts, "number", "left")
         .select("node", "component", "class_id", (F.col("_rows") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"), "near")
     )
     return staged(facts, "classes")
