@@ -67,6 +67,8 @@ class Inputs:
     social: DataFrame
     links: DataFrame | None = None
     cells: DataFrame | None = None
+    #: Rows fetched for parcels that ``links`` lacks; only those of parcels that need them are taken.
+    fetched_links: DataFrame | None = None
 
 
 def read_inputs(spark: SparkSession, paths: dict[str, str]) -> Inputs:
@@ -89,11 +91,32 @@ def read_inputs(spark: SparkSession, paths: dict[str, str]) -> Inputs:
     )
 
 
+LINK_FIELDS = ("idu", "id_adr", "type_lien", "nb_adr", "nb_parc")
+
+
+def refreshed_links(sales: DataFrame, references: list[DataFrame], links: DataFrame | None, fetched: DataFrame) -> DataFrame:
+    """The link cache with the fetched rows of the parcels that no address places and the cache lacks."""
+
+    def numbered_rows(rows: DataFrame) -> DataFrame:
+        return rows if "seq" in rows.columns else rows.select(*LINK_FIELDS, F.monotonically_increasing_id().alias("seq"))
+
+    unplaced = lookup.geocode(sales, *references, None).where("longitude is null")
+    known = numbered_rows(links) if links is not None else numbered_rows(fetched).where("false")
+    return staged(lookup.merge_links(known, numbered_rows(fetched), unplaced.select(F.col("parcel_id").alias("idu"))), "links")
+
+
 def place_sales(
-    sales: DataFrame, addresses: DataFrame, links: DataFrame | None, quartiers: DataFrame, iris: DataFrame
+    sales: DataFrame,
+    addresses: DataFrame,
+    links: DataFrame | None,
+    quartiers: DataFrame,
+    iris: DataFrame,
+    fetched_links: DataFrame | None = None,
 ) -> DataFrame:
     """Geocode sales, attach quartier and census block, add street and building keys."""
     references = [lookup.dedupe_reference(addresses, key) for key in ("address_key", "address_key_no_suffix", "cle_interop")]
+    if fetched_links is not None:
+        links = refreshed_links(sales, references, links, fetched_links)
     best = None if links is None else lookup.best_link(links)
     placed = lookup.geocode(sales, *references, best)
     placed = spatial_join(placed, quartiers, {"quartier_id": "quartier_id", "name": "quartier_name"})
@@ -185,7 +208,7 @@ def build_gold(inputs: Inputs, include_noise: bool = True) -> dict[str, DataFram
     The placed sales and the small tables that later steps read again are staged once.
     """
     placed = staged(
-        place_sales(inputs.sales, inputs.addresses, inputs.links, inputs.quartiers, inputs.iris), "placed-sales"
+        place_sales(inputs.sales, inputs.addresses, inputs.links, inputs.quartiers, inputs.iris, inputs.fetched_links), "placed-sales"
     )
     outputs = sales_outputs(placed)
     outputs["gold_spatial_coverage"] = staged(outputs["gold_spatial_coverage"], "coverage")

@@ -104,6 +104,29 @@ def _deltas(rows: DataFrame, key: str, left, right, metrics: tuple[str, ...]) ->
     )
 
 
+def _sides(rows: DataFrame, key: str, left, right) -> DataFrame:
+    """The two rows that are compared, whole, each with its ``side``."""
+    return rows.where(F.col(key) == left).select(F.lit("left").alias("side"), "*").unionByName(
+        rows.where(F.col(key) == right).select(F.lit("right").alias("side"), "*")
+    )
+
+
+def compared_districts(
+    summary: DataFrame, sales: DataFrame, left: int, right: int, year: int | None = None
+) -> DataFrame:
+    """The rows that :func:`compare_districts` subtracts; ``selected_sales_year`` is the year of both."""
+    return _sides(staged(overview(summary, sales, year), "overview"), DISTRICT, left, right)
+
+
+def compared_quartiers(
+    summary: DataFrame, sales_quartier: DataFrame, left: str, right: str, year: int | None = None
+) -> DataFrame:
+    """The rows that :func:`compare_quartiers` subtracts, with the names of their districts."""
+    rows = _one_row_per_quartier(of_year(sales_quartier, year)).withColumn("quartier_id", F.col("quartier_id").cast("string"))
+    both = rows.where(F.col("quartier_id").isin(str(left), str(right)))
+    return _sides(staged(with_district_name(both, summary.select(DISTRICT, "name")), "compared"), "quartier_id", str(left), str(right))
+
+
 def compare_districts(
     summary: DataFrame, sales: DataFrame, left: int, right: int, year: int | None = None
 ) -> DataFrame:

@@ -5,14 +5,24 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from citygrain.operators import sales
 from citygrain.plans.catalog import DOCUMENTS, FEATURE_COLLECTIONS, TABLES
 
 INSERT_BATCH = 1000
 FEATURE_FIELDS = ("feature_index", "geometry")
 
+#: Keys that the published sales of a grain are in order of.
+GRAIN_ORDER = {
+    "sales": sales.DISTRICT_KEYS,
+    "sales_quartier": sales.QUARTIER_KEYS,
+    "sales_iris": sales.IRIS_KEYS,
+    "sales_street": sales.STREET_KEYS,
+    "sales_building": sales.BUILDING_KEYS,
+}
+
 
 @dataclass(frozen=True)
 class Store:
@@ -36,6 +46,21 @@ class Store:
             df.write.mode("overwrite").saveAsTable(target)
         return target
 
+    def write_ordered(self, name: str, df: DataFrame, *order: str) -> str:
+        """Replace a whole table by files in order: each holds a range of the keys, and its rows are sorted.
+
+        No task sees all rows; a reader of the files one by one, by name, sees the whole order.
+        """
+        return self.write(name, df.repartitionByRange(*order).sortWithinPartitions(*order))
+
+    def read_ordered(self, name: str, position: str = "position") -> DataFrame:
+        """A table of files with the place of every row, from 0, in the order of files and of rows in them."""
+        rows = self.read(name).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
+        before = Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+        starts = sizes.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+        return rows.join(F.broadcast(starts), "_file").withColumn(position, F.col("_start") + F.col("_row")).drop("_file", "_row", "_start")
+
     def read(self, name: str) -> DataFrame:
         target = self._target(name)
         return self.spark.read.parquet(target) if self.root is not None else self.spark.table(target)
@@ -76,16 +101,19 @@ def publish_all(store: Store, outputs: dict[str, DataFrame]) -> dict[str, str]:
     """Write every published output; returns dataset name to target.
 
     ``outputs`` is keyed by gold name. A silver table holds the rows of its gold twin: it is
-    copied from the written twin, so nothing is worked out twice.
+    copied from the written twin, so nothing is worked out twice. Sales by a grain lie in order of its keys.
     """
-    targets = {}
+    def put(name: str, target: str, df: DataFrame) -> None:
+        keys = GRAIN_ORDER.get(name.split("_", 1)[1])
+        targets[name] = store.write_ordered(target, df, *keys) if keys else store.write(target, df)
+
+    targets: dict[str, str] = {}
     for name, target in TABLES.items():
         if name.startswith("gold_"):
-            targets[name] = store.write(target, outputs[name])
+            put(name, target, outputs[name])
     for name, target in TABLES.items():
         if name.startswith("silver_"):
-            twin = TABLES["gold_" + name.removeprefix("silver_")]
-            targets[name] = store.write(target, store.read(twin))
+            put(name, target, store.read(TABLES["gold_" + name.removeprefix("silver_")]))
     for name, target in FEATURE_COLLECTIONS.items():
         targets[name] = store.write_features(target, outputs[name])
     for name, target in DOCUMENTS.items():

@@ -10,14 +10,14 @@ from citygrain.functions.records import distinct_options
 from citygrain.operators import sales as sales_ops
 from citygrain.plans import gold
 from citygrain.plans.catalog import DOCUMENTS, FEATURE_COLLECTIONS, TABLES
-from citygrain.plans.validation import validate
+from citygrain.plans.validation import REQUIRED_COLUMNS, REQUIRED_DOCUMENTS, validate
 from citygrain.operators.lookup import type_addresses
 from citygrain.session import shared_folder
 from citygrain.sources.store import Store, publish_all
 from citygrain.streaming import events as ev
 from workloads import facts
 from workloads.registry import register, table
-from workloads.sales import SALES_SQL, grain_sql, sale_rows
+from workloads.sales import SALES_SQL, STREET_SQL, grain_sql, sale_rows
 from workloads.spatial import cells, lines, nation_zones
 
 c = F.col
@@ -305,6 +305,38 @@ def gold_inputs(spark: SparkSession, sf_dir: str) -> gold.Inputs:
     )
 
 
+@register(
+    f"""WITH {SALES_SQL}, streets AS ({STREET_SQL})
+    SELECT {', '.join(sales_ops.STREET_KEYS)}, transactions, row_number() OVER (ORDER BY {', '.join(sales_ops.STREET_KEYS)}) - 1 AS position FROM streets"""
+)
+def published_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published sales by street, each with its place in the files that they were written to."""
+    store = Store(spark, root=shared_folder(spark, "ordered"))
+    store.write_ordered("streets", sales_ops.sales_by_street(sale_rows(spark, sf_dir)), *sales_ops.STREET_KEYS)
+    return store.read_ordered("streets").select(*sales_ops.STREET_KEYS, "transactions", "position")
+
+
+LOST_COLUMNS = ("median_price_m2", "transactions")
+
+
+def _issues_sql() -> str:
+    """All requirements of datasets that aren't written, and the columns that the written one lost."""
+    gone = [(name, "missing table", TABLES[name]) for name in REQUIRED_COLUMNS if name != "gold_sales"]
+    gone += [(name, "missing document", (FEATURE_COLLECTIONS | DOCUMENTS)[name]) for name in REQUIRED_DOCUMENTS]
+    gone += [("gold_sales", "missing column", column) for column in REQUIRED_COLUMNS["gold_sales"] if column in LOST_COLUMNS]
+    rows = ", ".join(f"('{dataset}', '{problem}', '{item}')" for dataset, problem, item in gone)
+    # The lost columns are asked of the one table that is there, which the given sales fill.
+    return f"WITH {SALES_SQL} SELECT issues.* FROM (VALUES {rows}) issues(dataset, problem, item) WHERE EXISTS (SELECT 1 FROM sales)"
+
+
+@register(_issues_sql())
+def issues_of_a_broken_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table is published, without two of its columns; nothing else is."""
+    store = Store(spark, root=shared_folder(spark, "broken"))
+    store.write(TABLES["gold_sales"], sales_ops.sales_by_district(sale_rows(spark, sf_dir)).drop(*LOST_COLUMNS))
+    return validate(store)
+
+
 @register()
 def gold_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything built, published and validated: rows per dataset, and the issues found.

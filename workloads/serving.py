@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from citygrain.operators import context
 from citygrain.operators import sales as sales_ops
-from citygrain.operators.coverage import coverage
+from citygrain.operators.coverage import COUNTS, coverage
 from citygrain.plans import serving as ops
-from citygrain.plans.catalog import COMPARED_DISTRICT_METRICS, COMPARED_QUARTIER_METRICS
+from citygrain.plans.catalog import COMPARED_DISTRICT_METRICS, COMPARED_QUARTIER_METRICS, LEVEL_LABELS, LEVEL_METRICS, METRIC_CATALOG
 from workloads import facts
 from workloads.facts import CITY_COLUMNS_SQL, ORDERED_SQL, RENTS_SQL, SOCIAL_SQL, SUMMARY_SQL
 from workloads.registry import register, round_sql, table
@@ -97,6 +97,14 @@ def districts_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.compare_districts(*summary_and_sales(spark, sf_dir), 3, 9, YEAR)
 
 
+@register(
+    f"""WITH {overview_sql(YEAR)}
+    SELECT CASE arrondissement WHEN 3 THEN 'left' ELSE 'right' END AS side, * FROM overview WHERE arrondissement IN (3, 9)"""
+)
+def districts_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.compared_districts(*summary_and_sales(spark, sf_dir), 3, 9, YEAR)
+
+
 def quartier_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_ops.sales_by_quartier(sale_rows(spark, sf_dir)).persist()
 
@@ -120,6 +128,16 @@ def quartiers_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.compare_quartiers(quartier_yearly(spark, sf_dir), "3", "5", YEAR)
 
 
+@register(
+    f"""WITH {QUARTIER_YEARLY_SQL}, one AS (SELECT * FROM quartier_yearly WHERE year = {YEAR}
+      QUALIFY row_number() OVER (PARTITION BY quartier_id ORDER BY quartier_name DESC, arrondissement DESC) = 1)
+    SELECT CASE quartier_id WHEN '3' THEN 'left' ELSE 'right' END AS side, one.*, n_name AS arrondissement_name
+    FROM one LEFT JOIN nation ON arrondissement = n_nationkey + 1 WHERE quartier_id IN ('3', '5')"""
+)
+def quartiers_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.compared_quartiers(facts.districts(spark, sf_dir), quartier_yearly(spark, sf_dir), "3", "5", YEAR)
+
+
 def district_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select(
         c("n_nationkey").alias("feature_index"),
@@ -217,9 +235,32 @@ def latest_sales_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.agg(F.max("year").alias("year"), F.count(F.lit(1)).alias("rows"))
 
 
-@register()
+def _list_sql(items) -> str:
+    return "[" + ", ".join(items) + "]"
+
+
+METRICS_SQL = _list_sql(
+    f"{{'key': '{key}', 'label': '{label.replace(chr(39), chr(39) * 2)}', 'unit': '{unit.replace(chr(39), chr(39) * 2)}', 'supports_year': {str(by_year).lower()}}}"
+    for key, (label, unit, by_year) in sorted(METRIC_CATALOG.items())
+)
+LEVELS_SQL = _list_sql(
+    f"{{'key': '{key}', 'label': '{label.replace(chr(39), chr(39) * 2)}', 'supported_metrics': {_list_sql(f"'{metric}'" for metric in LEVEL_METRICS[key])}}}"
+    for key, label in LEVEL_LABELS.items()
+)
+
+
+@register(
+    f"""WITH {SALES_SQL}, {facts.COVERAGE_SQL}, {ORDERED_SQL}, {RENTS_SQL}, {SOCIAL_SQL},
+    covered AS (SELECT {', '.join(COUNTS)}, {facts.RATES_SQL} FROM counts)
+    SELECT {', '.join(
+        f"(SELECT CAST(max(year) AS INTEGER) FROM {rows}) AS latest_{name}_year,"
+        f" (SELECT list_sort(list(DISTINCT CAST(year AS INTEGER))) FROM {rows} WHERE year IS NOT NULL) AS available_{name}_years"
+        for name, rows in (('sales', 'sales'), ('social', 'social_rows'), ('rent', 'rent_rows'))
+    )},
+      covered AS spatial_sales_coverage, {METRICS_SQL} AS metrics, {LEVELS_SQL} AS map_levels FROM covered"""
+)
 def dashboard_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Holds the time it was made, so there is no equal SQL; its parts are checked one by one."""
+    """All but the time it was made; the catalogue as a list in order of its keys."""
     rows = sale_rows(spark, sf_dir)
     document = ops.metadata(
         rows.select("year"),
@@ -227,4 +268,6 @@ def dashboard_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         facts.rent_rows(spark, sf_dir).select("year"),
         coverage(rows),
     )
-    return document.select(F.to_json(F.struct(*document.columns)).alias("document"))
+    entry = lambda e: F.struct(e.key.alias("key"), e.value.label.alias("label"), e.value.unit.alias("unit"), e.value.supports_year.alias("supports_year"))
+    listed = F.sort_array(F.transform(F.map_entries("metrics"), entry))
+    return document.drop("generated_at").withColumn("metrics", listed)
