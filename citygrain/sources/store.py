@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from citygrain.operators import sales
 from citygrain.plans.catalog import DOCUMENTS, FEATURE_COLLECTIONS, TABLES
+from citygrain.sources import versions
 
 INSERT_BATCH = 1000
 FEATURE_FIELDS = ("feature_index", "geometry")
@@ -46,6 +47,10 @@ class Store:
             df.write.mode("overwrite").saveAsTable(target)
         return target
 
+    def replace(self, name: str, df: DataFrame) -> str:
+        """Replace a table that others are reading: they see the rows of before or the new ones."""
+        return versions.replace(df, self._target(name)) if self.root is not None else self.write(name, df)
+
     def write_ordered(self, name: str, df: DataFrame, *order: str) -> str:
         """Replace a whole table by files in order: each holds a range of the keys, and its rows are sorted.
 
@@ -63,7 +68,9 @@ class Store:
 
     def read(self, name: str) -> DataFrame:
         target = self._target(name)
-        return self.spark.read.parquet(target) if self.root is not None else self.spark.table(target)
+        if self.root is None:
+            return self.spark.table(target)
+        return self.spark.read.parquet(versions.latest(self.spark, target) or target)
 
     def exists(self, name: str) -> bool:
         if self.root is None:

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from citygrain.operators.medians import HOT_GROUP_ROWS
 from citygrain.operators.sales import DISTRICT_KEYS, sales_metrics
-from citygrain.session import staged
+from citygrain.sources import versions
 from citygrain.sources.store import Store
 
 # Keys that every event must have, in the order they are written.
@@ -38,6 +38,8 @@ STREAM_TABLE = "stream_sales_yearly"
 ARRIVAL = "_arrival"
 #: Groups that a micro-batch may name one by one to prune the table; more of them are joined.
 LISTED_GROUPS = 2000
+#: Folders of single micro-batches at most, before they are rewritten as one.
+MOST_BATCHES = 16
 
 
 def to_event_records(sales: DataFrame, limit: int | None = None) -> DataFrame:
@@ -118,8 +120,34 @@ def accept(records: DataFrame, event_time: str | None = None, delay: str | None
 
 def accepted_events(spark: SparkSession, folder: str) -> DataFrame:
     """All events accepted so far, with the ``batch_id`` that brought each."""
+    merged = versions.numbers(spark, folder, "merged")
+    upto = merged[-1] if merged else -1
+    newer = [number for number in versions.numbers(spark, folder, "batch_id") if number > upto]
     schema = f"{EVENT_SCHEMA}, batch_id bigint"
-    return spark.read.schema(schema).option("basePath", folder).parquet(f"{folder}/batch_id=*")
+    parts = []
+    if merged:
+        parts.append(spark.read.schema(schema).parquet(f"{folder}/merged={upto}"))
+    if newer or not merged:
+        reader = spark.read.schema(schema).option("basePath", folder)
+        parts.append(reader.parquet(*([f"{folder}/batch_id={number}" for number in newer] or [f"{folder}/batch_id=*"])))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _compact(spark: SparkSession, folder: str, batch_id: int) -> None:
+    """Rewrite the events of all batches before this one as one part per group, once there are MOST_BATCHES of them.
+
+    Only the last batch may be run again, so the ones before it don't change any more. The folders that the
+    rewriting before this one took in go now, when nobody reads them.
+    """
+    merged = versions.numbers(spark, folder, "merged")
+    upto = merged[-1] if merged else -1
+    old = [number for number in versions.numbers(spark, folder, "batch_id") if upto < number < batch_id]
+    if len(old) < MOST_BATCHES:
+        return
+    rows = accepted_events(spark, folder).where(F.col("batch_id") <= old[-1])
+    rows.hint("rebalance", *DISTRICT_KEYS).write.mode("overwrite").partitionBy(*DISTRICT_KEYS).parquet(f"{folder}/merged={old[-1]}")
+    versions.drop(spark, folder, "batch_id", upto)
+    versions.drop(spark, folder, "merged", upto - 1)
 
 
 def stream_metrics(spark: SparkSession, folder: str, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
@@ -135,6 +163,7 @@ def _update(store: Store, folder: str, batch: DataFrame, batch_id: int) -> None:
     """Add a micro-batch to the accepted events and publish its groups anew, the others as they were."""
     spark = batch.sparkSession
     part = f"{folder}/batch_id={batch_id}"
+    _compact(spark, folder, batch_id)
     batch.hint("rebalance", *DISTRICT_KEYS).write.mode("overwrite").partitionBy(*DISTRICT_KEYS).parquet(part)
     accepted = accepted_events(spark, folder)
     touched = accepted.where(F.col("batch_id") == batch_id).select(_group().alias("_touched")).distinct()
@@ -152,7 +181,8 @@ def _update(store: Store, folder: str, batch: DataFrame, batch_id: int) -> None:
     fresh = sales_metrics(again, DISTRICT_KEYS)
     if kept is not None:
         fresh = kept.unionByName(fresh)
-    store.write(STREAM_TABLE, staged(fresh, "stream-metrics"))
+    # Read from the version before, so written beside it; a reader in between finds that one whole.
+    store.replace(STREAM_TABLE, fresh)
 
 
 def start_stream(

@@ -84,13 +84,43 @@ def test_only_touched_groups_are_worked_out_again(spark, tmp_path, monkeypatch,
     store = run(spark, tmp_path)
     # A mark in the published table shows which rows are kept as they are.
     marked = staged(store.read(ev.STREAM_TABLE).withColumn("median_rooms", F.lit(99.0)), "marked")
-    store.write(ev.STREAM_TABLE, marked)
+    store.replace(ev.STREAM_TABLE, marked)
     feed(tmp_path / "in", "1.json", [json.dumps(EVENT | {"transaction_id": "new", "arrondissement": 2})])
     store = run(spark, tmp_path)
     found = values(store.read(ev.STREAM_TABLE).orderBy("arrondissement"), "arrondissement", "transactions", "median_rooms")
     assert found == [(1, 10, 99.0), (2, 11, 1.0), (3, 10, 99.0)]
 
 
+def test_many_batches_leave_few_files_and_a_reader_always_finds_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ev, "MOST_BATCHES", 4)
+    folder, store = str(tmp_path / "accepted"), Store(spark, root=str(tmp_path / "tables"))
+    replaced, seen = Store.replace, []
+
+    def looked_at(self, name, df):
+        before = store.read(name).agg(F.sum("transactions")).first()[0] if store.exists(name) else 0
+        target = replaced(self, name, df)
+        after = store.read(name).agg(F.sum("transactions")).first()[0]
+        os.remove(f"{target}/_SUCCESS")  # as if it were not complete yet
+        assert not before or store.read(name).agg(F.sum("transactions")).first()[0] == before
+        open(f"{target}/_SUCCESS", "w").close()
+        seen.append((before, after))
+        return target
+
+    monkeypatch.setattr(Store, "replace", looked_at)
+    schema = spark.createDataFrame([], ev.EVENT_SCHEMA).schema
+    most = 0
+    for number in range(20):
+        rows = [tuple({**EVENT, "transaction_id": f"t{number}-{i}", "arrondissement": i % 2 + 1, "rooms": float(number)}.values()) for i in range(4)]
+        batch = spark.createDataFrame(rows, schema)
+        ev._update(store, folder, batch, number)
+        if number % 6 == 5:
+            ev._update(store, folder, batch, number)  # run again after a failure
+        most = max(most, sum(name.endswith(".parquet") for _, _, names in os.walk(folder) for name in names))
+    assert [after for _, after in seen if after][-1] == 80 and all(after >= before for before, after in seen)
+    assert most <= 2 * (2 * 4 + 2) + 4 and len(os.listdir(f"{store.root}/{ev.STREAM_TABLE}")) <= 2
+    assert frames_match(store.read(ev.STREAM_TABLE), ev.stream_metrics(spark, folder), ["arrondissement", "year"], list(METRICS)).first()["same"]
+
+
 def test_bounded_number_of_events(spark, tmp_path):
     feed(tmp_path / "in", "0.json", [json.dumps(EVENT | {"transaction_id": f"t{i}"}) for i in range(30)])
     store = run(spark, tmp_path, max_events=12)
