@@ -5,13 +5,15 @@ later answers (totals, quantiles, totals under truncation at a context limit) co
 over the lengths.
 
 Defined results: a null or empty text has length 0; strings that look like special tokens are
-ordinary text; repeated rows count each; an empty table gives an empty histogram; further columns
+ordinary text; null and repeated ids count each; texts of any length are encoded whole, and runs of
+blanks too long for the library's pattern apart; an empty table gives an empty histogram; further columns
 don't matter, whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +28,9 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The published pattern of that vocabulary (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Runs of blanks, as Unicode has them, that the library's pattern matcher has no stack for.
+LONG_RUN = re.compile(r"[^\S\x1c-\x1f]{100000,}")
+
 #: Lengths per block of the two-level suffix sums.
 BLOCK = 1024
 
@@ -36,6 +41,20 @@ def read_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+def text_length(encoding, text: str) -> int:
+    """Tokens of a whole text under ``PATTERN``.
+
+    The pattern takes a run of blanks as one piece, less its last blank where a word follows. So a long
+    run is cut off there, and merged without the pattern.
+    """
+    length = done = 0
+    for run in LONG_RUN.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        length += len(encoding.encode_ordinary(text[done : run.start()])) + len(encoding._encode_single_piece(text[run.start() : end].encode()))
+        done = end
+    return length + len(encoding.encode_ordinary(text[done:] if done else text))
+
+
 def token_counts(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
     """``doc_id`` and ``n_tokens`` of every whole text.
 
@@ -50,7 +69,8 @@ def token_counts(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN
         for batch in batches:
             lengths = np.zeros(batch.num_rows, dtype=np.int64)
             for row, text in enumerate(batch.column("text")):
-                lengths[row] = len(encoding.encode_ordinary(text.as_py() or ""))
+                own = text.as_py() or ""
+                lengths[row] = text_length(encoding, own) if pattern == PATTERN else len(encoding.encode_ordinary(own))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(lengths)], ["doc_id", "n_tokens"])
 
     return docs.select("doc_id", "text").mapInArrow(counted, "doc_id long, n_tokens long")

@@ -299,3 +299,16 @@ def test_token_histogram(spark):
     assert token_counts.quantile(histogram, 0.5).first()[0] == sorted(lengths)[(len(lengths) - 1) // 2]
     empty = token_counts.length_histogram(token_counts.token_counts(frame(spark, [])))
     assert empty.count() == 0 and token_counts.truncated_total(empty, 5).first()[0] == 0
+
+
+def test_long_runs_of_blanks_and_letters_are_counted(spark):
+    import tiktoken
+
+    encoding = tiktoken.Encoding("counts", pat_str=token_counts.PATTERN, mergeable_ranks=token_counts.read_ranks(), special_tokens={})
+    run = 200_000
+    texts = [" " * run, " " * run + "a", "b" + "\n" * run + " c d", "x" + "　" * run, "a\t" + " " * run + "\n", "no  run"]
+    for text in texts:
+        assert token_counts.text_length(encoding, text) == len(encoding.encode_ordinary(text))
+    rows = [row(1, " " * 1_000_000 + "a"), row(2, "a" * 1_000_000), row(None, "\n" * 1_000_001)]
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(frame(spark, rows)).collect()}
+    assert got == {1: 1_000_000, 2: 250_000, None: 500_001}
