@@ -1,8 +1,11 @@
 """Chat formatting: budgeted windows over the turns of a conversation, native expressions only.
 
-Prefix sums of the turns' tokens cut a conversation into spans of whole turns. Every span becomes a
-window: the system turn, a limited history of turns before the span, then the span's own turns. The
-loss mask covers the own assistant turns only, so a target that is repeated as history is masked.
+Prefix sums of the turns' tokens cut a conversation into spans of whole turns: the sums are divided into
+stretches of the room that a window has, and a turn across the end of a stretch is a span of its own. Every
+span becomes a window: the system turn, a limited history of turns before the span, then the span's own
+turns. The loss mask covers the own assistant turns only, so a target that is repeated as history is masked.
+A turn goes to its span and to the few spans that repeat it, so no task gathers a conversation here; only
+``digests``, which are over whole conversations, do.
 
 A turn is written ``<|role|>``, line feed, text, ``</s>``, line feed. Control strings inside roles
 and texts are broken by a backslash and 1, backslashes become backslash and 0, so that reading back
@@ -10,7 +13,8 @@ is exact for every text.
 
 Defined results: null roles and texts are empty ones; a null conversation is a conversation of its
 own; turns are ordered by turn (null first), role and text, repeated rows stay; a turn above the
-budget is a span of its own, never cut; an empty table gives an empty result; further columns don't
+budget is a span of its own, never cut; the system turn is the first one with that role, wherever it stands,
+and the windows that begin behind it carry it; an empty table gives an empty result; further columns don't
 matter, whatever their names.
 """
 
@@ -62,48 +66,39 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
     rows = conversations.select("conv_id", turn.alias("t"))
-    rows = rows.select(
-        "conv_id",
-        F.struct(
-            "t.turn", "t.role", "t.text", _opening(F.col("t.role")).alias("open"), escaped(F.col("t.text")).alias("body"),
-            _tokens(F.col("t.text")).alias("tokens"),
-        ).alias("t"),
-    )
+    rows = rows.select("conv_id", "t", _tokens(F.col("t.text")).cast("long").alias("tokens"))
+    c = F.col
     so_far = Window.partitionBy("conv_id").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("end", F.sum("t.tokens").over(so_far))
-    talks = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("t.*", "end"))).alias("turns"))
-    zero = F.lit(0).cast("long")
-    end = lambda place: F.get(F.col("turns"), place - 1).end  # noqa: E731  the prefix sum at a turn, from 1
-    system = F.when(F.get("turns", F.lit(0)).role == "system", F.get("turns", F.lit(0)).tokens).otherwise(0).cast("long")
-    talks = talks.withColumn("system", system)
-    room = F.greatest(F.lit(1).cast("long"), F.lit(budget - history) - F.col("system"))
-    # Greedy over the prefix sums: a span begins where the next turn's end leaves the room of the span before.
-    starts = F.aggregate(
-        F.sequence(F.lit(1), F.size("turns")),
-        F.array(F.lit(1)),
-        lambda begun, i: F.when(
-            (i > 1)
-            & (
-                end(i) - F.when(F.element_at(begun, -1) > 1, end(F.element_at(begun, -1) - 1)).otherwise(zero)
-                > F.col("room") + F.when(F.size(begun) == 1, F.col("system")).otherwise(zero)
-            ),
-            F.concat(begun, F.array(i)),
-        ).otherwise(begun),
-    )
-    talks = talks.withColumn("room", room).withColumn("starts", starts)
-    spans = talks.select("conv_id", "turns", "system", "starts", F.posexplode("starts").alias("window", "low"))
-    high = F.coalesce(F.get("starts", F.col("window") + 1) - 1, F.size("turns"))
-    spans = spans.withColumn("high", high)
-    reach = end(F.col("low") - 1) - F.lit(history)  # a turn is history if it begins here or later
-    past = F.filter(
-        F.slice("turns", 1, F.col("low") - 1),
-        lambda t, i: ((i > 0) | (F.col("system") == 0)) & (t.end - t.tokens >= reach),
+    written = F.concat(_opening(c("t.role")), escaped(c("t.text")), F.lit(END))
+    system = F.struct((c("end") - c("tokens")).alias("begin"), "tokens", written.alias("written"))
+    rows = rows.withColumn("end", F.sum("tokens").over(so_far)).withColumn("begin", c("end") - c("tokens"))
+    rows = rows.withColumn("system", F.first(F.when(c("t.role") == "system", system), ignorenulls=True).over(so_far))
+    rows = rows.withColumn("room", F.greatest(F.lit(1).cast("long"), F.lit(budget - history) - F.coalesce("system.tokens", F.lit(0))))
+    # Turns of one stretch of the prefix sums are a span; a turn that reaches across its end is one of its own.
+    first, last = F.floor(c("begin") / c("room")), F.floor((c("end") - 1) / c("room"))
+    rows = rows.withColumn("stretch", F.struct("room", F.when(first == last, first).otherwise(-1 - c("begin")).alias("no")))
+    in_order = Window.partitionBy("conv_id").orderBy("begin")
+    rows = rows.withColumn("starts", F.coalesce(c("stretch") != F.lag("stretch").over(in_order), F.lit(True)))
+    rows = rows.withColumn("window", F.sum(c("starts").cast("int")).over(in_order.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    # The spans that a turn is history of: those that begin within so many tokens behind it.
+    behind = in_order.rangeBetween(1, max(history, 1))
+    later = F.collect_list(F.when(c("starts"), c("window"))).over(behind) if history > 0 else F.array().cast("array<int>")
+    kept = F.struct("begin", "t.role", _opening(c("t.role")).alias("open"), escaped(c("t.text")).alias("body"))
+    turns = rows.select(
+        "conv_id", "window", kept.alias("kept"),
+        F.when(c("starts") & (c("system.begin") < c("begin")), c("system")).alias("system"),
+        F.when((c("system.begin") == c("begin")), F.array().cast("array<int>")).otherwise(later).alias("later"),
+    )
+    own = turns.select("conv_id", "window", F.lit(True).alias("fresh"), "kept", "system")
+    past = turns.select("conv_id", F.explode("later").alias("window"), F.lit(False).alias("fresh"), "kept", F.lit(None).alias("system"))
+    # Dealt out by span, or a long conversation would stay in the task that numbered its turns.
+    spans = own.union(past).repartition("conv_id", "window").groupBy("conv_id", "window").agg(
+        F.array_sort(F.collect_list(F.when(~c("fresh"), c("kept")))).alias("old"),
+        F.array_sort(F.collect_list(F.when(c("fresh"), c("kept")))).alias("new"),
+        F.first("system", ignorenulls=True).alias("system"),
     )
-    first = F.when(F.col("system") > 0, F.slice("turns", 1, 1)).otherwise(F.slice("turns", 1, 0))
-    repeated = F.when(F.col("low") > 1, F.concat(first, past)).otherwise(F.slice("turns", 1, 0))
-    spans = spans.select("conv_id", "window", repeated.alias("old"), F.slice("turns", F.col("low"), F.col("high") - F.col("low") + 1).alias("new"))
-    written = lambda turns: F.array_join(F.transform(turns, lambda t: F.concat(t.open, t.body, F.lit(END))), "")
-    spans = spans.withColumns({"before": written("old"), "own": written("new")})
+    text = lambda turns: F.array_join(F.transform(turns, lambda t: F.concat(t.open, t.body, F.lit(END))), "")
+    spans = spans.withColumns({"before": F.concat(F.coalesce("system.written", F.lit("")), text("old")), "own": text("new")})
     marks = F.aggregate(
         "new",
         F.struct(F.char_length("before").cast("long").alias("at"), F.array().cast("array<struct<start:long,length:long>>").alias("spans")),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import email.parser
 import hashlib
 import io
 import random
@@ -68,7 +69,7 @@ def test_no_conversations(spark):
 def test_windows_are_native(spark):
     _, talk = talks(spark)
     plan = chat.digests(chat.windows(talk))._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert "Python" not in plan and "Arrow" not in plan and plan.count("REPARTITION_BY_COL") == 1
 
 
 # similarity join
@@ -158,6 +159,32 @@ def test_components(spark, monkeypatch, hub):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_system_turn_stays_wherever_it_stands(spark):
+    rows = [(1, None, "user", "before", "x"), (1, 0, "system", "be kind", "x")] + [(1, i, "user" if i % 2 else "assistant", prose(i, 40), "x") for i in range(1, 30)]
+    made = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, window string"), 200, 50).orderBy("window").collect()
+    assert made[0]["formatted"].startswith("<|user|>\nbefore") and len(made) > 8
+    later = [r["formatted"] for r in made if not r["formatted"][r["new_from"] :].startswith(("<|user|>\nbefore", "<|system|>"))]
+    assert len(later) >= len(made) - 2 and all(text.startswith("<|system|>\nbe kind</s>\n") and text.count("be kind") == 1 for text in later)
+
+
+def test_a_long_conversation(spark):
+    """100,000 turns of one conversation; its windows are spread over tasks and only its digest gathers them."""
+    turns = spark.range(100_000).select(
+        F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "system").when(F.col("id") % 2 == 1, "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("turn "), F.repeat(F.concat(F.col("id").cast("string"), F.lit(" ")), F.col("id").cast("int") % 40)).alias("text"),
+    )
+    made = chat.windows(turns)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # or tables this small are one partition
+    spread = made.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(spread) > 1 and max(r["count"] for r in spread) < sum(r["count"] for r in spread) / 2
+    r = chat.digests(made).first()
+    texts = [("system" if i == 0 else "user" if i % 2 else "assistant", "turn " + f"{i} " * (i % 40)) for i in range(100_000)]
+    assert (r["n_turns"], r["turns_sha256"]) == (100_000, hashlib.sha256("".join(f"{role}\n{text}\n" for role, text in texts).encode()).hexdigest())
+    assert r["loss_sha256"] == hashlib.sha256("".join(text for role, text in texts if role == "assistant").encode()).hexdigest()
+
+
 # archives
 
 
@@ -188,6 +215,33 @@ def test_archives(spark, tmp_path, monkeypatch):
     assert warc_zip.read_archives(spark, empty).count() == 0
 
 
+def test_records_are_read_by_another_parser(spark, tmp_path):
+    """Headers by the mail parser, lengths and blank lines by hand; ids are unique and revisits find theirs."""
+    rows = [(i, f"http://x/{i}", "<p>" + prose(i % 7, 40)) for i in range(30)] + [(None, "u", "tiny"), (None, "v", "tiny"), (40, "w", ""), (None, "x", prose(1, 50))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    archives = warc_zip.write_archives(warc_zip.with_revisits(pages), f"file://{tmp_path}/run", date="2024-05-06T07:08:09Z")
+    found = {}
+    for r in archives.collect():
+        with zipfile.ZipFile(r["archive"].removeprefix("file://")) as archive:
+            data = archive.read(warc_zip.WARC_MEMBER)
+        while data:
+            version, _, rest = data.partition(b"\r\n")
+            head, _, rest = rest.partition(b"\r\n\r\n")
+            fields = email.parser.BytesParser().parsebytes(head + b"\r\n\r\n")
+            size = int(fields["Content-Length"])
+            block, end, data = rest[:size], rest[size : size + 4], rest[size + 4 :]
+            assert version == b"WARC/1.1" and end == b"\r\n\r\n" and len(fields.keys()) == len(set(fields.keys()))
+            assert fields["WARC-Date"] == "2024-05-06T07:08:09Z" and fields["Content-Type"].startswith("text/html")
+            assert fields["WARC-Record-ID"] not in found
+            found[fields["WARC-Record-ID"]] = fields, block
+    assert len(found) == len(rows)
+    revisits = [fields for fields, _ in found.values() if fields["WARC-Type"] == "revisit"]
+    assert len(revisits) == 23
+    for fields in revisits:
+        _, block = found[fields["WARC-Refers-To"]]
+        assert "sha256:" + hashlib.sha256(block).hexdigest() == fields["WARC-Payload-Digest"]
+
+
 def test_zip_directories_of_other_writers():
     for comment in (b"", b"PK\x05\x06 in a comment" + b"x" * 40):
         data = io.BytesIO()
