@@ -31,6 +31,9 @@ from citygrain.session import staged
 #: Payloads of at least so many bytes may be revisited.
 REVISIT_BYTES = 100
 
+#: Date of records that no other is given for.
+DATE = "1970-01-01T00:00:00Z"
+
 #: Bytes of records after which a task begins another archive.
 ARCHIVE_BYTES = 64 * 1024 * 1024
 
@@ -141,22 +144,29 @@ def zip_members(file) -> dict[str, tuple[int, int, int]]:
     return members
 
 
-def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """One WARC record; a revisit has no block."""
+def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None, date: str = DATE, place: str = "") -> bytes:
+    """One WARC record; a revisit has no block.
+
+    The response that revisits refer to is named by its page alone; all others by their ``place`` too, which
+    differs between records. Rows that repeat a page with its payload are the same record.
+    """
     revisit = refers_to is not None
     block = b"" if revisit else payload
-    name = lambda value: f"<urn:page:{'null' if value is None else value}>"
+    named = not revisit and page_id is not None and len(payload) >= REVISIT_BYTES
+    name = f"<urn:page:{'null' if page_id is None else page_id}{'' if named else ':' + place}>"
     fields = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: {name(page_id)}",
+        f"WARC-Record-ID: {name}",
+        f"WARC-Date: {date}",
         "WARC-Target-URI: " + " ".join(url.split()),
         f"WARC-Payload-Digest: sha256:{digest}",
+        "Content-Type: text/html; charset=utf-8",
         f"X-Payload-Length: {len(payload)}",
         f"Content-Length: {len(block)}",
     ]
     if revisit:
-        fields.append(f"WARC-Refers-To: {name(refers_to)}")
+        fields.append(f"WARC-Refers-To: <urn:page:{refers_to}>")
         fields.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
     return "\r\n".join(fields).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -190,17 +200,20 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     )
 
 
-def write_archives(pages: DataFrame, folder: str) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, date: str = DATE) -> DataFrame:
     """Write every page of ``pages``, as ``with_revisits`` gives them; (archive, records) of each archive.
 
+    ``date`` is when the pages were taken, the same for all, as the table says nothing of it.
+
     A task writes archives of about ARCHIVE_BYTES under names of its own attempt, so an attempt that
     is lost or repeated leaves at most files that no list names.
     """
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
+        attempt = uuid.uuid4().hex
         records: list[bytes] = []
-        size = 0
+        size = number = 0
 
         def flush() -> pa.RecordBatch:
             uri = f"{folder}/{part:06d}-{uuid.uuid4().hex}.zip"
@@ -219,7 +232,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             columns = [batch.column(name) for name in ("page_id", "url", "payload", "digest", "refers_to")]
             for row in range(batch.num_rows):
-                item = record(*(column[row].as_py() for column in columns))
+                number += 1
+                item = record(*(column[row].as_py() for column in columns), date, f"{attempt}-{number}")
                 records.append(item)
                 size += len(item)
                 if size >= ARCHIVE_BYTES:
@@ -257,7 +271,7 @@ def read_archives(spark: SparkSession, archives: DataFrame, payload: bool = True
                 )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = lambda text: None if text is None or "null" in text else int(text[10:-1])  # noqa: E731  <urn:page:N>
+        number = lambda text: None if text is None or text.startswith("<urn:page:null") else int(text[10:-1].split(":")[0])
         for batch in batches:
             for uri, begin, sizes in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 rows = []
