@@ -59,8 +59,8 @@ _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _LATIN = re.compile(f"[\\x00-\\x7f{_LETTERS}]+")
 _LATIN_TOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+", re.ASCII)
 _SEGMENT = 1 << 20
-#: Pieces and tokens that a worker remembers, about a quarter of a KB each, and the longest of them.
-_KEPT_PIECES, _KEPT_TOKENS, _KEPT_CHARS = 800_000, 300_000, 32
+#: Pieces and tokens that a worker remembers, about 200 bytes each, and the longest of them.
+_KEPT_PIECES, _KEPT_TOKENS, _KEPT_CHARS = 1_200_000, 600_000, 24
 
 
 def _byte_letters() -> dict[int, str]:
@@ -90,8 +90,8 @@ class PieceEncoder:
         self._has_special = re.compile("|".join(special) or "(?!)").search
         self.width = 2 if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self._kind = "H" if self.width == 2 else "I"
-        self._known = _Pieces(self.piece)
-        self._tokens: dict[str, list[int]] = {}
+        self._known = _Pieces(self.piece, _KEPT_PIECES)
+        self._tokens = _Pieces(self.token, _KEPT_TOKENS)
         self._letters = _byte_letters()
 
     def encode(self, text: str) -> bytes:
@@ -113,31 +113,25 @@ class PieceEncoder:
         """Ids of a piece that isn't remembered."""
         if not _LATIN.fullmatch(piece) or self._has_special(piece):
             return self._library(piece)
-        out, tokens = [], self._tokens
-        for token in _LATIN_TOKEN.findall(piece):
-            ids = tokens.get(token)
-            if ids is None:
-                letters = token.encode().decode("latin-1").translate(self._letters)
-                ids = [one.id for one in self._tokenizer.model.tokenize(letters)]
-                if len(token) <= _KEPT_CHARS:
-                    if len(tokens) >= _KEPT_TOKENS:
-                        tokens.clear()
-                    tokens[token] = ids
-            out += ids
-        return array(self._kind, out).tobytes()
+        return b"".join(map(self._tokens.__getitem__, _LATIN_TOKEN.findall(piece)))
+
+    def token(self, token: str) -> bytes:
+        """Ids of what the pattern takes as one."""
+        letters = token.encode().decode("latin-1").translate(self._letters)
+        return array(self._kind, [one.id for one in self._tokenizer.model.tokenize(letters)]).tobytes()
 
 
 class _Pieces(dict):
-    """Ids of pieces; a piece that isn't there is encoded."""
+    """Ids of at most so many pieces; a piece that isn't there is encoded."""
 
-    def __init__(self, encode: Callable[[str], bytes]) -> None:
+    def __init__(self, encode: Callable[[str], bytes], most: int) -> None:
         super().__init__()
-        self._encode = encode
+        self._encode, self._most = encode, most
 
     def __missing__(self, piece: str) -> bytes:
         ids = self._encode(piece)
         if len(piece) <= _KEPT_CHARS:
-            if len(self) >= _KEPT_PIECES:
+            if len(self) >= self._most:
                 self.clear()
             self[piece] = ids
         return ids
