@@ -57,6 +57,11 @@ LOWEST, CODES = -9.0, 255
 END_HASH = np.uint64(0x5851F42D4C957F2D)
 
 
+_BYTES, _HIGH_BITS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+#: For every byte and rank the place of the one of that rank.
+_PLACE_IN_BYTE = np.array([([bit for bit in range(8) if byte >> bit & 1] + [0] * 8)[rank] for byte in range(256) for rank in range(8)], dtype=np.uint64)
+
+
 class EliasFano:
     """A monotone sequence: low bits packed, high bits in unary, with a count of zeros per 64 bits."""
 
@@ -105,16 +110,17 @@ class EliasFano:
 
     @staticmethod
     def _select_in_word(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
-        """Place of the one of that rank, from 0, in each 64-bit word: halves, quarters, and so on."""
-        place = np.zeros(len(words), dtype=np.uint64)
-        rank = rank.astype(np.int64).copy()
-        for width in (32, 16, 8, 4, 2, 1):
-            part = (words >> place) & np.uint64((1 << width) - 1)
-            ones = np.bitwise_count(part).astype(np.int64)
-            over = rank >= ones
-            rank -= np.where(over, ones, 0)
-            place += np.where(over, np.uint64(width), np.uint64(0))
-        return place.astype(np.int64)
+        """Place of the one of that rank, from 0, in each 64-bit word: its byte by sums over bytes, then a table."""
+        sums = words - ((words >> np.uint64(1)) & np.uint64(0x5555555555555555))
+        sums = (sums & np.uint64(0x3333333333333333)) + ((sums >> np.uint64(2)) & np.uint64(0x3333333333333333))
+        sums = ((sums + (sums >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _BYTES  # ones up to each byte
+        own = rank.astype(np.uint64)
+        # The high bit of a byte stays where its sum is at most the rank: so many bytes lie before the one.
+        passed = (((own * _BYTES) | _HIGH_BITS) - sums) & _HIGH_BITS
+        shift = np.bitwise_count(passed).astype(np.uint64) << np.uint64(3)
+        before = ((sums << np.uint64(8)) >> shift) & np.uint64(0xFF)
+        byte = (words >> shift) & np.uint64(0xFF)
+        return (shift + _PLACE_IN_BYTE[(byte << np.uint64(3)) | (own - before)]).astype(np.int64)
 
     def _zero(self, rank: np.ndarray) -> np.ndarray:
         """Place of the zero of that rank in the high bits."""
@@ -582,27 +588,29 @@ def score(docs: DataFrame, model: NgramModel) -> DataFrame:
                 share = model.share(counts)
                 own_ids, own_share = ids[inverse], share[inverse]
                 chance = own_share.copy()
+                # Contexts are places among the different words, then among the different n-grams, of the slice.
                 if model.size:
                     # an end stands before every text's first word
-                    end = int(np.searchsorted(known, END_HASH))
-                    contexts = ids[np.concatenate([[end], inverse[:-1]])]
+                    context = np.concatenate([[int(np.searchsorted(known, END_HASH))], inverse[:-1]])
                     present = np.flatnonzero(ids >= 0)
-                    by_id = present[np.argsort(ids[present])]
-                    context, seen = ids[by_id], counts[by_id]
+                    present = present[np.argsort(ids[present])]
+                    grams, seen = ids, counts[present]
                     for number, level in enumerate(model.levels):
                         if number:
-                            context = np.unique(contexts[contexts >= 0])
-                            seen = model.levels[number - 1].counts(context)
-                        kept = DISCOUNT * level.successors(context) / np.maximum(seen, 1)
-                        held = np.flatnonzero(contexts >= 0)
-                        chance[held] *= kept[np.searchsorted(context, contexts[held])]
+                            present = np.flatnonzero(grams >= 0)
+                            seen = model.levels[number - 1].counts(grams[present])
+                        kept = np.ones(len(grams))
+                        kept[present] = DISCOUNT * level.successors(grams[present]) / np.maximum(seen, 1)
+                        before = np.where(context >= 0, grams[context], -1)
+                        held = np.flatnonzero(before >= 0)
+                        chance[held] *= kept[context[held]]
                         both = held[own_ids[held] >= 0]
-                        keys, place = np.unique(model.keys(contexts[both], own_ids[both]), return_inverse=True)
-                        found, codes = level.find(keys)
+                        keys, place = np.unique(model.keys(before[both], own_ids[both]), return_inverse=True)
+                        grams, codes = level.find(keys)
                         chance[both] += logs[codes][place]
-                        places = np.full(len(contexts), -1, dtype=np.int64)
-                        places[both] = found[place]
-                        contexts = _next_contexts(places, begins)
+                        places = np.full(len(own_ids), -1, dtype=np.int64)
+                        places[both] = place
+                        context = _next_contexts(places, begins)
                 starts = begins[:-1]
                 yield pa.RecordBatch.from_arrays(
                     [
