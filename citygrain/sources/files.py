@@ -18,6 +18,7 @@ from citygrain.functions.text import normalize_street
 from citygrain.operators import context
 from citygrain.operators.lookup import type_addresses
 from citygrain.operators.numbering import numbered
+from citygrain.sources.documents import feature_texts
 
 # Cell texts that the source files use for "missing".
 MISSING_MARKS = (
@@ -194,11 +195,14 @@ def geometry_text(kind: Column, coordinates: Column) -> Column:
     return F.concat(F.lit('{"type":"'), kind, F.lit('","coordinates":'), coordinates, F.lit("}"))
 
 
-def read_features(spark: SparkSession, path: str, properties: Iterable[str], lines: bool = False) -> DataFrame:
+def read_features(
+    spark: SparkSession, path: str, properties: Iterable[str], lines: bool = False, split: bool = False
+) -> DataFrame:
     """Features of GeoJSON files: origin, text properties, geometry text and ``parts``.
 
-    A file is one document, which one task reads, or, with ``lines``, one feature per line, which
-    any number of tasks read. ``origin`` puts the features of all files in order.
+    A file is one document, which one task reads, or, with ``split``, any number of tasks; or, with ``lines``,
+    one feature per line, which any number of tasks read. ``origin`` puts the features of all files in order.
+    With ``split`` the geometry text has no white space.
     """
     fields = ", ".join(f"`{name}`: string" for name in properties)
     shape = "struct<type: string, coordinates: string>"
@@ -206,6 +210,10 @@ def read_features(spark: SparkSession, path: str, properties: Iterable[str], lin
         raw = spark.read.schema(f"properties struct<{fields}>, geometry {shape}").json(path)
         place, feature = F.monotonically_increasing_id(), F.struct("properties", "geometry")
         found = raw.select("_metadata", place.alias("place"), feature.alias("feature"))
+    elif split:
+        parsed = F.from_json("text", f"properties struct<{fields}>, geometry {shape}")
+        metadata = F.struct(F.col("file").alias("file_path"), F.lit(0).cast("bigint").alias("file_block_start"))
+        found = feature_texts(spark, path).select(metadata.alias("_metadata"), "place", parsed.alias("feature"))
     else:
         raw = spark.read.schema(f"features array<struct<properties: struct<{fields}>, geometry: {shape}>>")
         found = raw.json(path, multiLine=True).select("_metadata", F.posexplode("features").alias("place", "feature"))
@@ -224,10 +232,10 @@ def read_features(spark: SparkSession, path: str, properties: Iterable[str], lin
     )
 
 
-def read_districts(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+def read_districts(spark: SparkSession, path: str, lines: bool = False, split: bool = False) -> DataFrame:
     """District outlines in the order of their number."""
     c = F.col
-    raw = read_features(spark, path, ("c_ar", "c_arinsee", "l_aroff", "l_ar", "surface", "perimetre"), lines)
+    raw = read_features(spark, path, ("c_ar", "c_arinsee", "l_aroff", "l_ar", "surface", "perimetre"), lines, split)
     typed = raw.select(
         "origin",
         c("c_ar").cast("int").alias("arrondissement"),
@@ -243,10 +251,10 @@ def read_districts(spark: SparkSession, path: str, lines: bool = False) -> DataF
     return numbered(typed, "feature_index", "arrondissement", "origin").drop("origin")
 
 
-def read_quartiers(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+def read_quartiers(spark: SparkSession, path: str, lines: bool = False, split: bool = False) -> DataFrame:
     """Quartier outlines in the order of their numeric id."""
     c = F.col
-    raw = read_features(spark, path, ("c_quinsee", "c_qu", "c_ar", "l_qu", "surface", "perimetre"), lines)
+    raw = read_features(spark, path, ("c_quinsee", "c_qu", "c_ar", "l_qu", "surface", "perimetre"), lines, split)
     typed = raw.select(
         "origin",
         c("c_quinsee").alias("quartier_id"),
@@ -279,12 +287,12 @@ def read_iris(spark: SparkSession, path: str, department: str = k.DEPARTMENT) ->
     return numbered(typed, "feature_index", "iris_code", "geometry")
 
 
-def read_streets(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+def read_streets(spark: SparkSession, path: str, lines: bool = False, split: bool = False) -> DataFrame:
     """Street lines with normalised name, display name and reference id; nameless ones are dropped."""
     c = F.col
     names = ("c_desi", "c_liaison", "l_voie", "n_sq_vo", "c_voie_vp", "c_voie", "objectid", "l_longmin")
     # A line's number is its place among all lines of all files.
-    raw = numbered(read_features(spark, path, names, lines).drop("geometry"), "line_index", "origin")
+    raw = numbered(read_features(spark, path, names, lines, split).drop("geometry"), "line_index", "origin")
     raw = raw.withColumn("raw_name", k.street_raw_name(c("c_desi"), c("c_liaison"), c("l_voie")))
     named = raw.withColumn("street_name", normalize_street(c("raw_name")))
     return named.where((c("street_name") != "") & c("parts").isNotNull()).select(

@@ -187,3 +187,32 @@ def test_headers_of_many_files_take_as_many_jobs_as_of_few(spark, tmp_path):
         return len(context.statusTracker().getJobIdsForGroup(f"headers-{count}"))
 
     assert jobs(6) == jobs(40) <= 5
+
+
+def test_one_document_is_read_by_many_tasks(spark, tmp_path):
+    """Braces, brackets and quotes in strings, nested values, members before and behind the list; the rows of the whole reader."""
+    awkward = ['plain', 'a } b', 'a { [ ] }', 'say \\"hi\\" } {', 'back\\\\', 'tail \\\\\\"}', '"features": [ {', 'é } 雪', '', '}}}}', 'x' * 300]
+    rows = []
+    for i in range(400):
+        name = awkward[i % len(awkward)].replace("\\\\", "\\").replace('\\"', '"')
+        shape = [[[i, 0.5], [i + 1, 0.5], [i + 1, 2], [i, 0.5]]]
+        rows.append({"type": "Feature", "properties": {"name": name, "number": str(i), "more": {"deep": [{"a": "}"}, [1, {}]]}}, "geometry": {"type": "Polygon", "coordinates": shape}})
+    head = '{"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "urn } x"}},\n "features" : [ '
+    (tmp_path / "a.json").write_text(head + ",\n".join(json.dumps(row, ensure_ascii=i % 2 == 0) for i, row in enumerate(rows)) + ' ], "bbox": [0, {"x": {}}]}\n', encoding="utf-8")
+    (tmp_path / "b.json").write_text(json.dumps({"features": rows[:3], "type": "FeatureCollection"}), encoding="utf-8")
+    (tmp_path / "c.json").write_text('{"type": "FeatureCollection", "features": []}')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        cut = spark.read.option("lineSep", "}").text(str(tmp_path))
+        assert cut.rdd.getNumPartitions() > 5
+        found = ops.read_features(spark, str(tmp_path), ("name", "number"), split=True).orderBy("origin").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    whole = ops.read_features(spark, str(tmp_path), ("name", "number")).orderBy("origin").collect()
+
+    def read(rows):
+        return [(row["name"], row["number"], json.loads(row["geometry"]), row["parts"]) for row in rows]
+
+    assert len(found) == 403 and read(found) == read(whole)

@@ -255,19 +255,18 @@ def iris_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register(
-    """SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'sq' || s_suppkey ELSE CAST(s_suppkey AS VARCHAR) END AS street_ref_id,
+STREET_FILE_SQL = """SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'sq' || s_suppkey ELSE CAST(s_suppkey AS VARCHAR) END AS street_ref_id,
       'BOULEVARD DE ' || upper(replace(s_name, '#', ' ')) AS street_name,
       CASE WHEN s_suppkey % 5 = 0 THEN 'long ' || s_name ELSE 'bd de ' || s_name END AS display_name,
       round_even((s_nationkey + 1) * 5.0::DOUBLE * 100, 0) / 100 AS length
     FROM supplier WHERE s_suppkey % 9 <> 0 AND s_suppkey % 11 <> 0"""
-)
-def street_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nameless streets and streets without a line are dropped."""
+
+
+def streets_of_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = c("s_suppkey")
     away = (c("s_nationkey") + 1).cast("double")
     line = F.array(F.array(F.lit(0.0), F.lit(0.0)), F.array(away * 3, away * 4))
-    features = table(spark, sf_dir, "supplier").select(
+    return table(spark, sf_dir, "supplier").select(
         F.when(key % 9 != 0, "bd").alias("c_desi"),
         F.when(key % 9 != 0, "de ").alias("c_liaison"),
         F.when(key % 9 != 0, c("s_name")).otherwise(" ").alias("l_voie"),
@@ -279,7 +278,41 @@ def street_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("LineString").alias("type"),
         F.when(key % 11 != 0, line).otherwise(F.array()).alias("coordinates"),
     )
-    names = ["c_desi", "c_liaison", "l_voie", "n_sq_vo", "c_voie_vp", "c_voie", "objectid", "l_longmin"]
-    return ops.read_streets(spark, geojson(features, names, "streets"), lines=True).select(
-        "street_ref_id", "street_name", "display_name", round_even(geo.length(c("parts")), 2).alias("length")
-    )
+
+
+STREET_NAMES = ["c_desi", "c_liaison", "l_voie", "n_sq_vo", "c_voie_vp", "c_voie", "objectid", "l_longmin"]
+
+
+@register(STREET_FILE_SQL)
+def street_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nameless streets and streets without a line are dropped."""
+    folder = geojson(streets_of_suppliers(spark, sf_dir), STREET_NAMES, "streets")
+    return _streets(ops.read_streets(spark, folder, lines=True))
+
+
+def _streets(read: DataFrame) -> DataFrame:
+    return read.select("street_ref_id", "street_name", "display_name", round_even(geo.length(c("parts")), 2).alias("length"))
+
+
+@register(STREET_FILE_SQL)
+def street_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same streets as whole documents, a part file each, which are cut wherever the pieces of a file end."""
+    folder = f"{shared_folder(spark, 'files')}/streets"
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(*STREET_NAMES).alias("properties"), F.struct("type", "coordinates").alias("geometry"))
+    number = F.pmod(F.xxhash64("objectid"), F.lit(4))
+    features = streets_of_suppliers(spark, sf_dir).select(number.alias("part"), F.lit(1).alias("place"), c("objectid").cast("string").alias("at"), F.to_json(feature).alias("value"))
+    ends = spark.range(4).select(c("id").alias("part"), F.explode(F.array(F.lit(0), F.lit(2))).alias("place"), F.lit("").alias("at"))
+    ends = ends.withColumn("value", F.when(c("place") == 0, '{"type": "FeatureCollection", "note": "a } b", "features": [{"type": "none"}').otherwise("]}"))
+    lines = features.unionByName(ends).repartitionById(4, c("part").cast("int")).sortWithinPartitions("part", "place", "at")
+    lines.select(F.when(c("place") == 1, F.concat(F.lit(","), c("value"))).otherwise(c("value")).alias("value")).write.text(folder)
+    # Pieces of 16 KB, so that the documents of these small tables are cut too.
+    before = {name: spark.conf.get(name) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for name, size in zip(before, ("16k", "1k"), strict=True):
+        spark.conf.set(name, size)
+    try:
+        read = ops.read_streets(spark, folder, split=True)
+        read = read.where(c("street_ref_id").isNotNull())
+    finally:
+        for name, size in before.items():
+            spark.conf.set(name, size)
+    return _streets(read)
