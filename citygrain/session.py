@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,10 +61,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Folders named by ``shared_folder`` inside a ``scratch`` block.
+_folders: list[str] = []
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder, for one run, inside the checkpoint folder that all executors see."""
     ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _folders.append(folder)
+    return folder
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what operators staged inside the block when it ends; results must be written elsewhere by then."""
+    begin = len(_folders)
+    try:
+        yield
+    finally:
+        for folder in _folders[begin:]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        del _folders[begin:]
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import dataclasses
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from citygrain.plans import gold, serving
 from citygrain.plans.catalog import DOCUMENTS, FEATURE_COLLECTIONS, METRIC_CATALOG, TABLES
 from citygrain.plans.validation import validate
+from citygrain.session import scratch, staged
 from citygrain.sources.store import Store, publish_all
 from tests import files
 from tests.conftest import values
@@ -36,6 +38,29 @@ def tables(store):
     return out | {name: store.read_features(target) for name, target in FEATURE_COLLECTIONS.items()}
 
 
+def test_fetched_links_are_taken_for_parcels_that_need_them(spark, tmp_path, store):
+    """A parcel that no address places and the cache lacks takes its fetched rows; others are ignored."""
+    inputs = gold.read_inputs(spark, files.all_inputs(str(tmp_path)))
+    lost = store.read(TABLES["gold_sales_geocoded"]).where("house_number in ('98', '99')").select("house_number", "parcel_id").collect()
+    parcels = {row["house_number"]: row["parcel_id"] for row in lost}
+    fetched = [(parcels["98"] or "none", "75101_L", "CAD", "1", "1"), (parcels["99"], "75101_R1", "CAD", "1", "1"), ("751010000X0001", "75101_R1", "CAD", "1", "1")]
+    columns = "idu string, id_adr string, type_lien string, nb_adr string, nb_parc string"
+    placed = gold.place_sales(inputs.sales, inputs.addresses, inputs.links, inputs.quartiers, inputs.iris, spark.createDataFrame(fetched, columns))
+    found = {row["house_number"]: row["matched_cle_interop"] for row in placed.where("house_number in ('98', '99')").collect()}
+    assert found["99"] == "75101_L" and found["98"] == ("75101_L" if parcels["98"] else None)
+    references = [gold.lookup.dedupe_reference(inputs.addresses, key) for key in ("address_key", "address_key_no_suffix", "cle_interop")]
+    alone = gold.refreshed_links(inputs.sales, references, None, spark.createDataFrame(fetched, columns))
+    assert {row["idu"] for row in alone.where("id_adr <> ''").collect()} == {parcel for parcel in parcels.values() if parcel}
+
+
+def test_staged_folders_go_with_their_block(spark, tmp_path):
+    with scratch(spark):
+        kept = staged(spark.range(5), "block")
+        folder = os.path.dirname(kept.inputFiles()[0].removeprefix("file://"))
+        assert os.path.isdir(folder) and kept.count() == 5
+    assert not os.path.exists(folder)
+
+
 def test_everything_is_valid(store):
     assert validate(store).count() == 0
 
