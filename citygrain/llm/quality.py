@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citygrain.llm.columns import plain_names
@@ -26,10 +26,10 @@ PASSAGE_BYTES = 512
 CLASSES = 16
 FEATURES = CLASSES * CLASSES
 
-#: Labelled documents the model is fitted on at most, and passages of each at most. Both bound what
-#: reaches the driver (64 MB); only fitting is bounded, scoring reads every passage.
+#: Labelled documents the model is fitted on at most, and passages of all of them together at most. Both bound
+#: what reaches the driver (50 MB), by whole rows; only fitting is bounded, scoring reads every passage.
 MAX_TRAINING_DOCUMENTS = 4000
-MAX_TRAINING_PASSAGES = 32
+MAX_TRAINING_PASSAGES = 100_000
 
 
 def _byte_classes() -> np.ndarray:
@@ -171,28 +171,36 @@ class AttentionModel:
                     self.weights[name] -= change.astype(np.float32)
 
 
-def training_ids(labels: DataFrame, train: Column, limit: int) -> DataFrame:
-    """Ids and labels to learn from: spread by a hash of the id, so alike in every rerun.
+def training_rows(docs: DataFrame, labels: DataFrame, train: Column, most: int, most_passages: int) -> DataFrame:
+    """(doc_id, _text, label) of the rows to learn from, ``_text`` being a hash: spread by hashes, so alike in every rerun.
 
-    Labels that are null are left out; of repeated labels the mean counts, 0.5 and more as 1.
+    Labels that are null, or of no document, are left out; of repeated labels the mean counts, 0.5 and more
+    as 1. Of the rows in order of their hashes as many are taken as have ``most_passages`` passages
+    together, ``most`` at most; a row is taken with all its passages or not at all.
     """
-    return (
-        labels.where(train & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
-        .groupBy("doc_id")
-        .agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(limit)
-    )
+    known = labels.where(train & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
+    known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("_text"), F.ceil(F.octet_length("text") / PASSAGE_BYTES).alias("_passages"))
+    rows = rows.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "_text").limit(most)
+    # Over the few rows of the limit; a text above the whole allowance doesn't end it for those behind.
+    fits = rows.where(F.coalesce("_passages", F.lit(0)) <= most_passages)
+    so_far = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "_text").rowsBetween(Window.unboundedPreceding, 0)
+    taken = fits.withColumn("_sum", F.sum(F.coalesce("_passages", F.lit(0))).over(so_far)).where(F.col("_sum") <= most_passages)
+    return taken.select("doc_id", "_text", "label").distinct()
 
 
 def fit_quality_model(
-    docs: DataFrame, labels: DataFrame, train: Column, max_documents: int = MAX_TRAINING_DOCUMENTS
+    docs: DataFrame,
+    labels: DataFrame,
+    train: Column,
+    max_documents: int = MAX_TRAINING_DOCUMENTS,
+    max_passages: int = MAX_TRAINING_PASSAGES,
 ) -> AttentionModel:
-    """Fit on at most ``max_documents`` labelled documents with at most MAX_TRAINING_PASSAGES each.
+    """Fit on whole labelled documents: at most ``max_documents`` with at most ``max_passages`` passages together.
 
-    Passages of longer documents are taken at even steps. ``train`` is a condition on ``doc_id``.
+    ``train`` is a condition on ``doc_id``. Rows that repeat id and text are one.
     """
-    chosen = training_ids(labels, train, max_documents)  # at most that many rows of two numbers: broadcast
+    chosen = training_rows(docs, labels, train, max_documents, max_passages)  # three numbers a row: broadcast
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,19 +208,18 @@ def fit_quality_model(
             out = []
             for text in range(len(offsets) - 1):
                 features, _ = passage_features(data[offsets[text] : offsets[text + 1]], np.array([0, offsets[text + 1] - offsets[text]]))
-                keep = np.unique(np.linspace(0, len(features) - 1, MAX_TRAINING_PASSAGES).astype(np.int64))
-                out.append(features[keep].astype(np.float16).tobytes())
+                out.append(features.astype(np.float16).tobytes())
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), batch.column("label"), pa.array(out, pa.binary())], ["doc_id", "label", "bag"]
                 )
 
+    texts = docs.select("doc_id", "text").withColumn("_text", F.xxhash64("text"))
     rows = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(chosen), "doc_id")
+        texts.join(F.broadcast(chosen), ["doc_id", "_text"])
+        .dropDuplicates(["doc_id", "_text"])
         .select("doc_id", "label", "text")
         .mapInArrow(bags, "doc_id long, label int, bag binary")
-        .limit(2 * max_documents)  # repeated ids could otherwise widen the sample
         .collect()
     )
     rows.sort(key=lambda row: (row["doc_id"], bytes(row["bag"])))

@@ -1,4 +1,9 @@
-"""The corpus pipeline: five operators in a row, each over all that the one before it kept."""
+"""The corpus pipeline: five operators in a row, each over all that the one before it kept.
+
+Defined results: rows with null ids, texts or sources pass like any others; an empty table gives an empty one with
+the same columns; columns beyond those of ``documents``, whatever their names, are handed on by all stages but
+the last. Texts of any length are read whole.
+"""
 
 from __future__ import annotations
 
@@ -19,32 +24,35 @@ LEAST_QUALITY = 0.7
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is high enough, judged on whole texts."""
+    """Documents whose quality score is high enough, judged on whole texts.
+
+    A null or empty text has a score too; without labels every score is 0.5, so nothing stays.
+    """
     prepare(spark)
     model = quality.fit_quality_model(docs, table(spark, sf_dir, "labels"), F.lit(True))
     return quality.keep_good(docs, model, LEAST_QUALITY)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts, that of the largest id; null and empty texts are equal."""
     prepare(spark)
     return exact_dedup.drop_exact_duplicates(docs)
 
 
 def dissimilar_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies."""
+    """One document of each class of near copies, that of the smallest id; null and empty texts are one class."""
     prepare(spark)
     return lsh_forest.drop_similar_documents(docs)
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them; texts without words are in no mix, a null source is one."""
     prepare(spark)
     return mixing.mixed_documents(docs, quality_weights(table(spark, sf_dir, "labels")))
 
 
 def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of every document."""
+    """Pieces of every document, repeats included; a text without any has none."""
     prepare(spark)
     return pieces.encode_documents(docs)
 

@@ -74,6 +74,26 @@ def test_quality_of_awkward_texts(spark):
     assert {r["score"] for r in quality.score_quality(docs, nothing).collect()} == {0.5}
 
 
+
+def test_learning_takes_whole_rows_with_labels(spark):
+    rows = [row(i, prose(i, 300)) for i in range(40)] + [row(100, prose(1, 30_000)), row(101, None), row(5, prose(5, 300)), row(6, prose(99, 300))]
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 40, 2)] + [(i, 1) for i in range(1000, 9000)] + [(100, 1), (101, 0)], "doc_id long, quality int")
+    texts = {r["doc_id"]: 0 for r in labels.collect()}
+    sizes = {r["_text"]: r["n"] for r in docs.select(F.xxhash64("text").alias("_text"), F.octet_length("text").alias("n")).collect()}
+
+    def taken(most, passages):
+        found = quality.training_rows(docs, labels, F.lit(True), most, passages).collect()
+        assert all(r["doc_id"] in texts for r in found) and len({(r["doc_id"], r["_text"]) for r in found}) == len(found)
+        return found
+
+    everything = taken(100, 100_000)  # labels without a document take no place
+    assert {r["doc_id"] for r in everything} == {*range(0, 40, 2), 100, 101} and len(everything) == 23
+    few = taken(100, 40)
+    assert 0 < sum(-(-(sizes[r["_text"]] or 0) // quality.PASSAGE_BYTES) for r in few) <= 40 and 100 not in {r["doc_id"] for r in few}
+    assert len(taken(7, 100_000)) == 7
+
+
 def test_attention_gradients():
     random = np.random.default_rng(0)
     model = quality.AttentionModel()
