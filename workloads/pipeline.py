@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from citygrain.functions import geo
 from citygrain.functions.records import distinct_options
+from citygrain.operators import context
 from citygrain.operators import sales as sales_ops
 from citygrain.plans import gold
 from citygrain.plans.catalog import DOCUMENTS, FEATURE_COLLECTIONS, TABLES
@@ -337,6 +338,48 @@ def issues_of_a_broken_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate(store)
 
 
+BUILT_SALES_SQL = """sales AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, s_nationkey + 1 AS arrondissement, price AS sale_value_eur,
+      price / surface AS price_per_m2, CAST(surface AS DOUBLE) AS built_surface_m2, CAST(l_linenumber AS DOUBLE) AS rooms, kind AS "Type local",
+      strftime(l_shipdate, '%d/%m/%Y') || '|' || replace(price_text, '.', ',') || '|' || coalesce(parcel_id, '') || '|'
+        || number || '|' || street_name || '|' || kind || '|' || surface AS transaction_id FROM usable)"""
+#: Built datasets with their metrics and the SQL tables that must hold the same; income has no year.
+BUILT = {
+    "gold_sales": ("sales_yearly", sales_ops.METRICS),
+    "silver_sales": ("sales_yearly", sales_ops.METRICS),
+    "gold_income": ("income", ("median_income_eur", "first_quartile_income_eur", "third_quartile_income_eur", "share_taxable_pct")),
+    "gold_rents": ("rents", (*context.RENTS, "rent_reference_count")),
+    "silver_rents": ("rents", (*context.RENTS, "rent_reference_count")),
+    "gold_social": ("social", ("program_count", *context.SOCIAL_UNITS)),
+}
+
+
+def _built_sql() -> str:
+    parts = [
+        f"SELECT '{dataset}' AS dataset, CAST(arrondissement AS INTEGER) AS arrondissement, {'NULL' if source == 'income' else 'CAST(year AS INTEGER)'} AS year,"
+        f" '{metric}' AS metric, CAST({metric} AS DOUBLE) AS value FROM {source}"
+        for dataset, (source, metrics) in BUILT.items()
+        for metric in metrics
+    ]
+    tables = f"{RAW_SALES_SQL}, {BUILT_SALES_SQL}, sales_yearly AS ({grain_sql(sales_ops.DISTRICT_KEYS)}), {facts.INCOME_SQL}"
+    return f"WITH {tables}, {facts.ORDERED_SQL}, {facts.RENTS_SQL}, {facts.SOCIAL_SQL} {' UNION ALL '.join(parts)}"
+
+
+@register(_built_sql())
+def gold_build_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value of the yearly facts that a whole build has published, read back from the store."""
+    store = Store(spark, root=shared_folder(spark, "gold"))
+    publish_all(store, gold.build_gold(gold_inputs(spark, sf_dir)))
+    values = None
+    for dataset, (_, metrics) in BUILT.items():
+        rows = store.read(TABLES[dataset])
+        year = c("year").cast("int") if "year" in rows.columns else F.lit(None).cast("int")
+        pairs = F.array(*[F.struct(F.lit(name).alias("metric"), c(name).cast("double").alias("value")) for name in metrics])
+        rows = rows.select(F.lit(dataset).alias("dataset"), c("arrondissement").cast("int").alias("arrondissement"), year.alias("year"), F.explode(pairs).alias("m"))
+        rows = rows.select("dataset", "arrondissement", "year", "m.*")
+        values = rows if values is None else values.unionByName(rows)
+    return values
+
+
 @register()
 def gold_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything built, published and validated: rows per dataset, and the issues found.
