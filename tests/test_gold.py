@@ -41,16 +41,20 @@ def tables(store):
 def test_fetched_links_are_taken_for_parcels_that_need_them(spark, tmp_path, store):
     """A parcel that no address places and the cache lacks takes its fetched rows; others are ignored."""
     inputs = gold.read_inputs(spark, files.all_inputs(str(tmp_path)))
-    lost = store.read(TABLES["gold_sales_geocoded"]).where("house_number in ('98', '99')").select("house_number", "parcel_id").collect()
-    parcels = {row["house_number"]: row["parcel_id"] for row in lost}
-    fetched = [(parcels["98"] or "none", "75101_L", "CAD", "1", "1"), (parcels["99"], "75101_R1", "CAD", "1", "1"), ("751010000X0001", "75101_R1", "CAD", "1", "1")]
+    sold = store.read(TABLES["gold_sales_geocoded"]).select("house_number", "parcel_id").collect()
+    parcels = {row["house_number"]: row["parcel_id"] for row in sold if row["parcel_id"]}
+    cached = {row["idu"] for row in inputs.links.collect()}
+    fetched = [(parcels["98"], "75101_L", "CAD", "1", "1"), (parcels["99"], "75101_R1", "CAD", "1", "1"), ("751010000X0001", "75101_R1", "CAD", "1", "1")]
     columns = "idu string, id_adr string, type_lien string, nb_adr string, nb_parc string"
-    placed = gold.place_sales(inputs.sales, inputs.addresses, inputs.links, inputs.quartiers, inputs.iris, spark.createDataFrame(fetched, columns))
-    found = {row["house_number"]: row["matched_cle_interop"] for row in placed.where("house_number in ('98', '99')").collect()}
-    assert found["99"] == "75101_L" and found["98"] == ("75101_L" if parcels["98"] else None)
+    found = {}
+    for name, links in (("all", inputs.links), ("some", inputs.links.where(F.col("idu") != parcels["98"]))):
+        placed = gold.place_sales(inputs.sales, inputs.addresses, links, inputs.quartiers, inputs.iris, spark.createDataFrame(fetched, columns))
+        found[name] = {row["house_number"]: row["matched_cle_interop"] for row in placed.where("house_number in ('98', '99')").collect()}
+    assert parcels["98"] in cached and parcels["99"] in cached  # what the cache has is not replaced
+    assert found == {"all": {"98": None, "99": "75101_L"}, "some": {"98": "75101_L", "99": "75101_L"}}
     references = [gold.lookup.dedupe_reference(inputs.addresses, key) for key in ("address_key", "address_key_no_suffix", "cle_interop")]
     alone = gold.refreshed_links(inputs.sales, references, None, spark.createDataFrame(fetched, columns))
-    assert {row["idu"] for row in alone.where("id_adr <> ''").collect()} == {parcel for parcel in parcels.values() if parcel}
+    assert {row["idu"] for row in alone.where("id_adr <> ''").collect()} == {parcels["98"], parcels["99"]}
 
 
 def test_staged_folders_go_with_their_block(spark, tmp_path):
