@@ -357,6 +357,21 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, sf_dir).collect()} == kept[4]
 
 
+@pytest.mark.parametrize("rows", [awkward_rows() + [row(400, None, None), row(401, "")], []])
+def test_pipeline_of_awkward_and_of_no_documents(spark, tmp_path, rows):
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(r[0], 1, None) for r in rows if r[0] is not None] + [(None, 0, 0), (9999, None, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
+    for place, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/{place}")
+        docs = spark.read.schema(out.schema).parquet(f"{tmp_path}/{place}")
+        kept.append(docs.count())
+    # Labels of one value only reject nothing; then one of each group of copies stays, and what has words is mixed.
+    assert kept[0] == len(rows) and kept[1] <= kept[0] and kept[2] <= kept[1] and bool(kept[4]) == bool(rows)
+
+
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11)) and 4 <= len(corpus_pipeline.STAGES) <= 5
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14)) and 4 <= len(corpus_pipeline.STAGES) <= 5
     assert np.all([name in ("op2_exact_dedup", "op8_warc_zip") or name.startswith("op") for name in QUERIES])
