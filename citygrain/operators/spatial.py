@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citygrain.functions import geo
-from citygrain.operators.zone_index import cell, with_edges, zone_index
+from citygrain.operators.zone_index import STEP, cell, with_edges, zone_index
 from citygrain.session import BROADCAST_BYTES
 
 #: Up to this many zones may meet in one cell, and zones be listed at this many levels, and still be tried in place.
@@ -71,7 +71,8 @@ def spatial_join(
     """
     layer = with_edges(zones.where(F.size(rings) > 0), rings)
     props = F.struct(*[F.col(name).alias(out) for name, out in properties.items()])
-    index = zone_index(layer.select(F.col(order).alias("_order"), "_box", "_edges", props.alias("_props")), level)
+    # Cells well below a zone's size: most points then lie in cells that a zone covers, and meet no edge.
+    index = zone_index(layer.select(F.col(order).alias("_order"), "_box", "_edges", props.alias("_props")), level, finer=STEP)
     levels, most, size = _measured(index)
     zone = F.struct("_order", "_inside", "_box", "_edges", "_props").alias("_zone")
     # A point with a coordinate that is no finite number lies in no cell.

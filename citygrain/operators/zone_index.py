@@ -69,14 +69,14 @@ def _classified(cells: DataFrame) -> DataFrame:
     return cells.withColumn("_edges", F.when(~c("_inside"), c("_edges"))).drop("_left", "_low", "_right", "_high")
 
 
-def zone_index(zones: DataFrame, level: int | None = None, splits: int = SPLITS) -> DataFrame:
+def zone_index(zones: DataFrame, level: int | None = None, splits: int = SPLITS, finer: int = 0) -> DataFrame:
     """Rows (zone columns, _level, _cx, _cy, _inside, _crossing, _edges) of zones that have ``_box`` and ``_edges``.
 
-    ``level`` puts all zones at one level; otherwise each has its own.
+    ``level`` puts all zones at one level; otherwise each has its own, ``finer`` levels below its size.
     """
     box = c("_box")
     longest = F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"])
-    own = F.when(longest > 0, F.floor(F.log2(longest) / STEP) * STEP).otherwise(0)
+    own = F.when(longest > 0, F.floor(F.log2(longest) / STEP) * STEP - finer).otherwise(0)
     leveled = zones.withColumn("_level", (F.lit(level) if level is not None else own).cast("int"))
     size = side(c("_level"))
     cells = leveled.withColumn("_cx", F.explode(F.sequence(cell(box["minx"], size), cell(box["maxx"], size))))
