@@ -69,10 +69,17 @@ def spatial_join(
     points are not shuffled where the zone index is small enough to broadcast: they look their cell
     up once per level.
     """
-    layer = with_edges(zones.where(F.size(rings) > 0), rings)
     props = F.struct(*[F.col(name).alias(out) for name, out in properties.items()])
+    # Zones with equal outlines cover the same points, so only the first of them can be found: the rest
+    # are dropped before the index, which piles of copies would otherwise fill. Zones without an order stay.
+    drawn = zones.where(F.size(rings) > 0)
+    first_copy = F.min(F.struct(F.col(order).alias("_order"), props.alias("_props"))).alias("_first")
+    shapes = drawn.where(F.col(order).isNotNull()).groupBy(F.col(rings).alias("_rings")).agg(first_copy)
+    shapes = shapes.select("_first._order", "_first._props", F.col("_rings").alias(rings))
+    unordered = drawn.where(F.col(order).isNull()).select(F.col(order).alias("_order"), props.alias("_props"), rings)
+    layer = with_edges(shapes.unionByName(unordered), rings)
     # Cells well below a zone's size: most points then lie in cells that a zone covers, and meet no edge.
-    index = zone_index(layer.select(F.col(order).alias("_order"), "_box", "_edges", props.alias("_props")), level, finer=STEP)
+    index = zone_index(layer.select("_order", "_box", "_edges", "_props"), level, finer=STEP)
     levels, most, size = _measured(index)
     zone = F.struct("_order", "_inside", "_box", "_edges", "_props").alias("_zone")
     # A point with a coordinate that is no finite number lies in no cell.

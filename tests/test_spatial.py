@@ -166,3 +166,15 @@ def test_coordinates_that_are_no_numbers_have_no_zone(spark, most):
     frame = spark.createDataFrame(points, "id int, longitude double, latitude double")
     found = ops.spatial_join(frame, zones_df(spark, [BOX, L_SHAPE]), {"zone": "zone"}, max_candidates=most)
     assert {row["id"]: row["zone"] for row in found.collect()} == {0: "z0", 1: None, 2: None, 3: None, 4: None, 5: None}
+
+
+def test_copies_of_one_outline_leave_one_candidate(spark, monkeypatch):
+    """600 zones with the outline of L_SHAPE, then a box: the first copy is found, and the pile fills no cell."""
+    def by_pairs(*args):
+        raise AssertionError("a pile of copies took the way by pairs")
+
+    monkeypatch.setattr(ops, "_join_by_pairs", by_pairs)
+    zones = zones_df(spark, [L_SHAPE] * 600 + [BOX]).withColumn("feature_index", F.when(F.col("zone") == "z600", 5000).otherwise(1000 - F.col("feature_index")))
+    points = spark.createDataFrame([(1.0, 1.0), (6.0, 6.0), (30.0, 30.0)], "x double, y double")
+    found = ops.spatial_join(points, zones, {"zone": "zone"}, "x", "y")
+    assert sorted(values(found, "x", "zone"), key=str) == sorted([(1.0, "z599"), (6.0, "z600"), (30.0, None)], key=str)
