@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: what counts as a decimal number in the source files.
@@ -18,6 +20,15 @@ def bound(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def where_once(df: DataFrame, names: Sequence[str], test: Callable[[Column], Column]) -> DataFrame:
+    """``df.where(test(row))`` on columns that the same plan works out of others: each is worked out once.
+
+    The row of these columns comes out of a generator, which no filter on it is pushed through.
+    """
+    row = F.struct(*[F.col(f"`{name}`").alias(name) for name in names])
+    return df.withColumn("_once", F.explode(F.array(row))).where(test(F.col("_once"))).drop("_once")
+
+
 def round_even(c: Column, digits: int) -> Column:
     """Round to ``digits`` decimals the way array libraries do: scale, round half to even, unscale."""
     scale = float(10**digits)

@@ -76,7 +76,8 @@ def to_ascii(c: Column) -> Column:
         "",
     )
     widened = F.when(holds_one, expanded).otherwise(c)
-    return F.regexp_replace(F.translate(widened, single, images), r"[^\x00-\x7F]", "")
+    reduced = F.regexp_replace(F.translate(widened, single, images), r"[^\x00-\x7F]", "")
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(reduced)
 
 
 def normalize_text(c: Column) -> Column:
@@ -87,11 +88,12 @@ def normalize_text(c: Column) -> Column:
 
 def normalize_street(c: Column) -> Column:
     """Normalised street name with every abbreviated word written out."""
-    words = F.split(normalize_text(c), " ")
-    aliases = _literal_map(STREET_ALIASES)
-    return F.array_join(
-        F.transform(words, lambda word: F.coalesce(F.try_element_at(aliases, word), word)), " "
-    )
+    # Each word gets a blank of its own on both sides, so that neighbours are found too. What an
+    # abbreviation stands for is none itself. A walk over the words takes seven times as long.
+    words = F.concat(F.lit(" "), F.replace(normalize_text(c), F.lit(" "), F.lit("  ")), F.lit(" "))
+    for short, long in STREET_ALIASES.items():
+        words = F.replace(words, F.lit(f" {short} "), F.lit(f" {long} "))
+    return F.trim(F.replace(words, F.lit("  "), F.lit(" ")))
 
 
 def extract_digits(c: Column) -> Column:

@@ -154,14 +154,16 @@ def geocode(
     The three references come from :func:`dedupe_reference`, ``links`` from :func:`best_link`.
     A later tier only fills rows that still lack a longitude; it replaces their id even by NULL.
 
-    References that Spark can broadcast are joined to the sales directly, without a shuffle.
-    Larger ones (``by_keys``) meet the distinct keys of the sales first, so that the sales
-    themselves are shuffled once and not for every tier.
+    References that Spark can broadcast are joined to the sales directly, without a shuffle, and
+    so is the one tier that it can't: the sales are shuffled for that one. Where more tiers are large
+    (``by_keys``) they meet the distinct keys of the sales first, so that the sales themselves are
+    still shuffled once and not for every tier.
     """
     sides = (with_suffix, without_suffix, by_id, links)
     if by_keys is None:
         limit = broadcast_limit(sales.sparkSession)
-        by_keys = any(estimated_bytes(side) > limit for side in sides if side is not None)
+        tiers = ([with_suffix], [without_suffix], [] if links is None else [by_id, links])
+        by_keys = sum(any(estimated_bytes(side) > limit for side in tier) for tier in tiers) > 1
     if not by_keys:
         return _cascade(sales, *sides)
     keys = ["address_key", "address_key_no_suffix", "parcel_id"]

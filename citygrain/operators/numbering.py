@@ -28,12 +28,44 @@ def _by_range(df: DataFrame, order: Sequence[Column], weight: Column) -> DataFra
     return ranged.join(F.broadcast(starts), F.col("_range") == F.col("_of")).drop("_of")
 
 
-def numbered(df: DataFrame, name: str, *order: str) -> DataFrame:
-    """Number all rows from 0 in the given order; rows that are equal in it come in any order."""
-    columns = [F.col(column) for column in order]
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(*columns)) - 1
-    placed = _by_range(df, columns, F.lit(1))
-    return placed.withColumn(name, (F.col("_start") + place).cast("bigint")).drop("_range", "_start")
+#: Bits of a row's place in its partition, below those of the partition's number.
+PLACE_BITS = 33
+
+
+def numbered(df: DataFrame, name: str, *order: str, in_ranges: bool = False) -> DataFrame:
+    """Number all rows from 0 in the given order; rows that are equal in it come in any order.
+
+    ``in_ranges`` tells that partitions should hold ranges of the first column already: then rows are dealt
+    out again only where that proves wrong.
+    """
+
+    def in_order(rows: DataFrame) -> DataFrame:
+        # Written once, so that the ranges that are counted are the ones that are numbered.
+        return staged(rows.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "ranges")
+
+    placed = in_order(df) if in_ranges else None
+    if placed is None or not _are_ranges(placed, order[0]):
+        placed = in_order((df if placed is None else placed.drop("_at")).repartitionByRange(*order))
+    before = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition at most, however long the frame is.
+    starts = (
+        placed.groupBy(F.shiftright("_at", PLACE_BITS).alias("_of"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("_of", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    )
+    rows = placed.join(F.broadcast(starts), F.shiftright("_at", PLACE_BITS) == F.col("_of"))
+    place = F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return rows.withColumn(name, (F.col("_start") + place).cast("bigint")).drop("_at", "_of", "_start")
+
+
+def _are_ranges(placed: DataFrame, first: str) -> bool:
+    """Partitions, in their order, hold separate rising ranges of a column without NULL."""
+    value = F.col(first)
+    ends = placed.groupBy(F.shiftright("_at", PLACE_BITS).alias("_of")).agg(
+        F.min(value).alias("low"), F.max(value).alias("high"), F.count_if(value.isNull()).alias("unknown")
+    )
+    rows = sorted(ends.collect(), key=lambda row: row["_of"])
+    return all(row["unknown"] == 0 for row in rows) and all(one["high"] < other["low"] for one, other in zip(rows, rows[1:]))
 
 
 def with_rank(df: DataFrame, value: str, name: str = "rank_by_price") -> DataFrame:

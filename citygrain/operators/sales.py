@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citygrain.functions import keys as k
-from citygrain.functions.numbers import bound, french_to_double, price_per_m2, round_even
+from citygrain.functions.numbers import french_to_double, price_per_m2, round_even, where_once
 from citygrain.functions.text import normalize_house_number, normalize_street, normalize_suffix
 from citygrain.operators.medians import HOT_GROUP_ROWS, with_medians
 from citygrain.roles import SALES, Roles
@@ -69,17 +69,14 @@ def clean_sales(
     price = price_per_m2(value, surface)
 
     def usable(sale: Column) -> Column:
-        return (
-            sale["district"].between(*rules.districts)
-            & (sale["surface"] > rules.min_surface)
-            & (sale["value"] > rules.min_value)
-            & bound(price_per_m2(sale["value"], sale["surface"]), lambda price: price.between(*rules.price_range))
-        )
+        own = price_per_m2(sale[roles.value], sale[roles.surface])
+        large = (sale[roles.surface] > rules.min_surface) & (sale[roles.value] > rules.min_value)
+        return sale[roles.district].between(*rules.districts) & large & own.between(*rules.price_range)
 
     # The tests on raw texts come first and reach the scan.
     sold = df.where(F.col(f"`{nature}`") == rules.nature).where(F.col(f"`{roles.kind}`").isin(*rules.kinds))
     if parsed:
-        sold = sold.where(bound(F.struct(district.alias("district"), value.alias("value"), surface.alias("surface")), usable))
+        sold = where_once(sold, [roles.district, roles.value, roles.surface], usable)
     else:
         sold = sold.where(district.between(*rules.districts) & (surface > rules.min_surface) & (value > rules.min_value))
         sold = sold.where(price.between(*rules.price_range))

@@ -51,6 +51,9 @@ GEOCODED_COLUMNS = (
     "iris_type",
 )
 
+# What placing and aggregating sales reads besides, and nothing else of a sale is carried along.
+SALE_COLUMNS = (*GEOCODED_COLUMNS, "rooms", "transaction_id", "address_key", "address_key_no_suffix")
+
 
 @dataclass(frozen=True)
 class Inputs:
@@ -113,7 +116,11 @@ def place_sales(
     iris: DataFrame,
     fetched_links: DataFrame | None = None,
 ) -> DataFrame:
-    """Geocode sales, attach quartier and census block, add street and building keys."""
+    """Geocode sales, attach quartier and census block, add street and building keys.
+
+    Sales and addresses are read by several steps, so they are staged: their texts are parsed once.
+    """
+    sales, addresses = staged(sales, "clean-sales"), staged(addresses, "addresses")
     references = [lookup.dedupe_reference(addresses, key) for key in ("address_key", "address_key_no_suffix", "cle_interop")]
     if fetched_links is not None:
         links = refreshed_links(sales, references, links, fetched_links)
@@ -156,10 +163,10 @@ def line_text(parts: Column) -> Column:
 def street_features(streets: DataFrame, districts: DataFrame) -> DataFrame:
     """Every street cut at the district borders: one feature per street and district."""
     zones = districts.withColumn("commune_insee", F.col("insee_code").cast("string"))
-    cut = clip_lines(streets, zones, "line_index", ["arrondissement", "commune_insee"])
-    named = numbered(cut.join(streets.drop("parts"), "line_index"), "feature_index", "line_index", "arrondissement")
-    return named.select(
-        "feature_index",
+    names = ["street_ref_id", "street_name", "display_name"]
+    cut = clip_lines(streets, zones, "line_index", ["arrondissement", "commune_insee"], carried=names, in_ranges=True)
+    features = cut.select(
+        "line_index",
         "street_ref_id",
         street_key(F.col("commune_insee"), F.col("street_name")).alias("street_key"),
         "street_name",
@@ -168,12 +175,14 @@ def street_features(streets: DataFrame, districts: DataFrame) -> DataFrame:
         "commune_insee",
         line_text(F.col("parts")).alias("geometry"),
     )
+    placed = numbered(features, "feature_index", "line_index", "arrondissement", in_ranges=True)
+    return placed.select("feature_index", *[name for name in features.columns if name != "line_index"])
 
 
 def environment(cells: DataFrame, districts: DataFrame) -> DataFrame:
     """Noise and air per district; outlines are projected to the metres of the cells."""
     zones = districts.withColumn("rings", geo.project_lambert93(F.col("rings")))
-    inside = prepare_cells(cells, layer_extent(zones))
+    inside = prepare_cells(cells, layer_extent(zones), parsed=True)
     return context.environment_metrics(assign_cells(inside, zones, "arrondissement"), zones)
 
 
@@ -207,8 +216,9 @@ def build_gold(inputs: Inputs, include_noise: bool = True) -> dict[str, DataFram
 
     The placed sales and the small tables that later steps read again are staged once.
     """
+    sales = project_existing(inputs.sales, SALE_COLUMNS)
     placed = staged(
-        place_sales(inputs.sales, inputs.addresses, inputs.links, inputs.quartiers, inputs.iris, inputs.fetched_links), "placed-sales"
+        place_sales(sales, inputs.addresses, inputs.links, inputs.quartiers, inputs.iris, inputs.fetched_links), "placed-sales"
     )
     outputs = sales_outputs(placed)
     outputs["gold_spatial_coverage"] = staged(outputs["gold_spatial_coverage"], "coverage")

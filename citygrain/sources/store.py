@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from citygrain.operators import sales
 from citygrain.plans.catalog import DOCUMENTS, FEATURE_COLLECTIONS, TABLES
+from citygrain.session import staged
 from citygrain.sources import versions
 
 INSERT_BATCH = 1000
@@ -54,9 +55,10 @@ class Store:
     def write_ordered(self, name: str, df: DataFrame, *order: str) -> str:
         """Replace a whole table by files in order: each holds a range of the keys, and its rows are sorted.
 
-        No task sees all rows; a reader of the files one by one, by name, sees the whole order.
+        No task sees all rows; a reader of the files one by one, by name, sees the whole order. The rows are staged
+        first: the ranges come from a sample, which would work them all out a second time.
         """
-        return self.write(name, df.repartitionByRange(*order).sortWithinPartitions(*order))
+        return self.write(name, staged(df, "unordered").repartitionByRange(*order).sortWithinPartitions(*order))
 
     def read_ordered(self, name: str, position: str = "position") -> DataFrame:
         """A table of files with the place of every row, from 0, in the order of files and of rows in them."""

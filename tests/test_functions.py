@@ -165,3 +165,12 @@ def test_project_existing_and_types(spark):
     out = r.normalize_types(r.project_existing(df, ["b", "zz", "a"]), ["a", "q"], ["b"])
     assert out.columns == ["b", "a"]
     assert [tuple(row) for row in out.collect()] == [(2.5, "1"), (None, None)]
+
+
+def test_abbreviations_beside_each_other_are_written_out(spark):
+    names = {"AV AV": "AVENUE AVENUE", "bd. BD-bd": "BOULEVARD BOULEVARD BOULEVARD", "ALL": "ALLEE", "ALLS": "ALLS", "AV de l'Été": "AVENUE DE L ETE", "": "", "½ RTE": "12 ROUTE"}
+    rows = spark.createDataFrame([(name,) for name in names], "name string").select("name", t.normalize_street(F.col("name")).alias("key"))
+    assert dict(map(tuple, rows.collect())) == names
+    # No word is walked to by itself.
+    assert "transform(split(trim" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert not set(t.STREET_ALIASES) & set(t.STREET_ALIASES.values())

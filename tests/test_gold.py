@@ -218,3 +218,40 @@ def test_validation_names_what_is_missing(spark, tmp_path, store):
     assert sorted(tuple(row) for row in validate(broken).collect()) == [
         ("gold_dashboard", "missing key", "generated_at"), ("gold_dashboard", "missing metric", "air_score"),
     ]
+
+
+def test_numbers_go_by_ranges_that_are_there(spark):
+    from citygrain.operators.numbering import numbered
+
+    rows = spark.range(400).select((F.col("id") * 7 % 400).alias("a"), (F.col("id") % 3).alias("b"))
+    want = [(a, i) for i, a in enumerate(range(400))]
+    for dealt in (rows.repartitionByRange(5, "a"), rows.repartition(5, "b"), rows.repartition(5, "a")):
+        assert sorted(values(numbered(dealt, "n", "a", "b", in_ranges=True), "a", "n")) == want
+        assert sorted(values(numbered(dealt, "n", "a", "b"), "a", "n")) == want
+    unknown = rows.withColumn("a", F.when(F.col("a") > 10, F.col("a"))).repartitionByRange(5, "a")
+    found = sorted(row["n"] for row in numbered(unknown, "n", "a", in_ranges=True).collect())
+    assert found == list(range(400))
+
+
+def test_numbering_takes_no_window_over_the_rows(spark):
+    from citygrain.operators.numbering import numbered
+
+    plan = numbered(spark.range(100), "n", "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan
+
+
+def test_one_large_tier_leaves_the_sales_their_keys(spark, monkeypatch):
+    """Sales are shuffled for the parcels alone, and meet their own keys again only where two tiers are large."""
+    from citygrain.operators import lookup
+
+    schema = "lookup_key string, cle_interop string, long double, lat double"
+    one = spark.createDataFrame([("k1", "a1", 1.0, 2.0)], schema)
+    by_id = spark.createDataFrame([("a2", "a2", 3.0, 4.0)], schema)
+    links = spark.createDataFrame([("p2", "a2", "GEO")], "idu string, id_adr string, type_lien string")
+    sales = spark.createDataFrame([("k1", "n1", "p1"), ("k2", "n2", "p2"), (None, None, None)], "address_key string, address_key_no_suffix string, parcel_id string")
+    found = {}
+    for large in ([links], [one, links], []):
+        monkeypatch.setattr(lookup, "estimated_bytes", lambda side: 10**12 if any(side is own for own in large) else 1)
+        placed = lookup.geocode(sales, one, by_id, by_id, links)
+        found[len(large)] = placed._jdf.queryExecution().optimizedPlan().toString().count("Join"), sorted(values(placed, "parcel_id", "longitude"), key=str)
+    assert found[0] == found[1] and found[1][0] < found[2][0] and found[1][1] == found[2][1]

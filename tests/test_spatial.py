@@ -178,3 +178,61 @@ def test_copies_of_one_outline_leave_one_candidate(spark, monkeypatch):
     points = spark.createDataFrame([(1.0, 1.0), (6.0, 6.0), (30.0, 30.0)], "x double, y double")
     found = ops.spatial_join(points, zones, {"zone": "zone"}, "x", "y")
     assert sorted(values(found, "x", "zone"), key=str) == sorted([(1.0, "z599"), (6.0, "z600"), (30.0, None)], key=str)
+
+
+def crossing_lines(spark):
+    rng = random.Random(3)
+    rows = [(i, [[(rng.uniform(-2, 22), rng.uniform(-2, 18)) for _ in range(5)], [(float(rng.randint(-1, 21)), float(rng.randint(-1, 17))) for _ in range(4)]]) for i in range(60)]
+    return spark.createDataFrame(rows, f"line int, parts {geo.GEOMETRY}").withColumn("name", F.concat(F.lit("n"), "line"))
+
+
+def test_lines_cut_by_one_task_equal_those_cut_by_segments(spark):
+    lines, zones = crossing_lines(spark), zones_df(spark, [L_SHAPE, HOLE, TRIANGLE, SLANTED, BOX, BOX])
+    whole = ops.clip_lines(lines, zones, "line", ["zone"], carried=["name"])
+    spread = ops.clip_lines(lines, zones, "line", ["zone"], carried=["name"], long_line=0)
+    names = ("line", "zone", "name", "parts")
+    assert whole.columns == spread.columns == ["line", "zone", "parts", "name"]
+    assert sorted(values(whole, *names)) == sorted(values(spread, *names)) and whole.count() > 150
+    # No span of a line is shuffled or put in order once more.
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "MapInArrow" in plan
+    assert "Window" in spread._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_of_one_id_are_one_line_and_each_gets_its_row(spark):
+    lines = crossing_lines(spark).where("line < 6")
+    zones = zones_df(spark, [L_SHAPE, BOX])
+    shared = lines.unionByName(lines.where("line = 2").withColumn("name", F.lit("again"))).unionByName(lines.where("line = 3").withColumn("line", F.lit(None).cast("int")))
+    alone = ops.clip_lines(lines, zones, "line", ["zone"], carried=["name"])
+    both = ops.clip_lines(shared, zones, "line", ["zone"], carried=["name"])
+    again = alone.where("line = 2").withColumn("name", F.lit("again"))
+    names = ("line", "zone", "name", "parts")
+    assert sorted(values(both, *names)) == sorted(values(alone.unionByName(again), *names))
+    # Without carried columns a shared id has one row for each zone, and so has no id at all.
+    found = values(ops.clip_lines(shared, zones, "line", ["zone"]), "line", "zone")
+    assert len(found) == len(set(found)) and any(line is None for line, _ in found)
+
+
+def test_lines_without_points_or_numbers_have_no_part(spark):
+    lines = [(1, None), (2, []), (3, [None, [(1.0, 1.0)]]), (4, [[(1.0, 1.0), (None, 2.0), (3.0, 3.0), (3.0, 5.0)]])]
+    df = spark.createDataFrame(lines, f"line int, parts {geo.GEOMETRY}")
+    found = ops.clip_lines(df, zones_df(spark, [BOX]), "line", ["zone"])
+    assert [(row["line"], [[tuple(p) for p in part] for part in row["parts"]]) for row in found.collect()] == [(4, [[(3.0, 3.0), (3.0, 5.0)]])]
+
+
+def test_points_meet_their_zones_in_whole_batches(spark):
+    """A zone without an order is found by a point that no other zone covers; by pairs it is never the first."""
+    zones = zones_df(spark, [TRIANGLE, BOX]).withColumn("feature_index", F.when(F.col("zone") == "z0", 7))
+    points = spark.createDataFrame([(19.0, 15.0), (30.0, 0.0)], "x double, y double")
+    found = ops.spatial_join(points, zones, {"zone": "zone"}, "x", "y")
+    assert "ArrowEvalPython" in found._jdf.queryExecution().executedPlan().toString()
+    assert dict(values(found, "x", "zone")) == {19.0: "z1", 30.0: None}
+
+
+def test_sides_that_are_worked_out_are_worked_out_once(spark):
+    cells = spark.range(50).select((F.col("id") % 3 * 10 + 1).cast("int").alias("category"), F.sinh(F.col("id") / 10).alias("minx"), F.col("id").cast("double").alias("miny"))
+    cells = cells.withColumns({"maxx": F.col("minx") + F.col("miny") % 4, "maxy": F.col("miny") + 1})
+    extent = (1.0, 2.0, 30.0, 40.0)
+    once, typed = ops.prepare_cells(cells, extent, parsed=True), ops.prepare_cells(cells, extent)
+    assert sorted(values(once, *once.columns)) == sorted(values(typed, *typed.columns)) and once.columns == typed.columns
+    assert once._jdf.queryExecution().optimizedPlan().toString().count("SINH(") == 1

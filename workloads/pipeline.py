@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citygrain.functions import geo
@@ -24,6 +24,17 @@ from workloads.spatial import cells, lines, nation_zones
 c = F.col
 
 
+def _padded(number: Column, width: int) -> Column:
+    """``format_string("%0{width}d")``, which takes ten times as long, for numbers that are not too long for it."""
+    short = number.between(0, 10**width - 1)
+    return F.when(short, F.lpad(number.cast("string"), width, "0")).otherwise(F.format_string(f"%0{width}d", number))
+
+
+def _shown(number: Column) -> Column:
+    """``format_string("%d")``."""
+    return F.coalesce(number.cast("string"), F.lit("null"))
+
+
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as raw text lines of a sales file."""
     lines_ = table(spark, sf_dir, "lineitem")
@@ -34,11 +45,11 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("l_shipdate", "dd/MM/yyyy").alias("Date mutation"),
         F.when(number < 7, "Vente").otherwise("Echange").alias("Nature mutation"),
         F.when(c("l_orderkey") % 97 != 0, F.replace(price, F.lit("."), F.lit(","))).alias("Valeur fonciere"),
-        F.format_string("%04d", part % 90 + 1).alias("No voie"),
+        _padded(part % 90 + 1, 4).alias("No voie"),
         F.when(part % 4 == 0, "B").alias("B/T/Q"),
         F.lit("AV").alias("Type de voie"),
-        F.format_string("de l'Été %d", part % 40).alias("Voie"),
-        F.format_string("750%02d", nation + 1).alias("Code postal"),
+        F.concat(F.lit("de l'Été "), _shown(part % 40)).alias("Voie"),
+        F.concat(F.lit("750"), _padded(nation + 1, 2)).alias("Code postal"),
         F.lit("75").alias("Code departement"),
         (nation + 101).cast("string").alias("Code commune"),
         F.lit(None).cast("string").alias("Prefixe de section"),
@@ -244,9 +255,14 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metric_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The noise and air cells of the map, in metres as the build takes them."""
-    low, high = (F.struct(c(x).alias("x"), c(y).alias("y")) for x, y in (("minx", "miny"), ("maxx", "maxy")))
-    box = geo.bounds(geo.project_lambert93(F.array(F.array(low, high))))
-    return cells(spark, sf_dir).select("category", box.alias("box")).select("category", "box.*")
+    low, high = geo.to_lambert93(c("minx"), c("miny")), geo.to_lambert93(c("maxx"), c("maxy"))
+    return cells(spark, sf_dir).select(
+        "category",
+        F.least(low[0], high[0]).alias("minx"),
+        F.least(low[1], high[1]).alias("miny"),
+        F.greatest(low[0], high[0]).alias("maxx"),
+        F.greatest(low[1], high[1]).alias("maxy"),
+    )
 
 
 def gold_inputs(spark: SparkSession, sf_dir: str) -> gold.Inputs:
